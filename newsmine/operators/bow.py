@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from newsmine.config import COUNT_TEXT, TextSettings
 from newsmine.functions.text import analyse, bag
 from newsmine.operators.ordering import numbered, prefix_code
+from newsmine.session import cut
 
 
 def with_terms(
@@ -48,6 +49,7 @@ def pruned_terms(tf: DataFrame, n_docs: int, settings: TextSettings = COUNT_TEXT
 
 def vocabulary(terms: DataFrame) -> DataFrame:
     """Number the terms alphabetically from 0, without a single-task window."""
+    terms = cut(terms)  # read three times below: bounds, offsets, positions
     numbered_terms = numbered(terms, [], ["term"], prefix_code(F.col("term")), "idx")
     return numbered_terms.withColumn("idx", F.col("idx") - 1)
 
@@ -64,11 +66,10 @@ def restrict(tf: DataFrame, terms: DataFrame) -> DataFrame:
     return tf.join(terms.select("term"), "term", "left_semi")
 
 
-def shape(tf: DataFrame, n_docs: int) -> DataFrame:
-    """(n_docs, n_terms, nnz, density) of the pruned matrix."""
-    per_term = tf.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = per_term.agg(
-        F.count(F.lit(1)).alias("n_terms"), F.coalesce(F.sum("rows"), F.lit(0)).alias("nnz")
+def shape(terms: DataFrame, n_docs: int) -> DataFrame:
+    """(n_docs, n_terms, nnz, density) of the pruned matrix, from its (term, df)."""
+    sizes = terms.agg(
+        F.count(F.lit(1)).alias("n_terms"), F.coalesce(F.sum("df"), F.lit(0)).alias("nnz")
     )
     return sizes.select(
         F.lit(n_docs).cast("long").alias("n_docs"),

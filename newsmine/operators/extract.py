@@ -10,35 +10,41 @@ from newsmine.functions import html as H
 from newsmine.functions.text import let
 
 
-def with_text_and_date(pages: DataFrame, site: SiteSettings) -> DataFrame:
-    """Replace ``html`` by ``text`` (null when too short) and ``pub_date``.
+def _extracted(pages: DataFrame, site: SiteSettings, keep) -> DataFrame:
+    """Replace ``html`` by ``text`` and ``pub_date`` where ``keep`` accepts the pair.
 
-    One pass over the page: the island is parsed once, and visible text is only
-    looked at when the island does not give enough.
+    The pair is generated from a one-element array: a filter on a plain column
+    would be pushed to the scan and the whole extraction evaluated twice.
     """
     html = F.col("html")
-    both = let(
+    pair = let(
         H.island(html, site),
         lambda data: F.struct(
             H.body_text(html, data, site).alias("text"),
             H.publication_date(html, data, site).alias("pub_date"),
         ),
     )
-    return (
-        pages.withColumn("_doc", both)
-        .withColumn("text", F.col("_doc.text"))
-        .withColumn("pub_date", F.col("_doc.pub_date"))
-        .drop("_doc", "html")
-    )
+    others = [c for c in pages.columns if c != "html"]
+    return pages.select(*others, F.inline(F.filter(F.array(pair), keep)))
+
+
+def with_text_and_date(pages: DataFrame, site: SiteSettings) -> DataFrame:
+    """Every page; ``text`` is null when too short.
+
+    The island is parsed once, and visible text is only looked at when the
+    island does not give enough.
+    """
+    return _extracted(pages, site, lambda pair: F.lit(True))
 
 
 def documents(pages: DataFrame, site: SiteSettings) -> DataFrame:
-    return with_text_and_date(pages, site).where(F.col("text").isNotNull())
+    """Pages with enough text."""
+    return _extracted(pages, site, lambda pair: pair["text"].isNotNull())
 
 
 def rejected(pages: DataFrame, site: SiteSettings) -> DataFrame:
     """Pages without enough text, for the side table."""
-    return with_text_and_date(pages, site).where(F.col("text").isNull()).drop("text", "pub_date")
+    return _extracted(pages, site, lambda pair: pair["text"].isNull()).drop("text", "pub_date")
 
 
 def extraction_yield(pages: DataFrame, site: SiteSettings) -> DataFrame:
