@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "part long, slice int, payload binary"
 SLICE_BYTES = 4 * 1024 * 1024  # largest piece that travels in one record
-FAN_IN = 64  # partial arrays added by one task (or by the driver)
+FAN_IN = 64  # partial arrays added by one task
+DRIVER_BYTES = 64 * 1024 * 1024  # partial arrays the driver adds itself
 
 
 def slices(total: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -50,7 +52,8 @@ def total_of(
 
     blocks = rows.mapInArrow(run, SCHEMA)
     parts = rows.rdd.getNumPartitions()
-    while parts > FAN_IN:
+    few = max(1, min(FAN_IN, DRIVER_BYTES // (8 * math.prod(shape))))
+    while parts > few:
         level = blocks.withColumn("part", F.floor(F.col("part") / FAN_IN))
         blocks = level.groupBy("part", "slice").applyInPandas(_add, SCHEMA)
         parts = -(-parts // FAN_IN)

@@ -28,6 +28,7 @@ from newsmine.session import cut
 
 #: Largest term block that is sent to every task.
 BLOCK_BYTES = 256 * 1024 * 1024
+_CELLS_PER_TERM = 4
 _CHUNK_CELLS = 65_536  # matrix cells multiplied at a time inside a task
 
 
@@ -215,10 +216,14 @@ def fit_lsa(
     n_docs = docs.count()
     tf = term_counts(docs)
     terms = cut(vocabulary(idf_table(pruned_terms(tf, n_docs, settings), n_docs)))
-    n_terms = require_terms(terms).count()
+    n_terms, n_cells = require_terms(terms).agg(F.count(F.lit(1)), F.sum("df")).first()
     if dims > n_terms:
         raise ValueError(f"{dims} dimensions need at least as many terms, found {n_terms}")
     rows = cut(weighted_rows(tf, terms))
+    # Every task returns a whole block, so a task should read several cells per term.
+    tasks = max(1, n_cells // (_CELLS_PER_TERM * n_terms))
+    if rows.rdd.getNumPartitions() > tasks:
+        rows = rows.coalesce(tasks)
     width = min(dims + oversample, n_terms)
     spark = docs.sparkSession
     if n_terms * width * 8 <= block_bytes:

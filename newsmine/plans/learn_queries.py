@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsmine.config import TFIDF_TEXT
 from newsmine.functions import text as T
+from newsmine.functions.stem import stemmed_counts
 from newsmine.functions.stopwords import spanish_stopwords
 from newsmine.operators import bow as B
 from newsmine.operators import embedding as M
@@ -14,9 +15,10 @@ from newsmine.operators import evaluate as V
 from newsmine.operators import experiments as P
 from newsmine.operators import folds as D
 from newsmine.operators import lsa as L
+from newsmine.operators import sinks as K
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
-from newsmine.session import cut, table
+from newsmine.session import cut, table, work_path
 
 STOP = spanish_stopwords()
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP) + ")"
@@ -227,3 +229,33 @@ def lsa_variance(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.agg(F.count(F.lit(1)).alias("n_docs")).select(
         "n_docs", F.lit(dims).alias("dims"), F.lit(share).alias("share")
     )
+
+
+@query("svm_score")
+def svm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Train on all documents, save, load, and label every document's raw text."""
+    docs = X.labelled(spark, sf)
+    experiment = P.bow_experiment(docs, STOP, final=True)
+    path = work_path(spark, "bundle")
+    P.save_bow_bundle(experiment, path, spark)
+    return P.score_bow_bundle(docs.select("doc_id", "text"), path, STOP)
+
+
+@query("model_compare")
+def model_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric records of the three classifiers, written as JSON and read back."""
+    docs = X.labelled(spark, sf)
+    vectors, _ = _word_vectors(spark, sf, _counts(spark, sf))
+    folder = work_path(spark, "metrics")
+    K.write_metrics(P.bow_experiment(docs, STOP).metrics, folder, "svm")
+    K.write_metrics(P.lsa_experiment(docs, STOP).metrics, folder, "w2v")
+    K.write_metrics(P.embedding_experiment(docs, vectors, STOP).metrics, folder, "embed")
+    return K.read_metrics(spark, folder).drop("elapsed_s")
+
+
+@query("stem_term_df")
+def stem_term_df(spark: SparkSession, sf: str) -> DataFrame:
+    """Document frequency of Spanish stems."""
+    docs = X.labelled(spark, sf).where(F.col("label") == "es").drop("label")
+    words = docs.select("doc_id", T.tokens(F.lower("text")).alias("terms"))
+    return B.document_frequency(stemmed_counts(B.term_counts(words)))
