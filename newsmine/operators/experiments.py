@@ -29,10 +29,10 @@ METRICS_SCHEMA = (
 
 @dataclass
 class Experiment:
-    """Held-out predictions, their metrics record, and the model of all rows."""
+    """Held-out predictions and their metrics (if evaluated), the model of all rows (if asked for)."""
 
-    predictions: DataFrame
-    metrics: DataFrame
+    predictions: DataFrame | None
+    metrics: DataFrame | None
     model: LinearSvm | None = None
     terms: list[str] | None = None
     lsa: L.LsaModel | None = None
@@ -85,9 +85,9 @@ def with_folds(docs: DataFrame, settings: ModelSettings) -> DataFrame:
     return docs.join(folds.select("doc_id", "fold"), "doc_id")
 
 
-def _run(trainer: SvmTrainer, final: bool) -> tuple[DataFrame, LinearSvm | None]:
+def _run(trainer: SvmTrainer, evaluate: bool, final: bool):
     try:
-        return trainer.cross_validate(), trainer.train([None])[None] if final else None
+        return trainer.run(evaluate, final)
     finally:
         trainer.close()
 
@@ -97,6 +97,7 @@ def bow_experiment(
     stopwords: Iterable[str] = (),
     settings: ModelSettings = ModelSettings(),
     text: TextSettings = COUNT_TEXT,
+    evaluate: bool = True,
     final: bool = False,
 ) -> Experiment:
     """Counts of words and pairs, the best k by chi-squared inside each fold, linear SVM."""
@@ -108,8 +109,8 @@ def bow_experiment(
     tf = term_counts(termed, ("doc_id", "label", "fold"))
     chosen, n_terms = select_per_fold(tf, sizes, settings.k_terms, text, settings.fit_scope)
     rows, columns, words = count_vectors(termed, chosen)
-    predictions, model = _run(SvmTrainer(cut(rows), classes, len(words), settings, columns), final)
-    metrics = metrics_record(
+    predictions, model = _run(SvmTrainer(cut(rows), classes, len(words), settings, columns), evaluate, final)
+    metrics = predictions and metrics_record(
         predictions, classes, "SVM (kernel lineal)", f"chi2 (k={settings.k_terms})",
         settings.n_folds, n_terms, settings.k_terms, started,
     )
@@ -121,6 +122,7 @@ def lsa_experiment(
     stopwords: Iterable[str] = (),
     settings: ModelSettings = ModelSettings(),
     text: TextSettings = TFIDF_TEXT,
+    evaluate: bool = True,
     final: bool = False,
 ) -> Experiment:
     """TF-IDF, truncated SVD with unit rows, linear SVM."""
@@ -132,8 +134,8 @@ def lsa_experiment(
     share = L.explained_variance(vectors, weights, settings.n_components)
     rows = cut(vectors.select("doc_id", "label", "fold", F.col("vec").alias("val")))
     classes = _classes(rows)
-    predictions, machine = _run(SvmTrainer(rows, classes, settings.n_components, settings), final)
-    metrics = metrics_record(
+    predictions, machine = _run(SvmTrainer(rows, classes, settings.n_components, settings), evaluate, final)
+    metrics = predictions and metrics_record(
         predictions, classes, "TF-IDF + LSA + SVM (kernel lineal)",
         f"TF-IDF → SVD ({settings.n_components} dims) — LSA",
         settings.n_folds, model.n_terms, settings.n_components, started,
@@ -148,6 +150,7 @@ def embedding_experiment(
     stopwords: Iterable[str] = (),
     settings: ModelSettings = ModelSettings(),
     vectors_name: str = "word vectors",
+    evaluate: bool = True,
     final: bool = False,
 ) -> Experiment:
     """Mean word vector per document, linear SVM."""
@@ -158,8 +161,8 @@ def embedding_experiment(
     placed = M.document_vectors(folded.select("doc_id", "label", "fold"), counts, vectors, size)
     rows = cut(placed.select("doc_id", "label", "fold", F.col("vec").alias("val")))
     classes = _classes(rows)
-    predictions, machine = _run(SvmTrainer(rows, classes, size, settings), final)
-    metrics = metrics_record(
+    predictions, machine = _run(SvmTrainer(rows, classes, size, settings), evaluate, final)
+    metrics = predictions and metrics_record(
         predictions, classes, "Word2Vec + SVM (kernel lineal)", f"MeanEmbeddingVectorizer ({size} dims)",
         settings.n_folds, size, size, started, embedding_model=vectors_name,
     )

@@ -228,8 +228,10 @@ def fit_lsa(
     spark = docs.sparkSession
     if n_terms * width * 8 <= block_bytes:
         loadings = _fit_broadcast(rows, n_terms, dims, width, rounds, seed)
-        frame = pd.DataFrame({"idx": np.arange(n_terms), "vec": loadings.tolist()})
-        components = cut(spark.createDataFrame(frame, "idx long, vec array<double>"))
+        offsets = np.arange(0, loadings.size + 1, dims, dtype=np.int32)
+        lists = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(loadings).ravel())
+        frame = pa.table({"idx": np.arange(n_terms, dtype=np.int64), "vec": lists})
+        components = cut(spark.createDataFrame(frame))
     else:
         components = cut(_fit_join(long_cells(rows), terms, dims, width, rounds, seed))
     return LsaModel(terms, components, n_terms, dims), rows
@@ -241,8 +243,9 @@ def project(model: LsaModel, rows: DataFrame, block_bytes: int = BLOCK_BYTES) ->
         vectors = model.components.select("idx", array_to_vector("vec").alias("vec"))
         summed = _weighted_sum(long_cells(rows), vectors, "idx", "doc_id")
         return summed.select("doc_id", vector_to_array("vec").alias("vec"))
-    ordered = model.components.toPandas().sort_values("idx")
-    shared = rows.sparkSession.sparkContext.broadcast(np.array(ordered["vec"].tolist()))
+    found = model.components.select("idx", "vec").toArrow().sort_by("idx").column("vec")
+    loadings = found.combine_chunks().flatten().to_numpy().reshape(-1, model.dims)
+    shared = rows.sparkSession.sparkContext.broadcast(loadings)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = shared.value

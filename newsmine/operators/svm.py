@@ -28,8 +28,9 @@ Pair = tuple[int, int]
 #: Small inputs are read by few tasks; big ones keep their partitions.
 ROWS_PER_TASK = 2_000
 _CHUNK_ROWS = 4_096
-# The hinge is rounded off over this margin width; each stage starts from the last.
-_WIDTHS = (0.5, 0.05, 0.01)
+# (margin width over which the hinge is rounded off, share of the iterations,
+# slack of the tolerance); each stage starts from the last.
+_STAGES = ((0.5, 0.2, 10.0), (0.02, 1.0, 1.0))
 
 
 def class_pairs(n_classes: int) -> list[Pair]:
@@ -183,8 +184,9 @@ def fit_machines(
         return evaluate
 
     w = np.zeros((shape[0], width + 1))
-    for smooth in _WIDTHS:
-        w = minimise(evaluate_at(smooth), w, settings.max_iter, settings.tol)
+    for smooth, share, slack in _STAGES:
+        steps = max(1, round(share * settings.max_iter))
+        w = minimise(evaluate_at(smooth), w, steps, slack * settings.tol)
     fixed.unpersist()
     return w
 
@@ -433,10 +435,18 @@ class SvmTrainer:
             models[t] = LinearSvm(self.classes, [self.pairs[p] for p in live], weights[own], curves[a, live])
         return models
 
-    def cross_validate(self) -> DataFrame:
-        """(fold, doc_id, label, pred, probs) with every row predicted once, held out."""
+    def run(self, evaluate: bool = True, final: bool = False) -> tuple[DataFrame | None, LinearSvm | None]:
+        """Held-out predictions (fold, doc_id, label, pred, probs) and the model of all rows.
+
+        Whatever is asked for is trained in the same passes.
+        """
+        folds = self.folds if evaluate else []
+        models = self.train([*folds, *([None] if final else [])])
+        last = models.pop(None, None)
+        if not evaluate:
+            return None, last
         rows = self.rows.withColumn("label", F.col("y"))
-        return cut(score(self.train(self.folds), rows, ("fold", "doc_id", "label")))
+        return cut(score(models, rows, ("fold", "doc_id", "label"))), last
 
 
 def class_scores(predictions: DataFrame) -> DataFrame:

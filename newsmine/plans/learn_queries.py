@@ -235,7 +235,7 @@ def lsa_variance(spark: SparkSession, sf: str) -> DataFrame:
 def svm_score(spark: SparkSession, sf: str) -> DataFrame:
     """Train on all documents, save, load, and label every document's raw text."""
     docs = X.labelled(spark, sf)
-    experiment = P.bow_experiment(docs, STOP, final=True)
+    experiment = P.bow_experiment(docs, STOP, evaluate=False, final=True)
     path = work_path(spark, "bundle")
     P.save_bow_bundle(experiment, path, spark)
     return P.score_bow_bundle(docs.select("doc_id", "text"), path, STOP)
