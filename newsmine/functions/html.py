@@ -10,7 +10,6 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsmine.config import SiteSettings
 from newsmine.functions.text import const_map, let, strip, substitute
@@ -21,10 +20,10 @@ _COMMENT = r"(?s)<!--.*?-->"
 _BLOCKS = r"(?is)<(script|style|nav|aside|header|footer)(?=[\s/>]).*?</\1\s*>"
 _ENTITY = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
-ISLAND = T.StructType.fromDDL(
+_ITEMS = "array<struct<type:string,content:string>>"
+ISLAND = (
     "display_date string, first_publish_date string, content_elements "
-    "array<struct<type string, content string, level string, "
-    "items array<struct<type string, content string>>>>"
+    f"array<struct<type:string,content:string,level:string,items:{_ITEMS}>>"
 )
 
 
@@ -181,7 +180,7 @@ def element_text(element: Column) -> Column:
     """Text of one content element; kinds without text give ``''``."""
     plain = fragment_text(F.coalesce(element["content"], F.lit("")))
     items = F.filter(
-        F.coalesce(element["items"], F.array().cast(ISLAND["content_elements"].dataType.elementType["items"].dataType)),
+        F.coalesce(element["items"], F.array().cast(_ITEMS)),
         lambda item: (item["type"] == "text") & (item["content"] != ""),
     )
     joined = F.array_join(F.transform(items, lambda item: fragment_text(item["content"])), " ")

@@ -149,24 +149,23 @@ def pairs(words: Column) -> Column:
     return F.transform(heads, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
 
 
+def _runs_of(words: Column, n: int) -> Column:
+    """Every n neighbouring words joined by blanks."""
+    heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+    return F.transform(heads, lambda _, i: F.array_join(F.slice(words, i + 1, F.lit(n)), " "))
+
+
 def ngrams(words: Column, low: int, high: int) -> Column:
     """Words, pairs and longer runs for every length in ``low..high``."""
 
-    def runs(bound: Column) -> Column:
-        parts = []
-        for n in range(low, high + 1):
-            if n == 1:
-                parts.append(bound)
-            elif n == 2:
-                parts.append(pairs(bound))
-            else:
-                heads = F.slice(bound, F.lit(1), F.greatest(F.size(bound) - (n - 1), F.lit(0)))
-                parts.append(
-                    F.transform(heads, lambda _, i, n=n: F.array_join(F.slice(bound, i + 1, F.lit(n)), " "))
-                )
-        return parts[0] if len(parts) == 1 else F.concat(*parts)
-
-    return let(words, runs)
+    def parts(bound: Column) -> Column:
+        made = [
+            bound if n == 1 else pairs(bound) if n == 2 else _runs_of(bound, n)
+            for n in range(low, high + 1)
+        ]
+        return made[0] if len(made) == 1 else F.concat(*made)
+
+    return let(words, parts)
 
 
 def analyse(
