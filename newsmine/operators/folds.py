@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsmine.operators.ordering import BUCKET, running
 
-_BUCKET_DIGITS = 2  # leading hex digits: 256 order-preserving buckets
+_BUCKET_DIGITS = 3  # leading hex digits: 4096 order-preserving buckets
 
 
 def stratified_folds(docs: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:

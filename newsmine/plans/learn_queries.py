@@ -19,6 +19,7 @@ from newsmine.operators import sinks as K
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
 from newsmine.session import cut, table, work_path
+from newsmine.sources.words import read_vectors
 
 STOP = spanish_stopwords()
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP) + ")"
@@ -86,6 +87,26 @@ def embedding_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return M.coverage(table(spark, sf, "documents").select("doc_id"), counts, vectors, size)
 
 
+@query(
+    "word_vector_scan",
+    _WORD_TABLE
+    + "SELECT word, len(vec)::INTEGER AS dims, vec[1]::DOUBLE AS head, vec[64]::DOUBLE AS tail FROM vectors",
+)
+def word_vector_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The word table as ``word f1 … fd`` lines, read back."""
+    vectors, _ = _word_vectors(spark, sf, _counts(spark, sf))
+    path = work_path(spark, "vectors")
+    numbers = F.array_join(F.col("vec").cast("array<string>"), " ")
+    vectors.select(F.concat_ws(" ", "word", numbers).alias("value")).write.text(path)
+    found = read_vectors(spark, path)
+    return found.select(
+        "word",
+        F.size("vec").alias("dims"),
+        F.element_at("vec", 1).cast("double").alias("head"),
+        F.element_at("vec", -1).cast("double").alias("tail"),
+    )
+
+
 # ── folds ─────────────────────────────────────────────────────────────────────
 
 _FOLDS = """

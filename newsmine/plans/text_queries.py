@@ -10,9 +10,12 @@ from newsmine.functions import text as T
 from newsmine.functions.stopwords import spanish_stopwords
 from newsmine.operators import bow as B
 from newsmine.operators import report as R
+from newsmine.operators import sinks as K
 from newsmine.operators import tfidf as W
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
+from newsmine.session import work_path
+from newsmine.sources.tables import load_dataset
 
 STOP = spanish_stopwords()
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP) + ")"
@@ -188,6 +191,28 @@ def idf_table(spark: SparkSession, sf: str) -> DataFrame:
     return idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
+@query(
+    "dataset_tables",
+    _COUNTS
+    + """SELECT 'docs' AS name, (SELECT count(*) FROM documents) AS n_rows, (SELECT sum(length(text))::BIGINT FROM documents) AS total
+UNION ALL SELECT 'vocab', count(*), sum(df)::BIGINT FROM vocab UNION ALL SELECT 'tf', count(*), sum(n)::BIGINT FROM pruned""",
+)
+def dataset_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, vocabulary and counts, written and read back."""
+    tf, terms = _pruned(spark, sf)
+    folder = work_path(spark, "dataset")
+    K.write_dataset(_dated(spark, sf), B.vocabulary(terms), tf, folder)
+    tables = load_dataset(spark, folder, ("docs", "vocab", "tf"))
+    measures = {"docs": F.length("text"), "vocab": F.col("df"), "tf": F.col("n")}
+    parts = [
+        tables[name].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(m).alias("total")).select(
+            F.lit(name).alias("name"), "n_rows", "total"
+        )
+        for name, m in measures.items()
+    ]
+    return R.compare_models(parts)
+
+
 @query("label_totals", "SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang")
 def label_totals(spark: SparkSession, sf: str) -> DataFrame:
     return R.label_totals(X.table(spark, sf, "documents").select(F.col("lang").alias("label")))
