@@ -29,8 +29,10 @@ SELECT value FROM shown WHERE value IS NOT NULL
 def _log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Log lines that tell the events: timestamped, short, noisy, with trailing blanks."""
     number = F.col("event_id").cast("string")
-    second = F.timestamp_seconds(F.lit(1767225600) + F.col("event_id") % 86400)
-    stamp = F.date_format(second, "yyyy-MM-dd HH:mm:ss")
+    second = (F.col("event_id") % 86400).cast("int")
+    clock = [F.floor(second / 3600), F.floor(second / 60) % 60, second % 60]
+    digits = [F.lpad(c.cast("string"), 2, "0") for c in clock]
+    stamp = F.concat(F.lit("2026-01-01 "), F.concat_ws(":", *digits))
     kind = F.col("event_type")
     line = (
         F.when(kind == "view", F.concat(stamp, F.lit(" [core] DEBUG: Crawled (200) <GET nota-"), number, F.lit(">  ")))
