@@ -220,14 +220,14 @@ def fit_lsa(
     if dims > n_terms:
         raise ValueError(f"{dims} dimensions need at least as many terms, found {n_terms}")
     rows = cut(weighted_rows(tf, terms))
-    # Every task returns a whole block, so a task should read several cells per term.
-    tasks = max(1, n_cells // (_CELLS_PER_TERM * n_terms))
-    if rows.rdd.getNumPartitions() > tasks:
-        rows = rows.coalesce(tasks)
     width = min(dims + oversample, n_terms)
     spark = docs.sparkSession
     if n_terms * width * 8 <= block_bytes:
-        loadings = _fit_broadcast(rows, n_terms, dims, width, rounds, seed)
+        # Every task returns a whole block, so a task should read several cells per
+        # term; the size check above bounds what one task then holds.
+        tasks = max(1, n_cells // (_CELLS_PER_TERM * n_terms))
+        few = rows.coalesce(tasks) if rows.rdd.getNumPartitions() > tasks else rows
+        loadings = _fit_broadcast(few, n_terms, dims, width, rounds, seed)
         offsets = np.arange(0, loadings.size + 1, dims, dtype=np.int32)
         lists = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(loadings).ravel())
         frame = pa.table({"idx": np.arange(n_terms, dtype=np.int64), "vec": lists})
