@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmine.llm import exact, langid, packing, pieces, quality, tokencount, urlfilter
+from newsmine.llm import exact, langid, packing, pieces, quality, substrings, tokencount, urlfilter
 from newsmine.llm.common import documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_url_filter")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.url_verdicts(pages(spark, folder), urlfilter.labelled_urls(spark))
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(documents(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
