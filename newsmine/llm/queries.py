@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmine.llm import exact, langid, packing, pieces, quality, substrings, suffixes, tokencount, urlfilter
+from newsmine.llm import exact, jaccard, langid, packing, pieces, quality, substrings, suffixes, tokencount, urlfilter
 from newsmine.llm.common import documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.without_repeats(documents(spark, folder))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_ngram_jaccard")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.near_duplicates(documents(spark, folder))
+    return found.select("doc_id", "n_shingles", "component_id")
