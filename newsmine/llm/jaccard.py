@@ -37,8 +37,8 @@ class Sets:
     percent: int = 90
     #: Buckets of the frequency table that orders the n-grams: a fixed size, whatever the corpus.
     buckets: int = 1 << 20
-    #: Sets of so many classes at most are fetched by a broadcast list of ids; more by a join.
-    broadcast_rows: int = 1_000_000
+    #: Sets of so many classes at most are fetched by a broadcast list of ids (24 bytes each); more by a join.
+    broadcast_rows: int = 500_000
 
     def needed(self, a: Column, b: Column) -> Column:
         """Least overlap of linked sets of these sizes."""
@@ -105,7 +105,8 @@ def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
                 total += np.frombuffer(value.as_py(), np.int32)
         return total
 
-    rows = facts.where(F.col("counts").isNotNull()).select("counts")
+    # As many partial tables as there are cores, not as there are tasks.
+    rows = facts.where(F.col("counts").isNotNull()).select("counts").coalesce(facts.sparkSession.sparkContext.defaultParallelism)
     return np.log2(total_of(rows, added, (sets.buckets,)) + 1).astype(np.uint64)
 
 
@@ -183,11 +184,10 @@ def _rest_pairs(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
     return met.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
 
 
-def _fetched(texts: DataFrame, facts: DataFrame, wanted: DataFrame, sets: Sets) -> DataFrame:
-    """(cls, grams) of the wanted classes, from the text of one document of each."""
-    chosen = stored(facts.groupBy("cls").agg(F.min("id").alias("id")).join(wanted, "cls", "left_semi"), "jaccard-wanted")
-    few = F.broadcast(chosen) if chosen.count() <= sets.broadcast_rows else chosen
-    found = texts.join(few, "id").select("id", "text", "cls")
+def _sets_of(texts: DataFrame, wanted: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b, grams) for wanted rows (id, a, b): the set of class ``b``, taken from the text ``id``."""
+    few = F.broadcast(wanted) if wanted.count() <= sets.broadcast_rows else wanted
+    found = texts.join(few, "id").select("id", "text", "a", "b")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -195,19 +195,26 @@ def _fetched(texts: DataFrame, facts: DataFrame, wanted: DataFrame, sets: Sets)
                 text, marks = set_members(data, offsets, sets.words)
                 size, cls = classes_of(text, marks, rows.num_rows)
                 grams = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), K.signed(marks))
-                same = pa.array(cls.view(np.int64) == rows.column(2).to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([rows.column(2), grams], names=["cls", "grams"]).filter(same)
+                same = pa.array(cls.view(np.int64) == rows.column(3).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), grams], names=["a", "b", "grams"]).filter(same)
 
-    return stored(found.mapInArrow(run, "cls long, grams array<long>").dropDuplicates(["cls"]), "jaccard-sets")
+    return found.mapInArrow(run, "a long, b long, grams array<long>")
 
 
-def _compared(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, overlap, apart): both sizes, the overlap, and what only one of the sets holds."""
-    one = members.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a"))
-    two = members.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b"))
-    met = pairs.join(one, "a").join(two, "b")
+def _compared(texts: DataFrame, facts: DataFrame, pairs: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b, n_a, n_b, overlap, apart): both sizes, the overlap, and what only one of the sets holds.
+
+    Only two shuffles carry sets: those of the leaders, and for each pair the
+    other set, which goes straight to its leader.
+    """
+    ids = facts.groupBy("cls").agg(F.min("id").alias("id"))
+    ends = stored(pairs.join(ids.withColumnRenamed("cls", "b"), "b").select("id", "a", "b"), "jaccard-members")
+    heads = stored(ids.join(pairs.select(F.col("a").alias("cls")).distinct(), "cls").select("id", F.col("cls").alias("a"), F.col("cls").alias("b")), "jaccard-heads")
+    one = _sets_of(texts, heads, sets).select("a", F.col("grams").alias("grams_a"))
+    two = _sets_of(texts, ends, sets).select("a", "b", F.col("grams").alias("grams_b"))
+    met = one.join(two, "a")
     apart = F.concat(F.array_except("grams_a", "grams_b"), F.array_except("grams_b", "grams_a"))
-    sized = met.select("a", "b", F.size("grams_a").alias("n_a"), F.size("grams_b").alias("n_b"), apart.alias("apart"))
+    sized = met.select("a", "b", F.size("grams_a").alias("n_a"), F.size("grams_b").alias("n_b"), apart.alias("apart")).dropDuplicates(["a", "b"])
     return sized.withColumn("overlap", ((F.col("n_a") + F.col("n_b") - F.size("apart")) / 2).cast("long"))
 
 
@@ -261,8 +268,7 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     filled = facts.where("n > 0")
     lists = _index(texts, levels, sets)
     pairs = stored(_leader_pairs(lists, sets), "jaccard-leaders")
-    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    answers = stored(_compared(pairs, _fetched(texts, filled, ends, sets)), "jaccard-answers")
+    answers = stored(_compared(texts, filled, pairs, sets), "jaccard-answers")
     good = sets.linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
     links = answers.where(good).select("a", "b", "overlap")
     labels = components(links)
@@ -270,9 +276,8 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     rest = stored(_rest_pairs(lists, labels, sets).join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
     if not rest.isEmpty():
         derived = stored(_derived(rest, answers), "jaccard-derived")
-        last = rest.join(derived.select("a", "b"), ["a", "b"], "left_anti")
-        ends = last.select(F.col("a").alias("cls")).union(last.select(F.col("b").alias("cls"))).distinct()
-        compared = _compared(last, _fetched(texts, filled, ends, sets)).select("a", "b", "n_a", "n_b", "overlap")
+        last = stored(rest.join(derived.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-last")
+        compared = _compared(texts, filled, last, sets).select("a", "b", "n_a", "n_b", "overlap")
         more = stored(derived.unionByName(compared).where(good).select("a", "b", "overlap"), "jaccard-more")
         if not more.isEmpty():
             links = links.unionByName(more)
