@@ -36,7 +36,7 @@ class Sets:
     words: int = 3
     percent: int = 90
     #: Buckets of the frequency table that orders the n-grams: a fixed size, whatever the corpus.
-    buckets: int = 1 << 20
+    buckets: int = 1 << 18
     #: Sets of so many classes at most are fetched by a broadcast list of ids (24 bytes each); more by a join.
     broadcast_rows: int = 500_000
 
@@ -107,7 +107,7 @@ def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
 
     # As many partial tables as there are cores, not as there are tasks.
     rows = facts.where(F.col("counts").isNotNull()).select("counts").coalesce(facts.sparkSession.sparkContext.defaultParallelism)
-    return np.log2(total_of(rows, added, (sets.buckets,)) + 1).astype(np.uint64)
+    return np.log2(total_of(rows, added, (sets.buckets,)) + 1).astype(np.uint8)
 
 
 def _index(texts: DataFrame, levels: np.ndarray, sets: Sets) -> DataFrame:
@@ -218,6 +218,28 @@ def _compared(texts: DataFrame, facts: DataFrame, pairs: DataFrame, sets: Sets)
     return sized.withColumn("overlap", ((F.col("n_a") + F.col("n_b") - F.size("apart")) / 2).cast("long"))
 
 
+def _tests(rest: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What has to be compared so that the answers of ``rest`` can be derived.
+
+    One set of a pair was compared with a leader before, the most similar one of
+    its leaders counts. Comparing the other set with that leader as well answers
+    the pair, and all other pairs of that set with sets of this leader. Returned
+    are those comparisons (a is the leader), and the pairs without any leader.
+    """
+    met = answers.select(F.col("b").alias("node"), F.col("a").alias("lead"), F.col("overlap").alias("near"))
+    own = answers.select(F.col("a").alias("node"), F.col("a").alias("lead"), F.col("n_a").cast("long").alias("near"))
+    best = stored(met.union(own).groupBy("node").agg(F.max(F.struct("near", "lead")).alias("top")).select("node", F.col("top.lead").alias("lead")), "jaccard-best")
+    one = best.select(F.col("node").alias("a"), F.col("lead").alias("lead_a"))
+    two = best.select(F.col("node").alias("b"), F.col("lead").alias("lead_b"))
+    led = rest.join(one, "a", "left").join(two, "b", "left")
+    via = F.coalesce("lead_b", "lead_a")
+    other = F.when(F.col("lead_b").isNotNull(), F.col("a")).otherwise(F.col("b"))
+    tests = led.where(via.isNotNull()).select(via.alias("a"), other.alias("b")).where("a <> b").distinct()
+    tests = tests.join(answers.select("a", "b"), ["a", "b"], "left_anti")
+    alone = led.where(via.isNull()).select("a", "b")
+    return stored(tests, "jaccard-more-pairs"), stored(alone, "jaccard-alone")
+
+
 def _derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
     """Overlaps of pairs that were both compared with one leader: x and y differ where exactly one differs from it."""
     own = answers.select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("n_b").alias("n"), "apart")
@@ -275,9 +297,10 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     tested = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(_rest_pairs(lists, labels, sets).join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
     if not rest.isEmpty():
-        derived = stored(_derived(rest, answers), "jaccard-derived")
-        last = stored(rest.join(derived.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-last")
-        compared = _compared(texts, filled, last, sets).select("a", "b", "n_a", "n_b", "overlap")
+        tests, alone = _tests(rest, answers)
+        known = answers.unionByName(stored(_compared(texts, filled, tests, sets), "jaccard-tests"))
+        derived = _derived(rest, known)
+        compared = _compared(texts, filled, alone, sets).select("a", "b", "n_a", "n_b", "overlap")
         more = stored(derived.unionByName(compared).where(good).select("a", "b", "overlap"), "jaccard-more")
         if not more.isEmpty():
             links = links.unionByName(more)
