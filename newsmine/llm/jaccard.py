@@ -6,7 +6,7 @@ every index list one set leads: the one that holds the n-gram earliest in its
 order. First only leaders are compared with the members of their lists. What is then
 connected needs no comparison any more. For the rest, lists are cut into blocks
 by size and position, pairs of blocks that cannot hold a link are skipped whole,
-and a pair that was compared with the same leader gets its overlap from the two
+bit sketches rule out most of what is left, and a pair that was compared with the same leader gets its overlap from the two
 answers' differences instead of from the sets.
 """
 
@@ -36,7 +36,7 @@ class Sets:
     words: int = 3
     percent: int = 90
     #: Buckets of the frequency table that orders the n-grams: a fixed size, whatever the corpus.
-    buckets: int = 1 << 18
+    buckets: int = 1 << 19
     #: Sets of so many classes at most are fetched by a broadcast list of ids (24 bytes each); more by a join.
     broadcast_rows: int = 500_000
 
@@ -76,8 +76,28 @@ def classes_of(text: np.ndarray, marks: np.ndarray, number: int) -> tuple[np.nda
     return size, K.mix(np.diff(total[bounds]) ^ (size.astype(np.uint64) << np.uint64(40)))
 
 
+def parities(text: np.ndarray, marks: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """A bit sketch of each set, one bit for each member or up to twice as many.
+
+    Every member flips one bit, so two sketches differ in no more bits than the
+    sets do in members: more differing bits than linked sets may have prove that
+    there is no link, without reading the sets.
+    """
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    begin = np.cumsum(bits) - bits
+    flips = np.bincount(begin[text] + (marks >> np.uint64(20)).astype(np.int64) % bits[text], minlength=int(bits.sum()))
+    packed = np.packbits((flips & 1).astype(np.uint8), bitorder="little")
+    return [packed[b // 8 : (b + n) // 8].tobytes() for b, n in zip(begin.tolist(), bits.tolist(), strict=True)]
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded to the shorter one's length."""
+    one, two = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(np.bitwise_count(one ^ np.bitwise_xor.reduce(two.reshape(-1, len(one)), axis=0)).sum())
+
+
 def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
-    """(id, n, cls) of every row; each task adds one row of n-gram counts (null n)."""
+    """(id, n, cls, sketch) of every row; each task adds one row of n-gram counts (null n)."""
 
     def run(batches: Batches) -> Batches:
         counts = np.zeros(sets.buckets, np.int32)
@@ -87,12 +107,13 @@ def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
                 size, cls = classes_of(text, marks, rows.num_rows)
                 counts += np.bincount((marks % np.uint64(sets.buckets)).astype(np.int64), minlength=sets.buckets).astype(np.int32)
                 none = pa.nulls(rows.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size, pa.int64()), K.signed(cls), none], names=["id", "n", "cls", "counts"])
+                sketch = pa.array(parities(text, marks, size), pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size, pa.int64()), K.signed(cls), sketch, none], names=["id", "n", "cls", "sketch", "counts"])
         if counts.any():
             nothing = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.array([counts.tobytes()], pa.binary())], names=["id", "n", "cls", "counts"])
+            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["id", "n", "cls", "sketch", "counts"])
 
-    return stored(texts.mapInArrow(run, "id long, n long, cls long, counts binary"), "jaccard-facts")
+    return stored(texts.mapInArrow(run, "id long, n long, cls long, sketch binary, counts binary"), "jaccard-facts")
 
 
 def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
@@ -184,6 +205,24 @@ def _rest_pairs(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
     return met.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
 
 
+def _plausible(pairs: DataFrame, facts: DataFrame, sets: Sets) -> DataFrame:
+    """``pairs`` without those whose sketches prove that they are not linked."""
+    own = facts.groupBy("cls").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+    one = own.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = own.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            apart = np.array([differing_bits(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5), strict=True)], np.int64)
+            # Linked sets overlap in at least percent / (100 + percent) of both sizes.
+            most = sizes - 2 * -(-sets.percent * sizes // (100 + sets.percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(apart <= most))
+
+    return stored(met.mapInArrow(run, "a long, b long"), "jaccard-plausible")
+
+
 def _sets_of(texts: DataFrame, wanted: DataFrame, sets: Sets) -> DataFrame:
     """(a, b, grams) for wanted rows (id, a, b): the set of class ``b``, taken from the text ``id``."""
     few = F.broadcast(wanted) if wanted.count() <= sets.broadcast_rows else wanted
@@ -270,7 +309,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 @dataclass(frozen=True)
 class Joined:
-    """Rows (id, n, cls) and links (a, b, overlap) between classes."""
+    """Rows (id, n, cls, sketch) and links (a, b, overlap) between classes."""
 
     facts: DataFrame
     links: DataFrame
@@ -286,16 +325,16 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     texts = narrow(docs)
     rows = _facts(texts, sets)
     levels = _levels(rows, sets)
-    facts = rows.where(F.col("n").isNotNull()).select("id", "n", "cls")
+    facts = rows.where(F.col("n").isNotNull()).select("id", "n", "cls", "sketch")
     filled = facts.where("n > 0")
     lists = _index(texts, levels, sets)
-    pairs = stored(_leader_pairs(lists, sets), "jaccard-leaders")
+    pairs = _plausible(_leader_pairs(lists, sets), filled, sets)
     answers = stored(_compared(texts, filled, pairs, sets), "jaccard-answers")
     good = sets.linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
     links = answers.where(good).select("a", "b", "overlap")
     labels = components(links)
     tested = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(_rest_pairs(lists, labels, sets).join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = _plausible(_rest_pairs(lists, labels, sets).join(tested, ["a", "b"], "left_anti"), filled, sets)
     if not rest.isEmpty():
         tests, alone = _tests(rest, answers)
         known = answers.unionByName(stored(_compared(texts, filled, tests, sets), "jaccard-tests"))

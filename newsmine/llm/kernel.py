@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 2 * 1024 * 1024
+BLOCK = 1024 * 1024
 U = np.uint64
 _BASE = int(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 2**64)

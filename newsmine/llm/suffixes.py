@@ -101,7 +101,8 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
     A byte goes if a ``window``-byte string over it also starts anywhere else, in
     the same text or another; all copies go. ``kept`` (binary) holds the other
     bytes, ``n_spans`` counts the removed runs. Strings are judged on the input.
-    ``rest`` adds a struct of all columns of the row.
+    ``rest`` adds a struct of all columns of the row, and ``kept`` is a text then:
+    characters that lose some of their bytes go with them.
 
     A null or empty text has no bytes; texts shorter than a string stay. Rows that
     repeat a doc_id with the same text are one document, not copies of each
@@ -126,11 +127,12 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
                 total = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])  # noqa: B023,E731
                 bounds = np.concatenate([[0], np.cumsum(~gone)])[offsets].astype(np.int64)
                 kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows.num_rows, [None, pa.py_buffer(bounds), pa.py_buffer(data[~gone])])
-                columns = [rows.column(0), pa.array(np.diff(offsets)), pa.array(total(gone)), pa.array(total(begun)), kept.cast(pa.binary())]
+                left = pa.array([k.as_py().decode("utf-8", "ignore") for k in kept], pa.string()) if rest else kept.cast(pa.binary())
+                columns = [rows.column(0), pa.array(np.diff(offsets)), pa.array(total(gone)), pa.array(total(begun)), left]
                 names = ["id", "n_bytes", "n_removed", "n_spans", "kept"]
                 yield pa.RecordBatch.from_arrays([*columns, *([rows.column(2)] if rest else [])], names=[*names, *(["rest"] if rest else [])])
 
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept binary" + (f", rest {own}" if rest else "")
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept " + (f"string, rest {own}" if rest else "binary")
     found = windows.with_covers(whole, covers).mapInArrow(run, schema)
     return found.select(original(F.col("id")).alias("doc_id"), *found.columns[1:])
 
@@ -142,15 +144,8 @@ def deduplicated(docs: DataFrame, window: int = 400, batches: int = 4) -> DataFr
     new text where the table has it.
     """
 
-    def readable(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            texts = pa.array([(k.as_py() or b"").decode("utf-8", "ignore") for k in batch.column(0)], pa.string())
-            yield pa.RecordBatch.from_arrays([texts, batch.column(1)], names=["text", "rest"])
-
-    found = without_repeats(docs, window, batches=batches, rest=True).select("kept", "rest")
-    own = found.schema["rest"].dataType.simpleString()
-    trimmed = found.mapInArrow(readable, f"text string, rest {own}")
-    made = {"text": F.when(F.col("rest.text").isNotNull(), F.col("text"))}
+    trimmed = without_repeats(docs, window, batches=batches, rest=True).select("kept", "rest")
+    made = {"text": F.when(F.col("rest.text").isNotNull(), F.col("kept"))}
     if "n_chars" in docs.columns:
         made["n_chars"] = F.length(made["text"]).cast("long")
     return trimmed.select(*[made.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
