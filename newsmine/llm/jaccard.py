@@ -16,13 +16,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmine.llm import kernel as K
-from newsmine.llm.common import Batches, narrow, original, stored
-from newsmine.operators.blocks import total_of
+from newsmine.llm.common import Batches, narrow, original, per_batch, stored
+from newsmine.operators.blocks import FAN_IN, SCHEMA, slices
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -36,7 +37,7 @@ class Sets:
     words: int = 3
     percent: int = 90
     #: Buckets of the frequency table that orders the n-grams: a fixed size, whatever the corpus.
-    buckets: int = 1 << 19
+    buckets: int = 1 << 20
     #: Sets of so many classes at most are fetched by a broadcast list of ids (24 bytes each); more by a join.
     broadcast_rows: int = 500_000
 
@@ -117,18 +118,38 @@ def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
-    """How common the n-grams of each bucket are, as a power of two."""
+    """How common the n-grams of each bucket are, as a power of two.
 
-    def added(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    Tables are added level by level, FAN_IN at a time; the driver gets one byte a bucket.
+    """
+
+    def partial(batches: Batches) -> Batches:
         total = np.zeros(sets.buckets)
         for batch in batches:
             for value in batch.column(0):
                 total += np.frombuffer(value.as_py(), np.int32)
-        return total
+        yield from slices(total)
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(p) for p in pdf["payload"]], axis=0)
+        return pd.DataFrame({"part": [pdf["part"].min()], "slice": [pdf["slice"].iloc[0]], "payload": [total.tobytes()]})
+
+    def levelled(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        codes = [np.log2(np.frombuffer(p.as_py()) + 1).astype(np.uint8).tobytes() for p in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["slice", "payload"])
 
     # As many partial tables as there are cores, not as there are tasks.
-    rows = facts.where(F.col("counts").isNotNull()).select("counts").coalesce(facts.sparkSession.sparkContext.defaultParallelism)
-    return np.log2(total_of(rows, added, (sets.buckets,)) + 1).astype(np.uint8)
+    cores = facts.sparkSession.sparkContext.defaultParallelism
+    parts = facts.where(F.col("counts").isNotNull()).select("counts").coalesce(cores).mapInArrow(partial, SCHEMA)
+    left = cores
+    while True:
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "slice").applyInPandas(added, SCHEMA)
+        left = -(-left // FAN_IN)
+        if left == 1:
+            break
+    found = {r["slice"]: r["payload"] for r in parts.select("slice", "payload").mapInArrow(per_batch(levelled), "slice int, payload binary").collect()}
+    whole = b"".join(bytes(found[k]) for k in sorted(found))
+    return np.frombuffer(whole, np.uint8) if whole else np.zeros(sets.buckets, np.uint8)
 
 
 def _index(texts: DataFrame, levels: np.ndarray, sets: Sets) -> DataFrame:

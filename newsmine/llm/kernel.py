@@ -7,6 +7,8 @@ not the partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,6 +16,11 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1024 * 1024
+# Workers live long and are reused: large arrays go back to the system when freed,
+# instead of staying in the worker's heap (-3 is glibc's M_MMAP_THRESHOLD).
+pa.set_memory_pool(pa.system_memory_pool())
+with contextlib.suppress(OSError, AttributeError):
+    ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)
 U = np.uint64
 _BASE = int(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 2**64)
