@@ -6,7 +6,7 @@ tag name balances. Unclosed elements are the known limit.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,10 +15,14 @@ from newsmine.config import SiteSettings
 from newsmine.functions.text import const_map, let, strip, substitute
 
 _MARKUP = r"(?s)<!--.*?-->|<[a-zA-Z/!?][^>]*>"
-_COMMENT = r"(?s)<!--.*?-->"
-# Blocks that never hold article text.
-_BLOCKS = r"(?is)<(script|style|nav|aside|header|footer)(?=[\s/>]).*?</\1\s*>"
-_ENTITY = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# A comment or a block whose content is no markup, whichever starts first.
+_UNSEEN = r"(?is)<!--.*?-->|<(script|style)(?=[\s/>]).*?</\1\s*>"
+# Other blocks that never hold article text.
+_LAYOUT = "nav|aside|header|footer"
+_LAYOUT_MARK = rf"(?i)<(/?)(?:{_LAYOUT})(?=[\s/>])"
+# A layout block that holds no block of its own name; possessive, so long pages need no deep stack.
+_INNERMOST = rf"(?is)<({_LAYOUT})(?=[\s/>])[^>]*>[^<]*+(?:<(?!/?\1[\s/>])[^<]*+)*+</\1\s*>"
+_ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{1,31};?)"
 
 _ITEMS = "array<struct<type:string,content:string>>"
 ISLAND = (
@@ -36,35 +40,55 @@ def _legacy_code_points() -> dict[str, str]:
     return {str(code): str(ord(char)) for code, char in chars.items() if char}
 
 
+def _open_names() -> list[str]:
+    """Names that also count without a semicolon, longest first."""
+    return sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+
+
 def _named_characters() -> dict[str, str]:
-    return {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+    """All HTML5 names; the common ones come first, as a map is searched in order."""
+    rest = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+    return {name: html5[name] for name in _open_names()} | rest
 
 
 def _number_to_char(number: Column) -> Column:
     """``#243`` or ``#xF3`` to its character; impossible numbers to U+FFFD."""
-    code = F.when(
-        number.rlike("^#[xX]"), F.conv(F.substring(number, F.lit(3), F.lit(8)), 16, 10)
-    ).otherwise(F.substring(number, F.lit(2), F.lit(10)))
-    code = F.coalesce(const_map(_legacy_code_points())[code], code).cast("long")
+
+    def value(digits: Column) -> Column:
+        # More than seven digits are beyond the last code point in either base.
+        known = (
+            F.when(digits == "", F.lit("0"))
+            .when(F.length(digits) > 7, F.lit(str(0x110000)))
+            .when(number.rlike("^#[xX]"), F.conv(digits, 16, 10))
+            .otherwise(digits)
+        )
+        return let(known, lambda k: F.coalesce(const_map(_legacy_code_points())[k], k).cast("long"))
 
     def char(c: Column) -> Column:
         broken = (c == 0) | c.between(0xD800, 0xDFFF) | (c > 0x10FFFF)
         valid = F.when(broken, F.lit(0xFFFD).cast("long")).otherwise(c)
         return F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32")
 
-    return let(code, char)
+    return let(let(F.regexp_replace(number, "^#[xX]?0*", ""), value), char)
 
 
 def _decode_entity(hit: Column) -> Column:
-    name = F.substring(hit, F.lit(2), F.length(hit) - 2)
-    char = F.when(name.startswith("#"), _number_to_char(name)).otherwise(
-        const_map(_named_characters())[name]
+    known = const_map(_named_characters())
+    name = F.regexp_replace(F.substring(hit, F.lit(2), F.length(hit)), ";$", "")
+    start = F.regexp_extract(hit, f"^&({'|'.join(_open_names())})", 1)
+    shorter = let(
+        start,
+        lambda s: F.when(s != "", F.concat(known[s], F.substring(hit, F.length(s) + 2, F.length(hit)))),
     )
-    return F.coalesce(char, hit)
+    whole = F.when(name.startswith("#"), _number_to_char(name)).when(hit.endswith(";"), known[name])
+    return F.coalesce(whole, shorter, hit)
 
 
 def unescape(text: Column) -> Column:
-    """Character references to characters; unknown names stay as written."""
+    """Character references to characters; unknown names stay as written.
+
+    Without a semicolon the longest name counts that HTML allows to stand without one.
+    """
     return F.when(text.contains("&"), substitute(text, _ENTITY, _decode_entity)).otherwise(text)
 
 
@@ -96,26 +120,49 @@ def _div_of_class(name: str) -> str:
     )
 
 
+def balanced(rest: Column, tag: str) -> Column:
+    """What comes before the end of an element whose opening tag stood before ``rest``."""
+    same_tag = rf"(?i)<(/?){tag}(?=[\s/>])[^>]*>"
+    marks = F.regexp_extract_all(rest, F.lit(same_tag), F.lit(1))
+    start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept"))
+
+    def walk(state: Column, mark: Column) -> Column:
+        depth = state["depth"] + F.when(mark == "/", -1).otherwise(1)
+        inside = state["depth"] > 0
+        return F.struct(
+            F.when(inside, depth).otherwise(0).alias("depth"),
+            (state["kept"] + F.when(inside & (depth > 0), 1).otherwise(0)).alias("kept"),
+        )
+
+    kept = F.aggregate(marks, start, walk)["kept"]
+    return F.array_join(F.slice(F.split(rest, same_tag, -1), F.lit(1), kept), "<br>")
+
+
 def container(html: Column, opening: str, tag: str) -> Column:
     """Inner HTML of the first element that matches ``opening``; null without one."""
-    same_tag = rf"(?i)<(/?){tag}(?=[\s/>])[^>]*>"
+    return let(F.get(F.split(html, opening, 2), F.lit(1)), lambda rest: balanced(rest, tag))
+
 
-    def balanced(rest: Column) -> Column:
-        marks = F.regexp_extract_all(rest, F.lit(same_tag), F.lit(1))
-        start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept"))
+def seen(html: Column) -> Column:
+    """The page without comments, scripts and styles."""
+    return F.regexp_replace(html, _UNSEEN, "<br>")
+
+
+def without_layout(html: Column) -> Column:
+    """The page without navigation and the like; innermost blocks go first, as often as blocks nest."""
+
+    def deepest(page: Column) -> Column:
+        marks = F.regexp_extract_all(page, F.lit(_LAYOUT_MARK), F.lit(1))
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("most"))
 
         def walk(state: Column, mark: Column) -> Column:
-            depth = state["depth"] + F.when(mark == "/", -1).otherwise(1)
-            inside = state["depth"] > 0
-            return F.struct(
-                F.when(inside, depth).otherwise(0).alias("depth"),
-                (state["kept"] + F.when(inside & (depth > 0), 1).otherwise(0)).alias("kept"),
-            )
+            depth = F.greatest(state["depth"] + F.when(mark == "/", -1).otherwise(1), F.lit(0))
+            return F.struct(depth.alias("depth"), F.greatest(state["most"], depth).alias("most"))
 
-        kept = F.aggregate(marks, start, walk)["kept"]
-        return F.array_join(F.slice(F.split(rest, same_tag, -1), F.lit(1), kept), "<br>")
+        return F.aggregate(marks, start, walk)["most"]
 
-    return let(F.get(F.split(html, opening, 2), F.lit(1)), balanced)
+    rounds = F.array_repeat(F.lit(0), deepest(html))
+    return F.aggregate(rounds, html, lambda page, _: F.regexp_replace(page, _INNERMOST, "<br>"))
 
 
 def visible_text(html: Column, site: SiteSettings) -> Column:
@@ -127,9 +174,8 @@ def visible_text(html: Column, site: SiteSettings) -> Column:
             lambda t: F.when(F.length(t) >= site.min_text_length, t),
         )
 
-    bare = F.regexp_replace(F.regexp_replace(html, _BLOCKS, "<br>"), _COMMENT, "<br>")
     return let(
-        bare,
+        let(seen(html), without_layout),
         lambda b: F.coalesce(
             accepted(_div_of_class(site.wrapper_class), "div", b),
             accepted(r"(?i)<article(?=[\s/>])[^>]*>", "article", b),
@@ -140,7 +186,7 @@ def visible_text(html: Column, site: SiteSettings) -> Column:
 def section(html: Column, site: SiteSettings) -> Column:
     """Content of the first section tag, trimmed and lower-cased; null if absent or empty."""
     metas = F.regexp_extract_all(
-        F.regexp_replace(html, _COMMENT, ""),
+        seen(html),
         F.lit(r"""(?i)(<meta(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>)"""),
         F.lit(1),
     )
@@ -210,22 +256,36 @@ def body_text(html: Column, data: Column, site: SiteSettings) -> Column:
 
 
 def publication_date(html: Column, data: Column, site: SiteSettings) -> Column:
-    """ISO string from the island, else from the first date element, else ``''``."""
+    """ISO string from the island, else from the first date element, else ``''``.
+
+    A date element is a ``time`` with a datetime anywhere, or any ``time`` inside a
+    ``div`` of the date class. Such a ``div`` is read up to the next one of its class.
+    """
     dated = r"""(?is)<time\s(?:[^>]*[\s"'])?datetime\s*=[^>]*>"""
     any_time = r"(?is)<time(?=[\s/>])[^>]*>"
-    block_opening = _div_of_class(site.date_class)
-    block = container(html, block_opening, "div")
-    block_tag = F.regexp_substr(block, F.lit(any_time))
-    block_text = F.array_join(text_pieces(container(block, any_time, "time")), "")
-    block_value = F.coalesce(attribute(block_tag, "datetime"), block_text)
-    dated_tag = F.regexp_substr(html, F.lit(dated))
-    dated_at = F.regexp_instr(html, F.lit(dated))
-    block_at = F.regexp_instr(html, F.lit(block_opening))
-    from_time = (
-        F.when((dated_at > 0) & ((block_at == 0) | (dated_at < block_at)), attribute(dated_tag, "datetime"))
-        .when(block_tag.isNotNull(), block_value)
-        .when(dated_at > 0, attribute(dated_tag, "datetime"))
-    )
+
+    def first_dated(page: Column) -> Column:
+        return attribute(F.regexp_substr(page, F.lit(dated)), "datetime")
+
+    def block_value(block: Column) -> Column:
+        tag = F.regexp_substr(block, F.lit(any_time))
+        text = F.array_join(text_pieces(container(block, any_time, "time")), "")
+        return F.coalesce(attribute(tag, "datetime"), text)
+
+    def from_pieces(pieces: Column) -> Column:
+        # Each piece but the first follows the opening of a date block.
+        blocks = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: balanced(p, "div"))
+        timed = F.transform(blocks, lambda b: F.when(b.rlike(any_time), b))
+
+        def chosen(timed: Column) -> Column:
+            value = F.get(F.filter(timed, lambda b: b.isNotNull()), F.lit(0))
+            at = F.array_position(F.transform(timed, lambda b: b.isNotNull()), True)
+            ahead = F.array_join(F.slice(pieces, F.lit(1), F.when(at > 0, at).otherwise(F.size(pieces)).cast("int")), "<br>")
+            return F.coalesce(first_dated(ahead), F.when(at > 0, block_value(value)))
+
+        return let(timed, chosen)
+
+    from_time = let(F.split(seen(html), _div_of_class(site.date_class), -1), from_pieces)
     return F.coalesce(
         F.nullif(data["display_date"], F.lit("")),
         F.nullif(data["first_publish_date"], F.lit("")),

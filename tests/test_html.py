@@ -21,6 +21,8 @@ def one(spark, html, expression):
         ("<p>a</p> \n<b> b  c </b><!-- <i>no</i> -->&nbsp;", "a b  c"),
         ("1 < 2 <br>3", "1 < 2 3"),
         ("&#0;&#xD800;&#1114112;", "���"),
+        ("&#0000000000243;&#x00000000F3;&#99999999999999999999;&#xFFFFFFFFFFFFFFFFFFFF;", "óó��"),
+        ("&period;&aacute &notit;&#243 &NotEqualTilde;", ".á ¬it;ó ≂̸"),
         ("", ""),
     ],
 )
@@ -36,6 +38,7 @@ def test_fragment_text(spark, html, expected):
         ("<META content=' El-Pais ' name='p12:section'/>", "el-pais"),
         ('<meta name="other" content="a"><meta name="p12:section" content="a>b">', "a>b"),
         ('<!-- <meta name="p12:section" content="x"> -->', None),
+        ('<script>s = \'<meta name="p12:section" content="x">\'</script><meta name="p12:section" content="y">', "y"),
     ],
 )
 def test_section(spark, html, expected):
@@ -93,6 +96,9 @@ def test_null_elements_give_no_text(spark):
         ('<time>n</time><div class="p12Date"><time> 3 <b>mar</b></time></div><time datetime="c"/>', "3mar"),
         ('<time datetime="c">x</time><div class="p12Date"><time>d</time></div>', "c"),
         ("<time>n</time>", ""),
+        ('<!-- <time datetime="1999"> --><script>"<time datetime=1998>"</script><time datetime="2026">', "2026"),
+        ('<div class="p12Date">x</div><div class="p12Date"><time>e</time></div>', "e"),
+        ('<div class="p12Date">x</div><time datetime="c"/><div class="p12Date"><time>e</time></div>', "c"),
     ],
 )
 def test_publication_date(spark, html, expected):
@@ -104,3 +110,18 @@ def test_rejected_and_kept_cover_all(spark):
     pages = spark.createDataFrame([(1, "x"), (2, f"<article>{'q' * 200}</article>")], "doc_id int, html string")
     assert [r.doc_id for r in E.rejected(pages, SITE).collect()] == [1]
     assert [r.doc_id for r in E.documents(pages, SITE).collect()] == [2]
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<!-- <script> -->a<script>b</script>c", "a c"),
+        ("<script>'<!--'</script>a<!-- b -->c", "a c"),
+        ("<nav>a<nav>b</nav>TAIL</nav>c", "c"),
+        ("<nav>a<aside>b<nav>c</nav></aside><nav>d</nav>e</NAV >f</nav>", "f"),
+        ("<nav>a<header>b</header>c", "a c"),
+        ("<nav>" + "x <b>y</b> " * 50000 + "</nav>z", "z"),
+    ],
+)
+def test_blocks_without_article_text(spark, html, expected):
+    assert one(spark, html, lambda c: H.fragment_text(H.without_layout(H.seen(c)))) == expected
