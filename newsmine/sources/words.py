@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,15 +46,27 @@ def preferred_words(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_vectors(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:
-    """``word f1 … fd`` lines as (word, vec array<float>); a repeated word keeps its last line."""
-    meta = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
-    parts = F.split(F.regexp_replace("value", f"{sep}+$", ""), sep)
-    rows = spark.read.text(path).select(
-        F.get(parts, F.lit(0)).alias("word"),
-        F.slice(parts, F.lit(2), F.size(parts)).cast("array<float>").alias("vec"),
-        F.struct(meta, F.monotonically_increasing_id()).alias("_line"),
-    )
-    rows = rows.where(F.size("vec") > 1)
+    """``word f1 … fd`` lines as (word, vec array<float>); a repeated word keeps its last line.
+
+    A first line of two whole numbers is a header, its second number the length of
+    all vectors; else the first line has that length. Blank lines are skipped, a
+    line of another length or with something that is no number is an error.
+    """
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    trimmed = F.regexp_replace("value", f"{sep}+$", "")
+    lines = spark.read.text(path).select(F.split(trimmed, sep).alias("parts"), at.alias("_line"), (trimmed == "").alias("blank"))
+    lines = lines.where(~F.col("blank"))
+    # One line goes to the driver.
+    first = lines.agg(F.min_by("parts", "_line")).first()[0] or []
+    header = len(first) == 2 and all(re.fullmatch("[0-9]+", p) for p in first)
+    width = int(first[1]) if header else len(first) - 1
+    if header:
+        start = lines.agg(F.min("_line").alias("_start"))
+        lines = lines.join(F.broadcast(start), F.col("_line") != F.col("_start"))
+    values = F.slice("parts", F.lit(2), F.size("parts"))
+    wrong = F.raise_error(F.concat(F.lit(f"a vector of {width} numbers is expected after: "), F.col("parts")[0]))
+    vec = F.when(F.size(values) == width, values.cast("array<float>")).otherwise(wrong.cast("array<float>"))
+    rows = lines.select(F.col("parts")[0].alias("word"), vec.alias("vec"), "_line")
     return rows.groupBy("word").agg(F.max_by("vec", "_line").alias("vec"))
 
 

@@ -110,5 +110,12 @@ def test_vector_file(spark, tmp_path):
     (tmp_path / "v.txt").write_text("2 2\nuno 1 2\ndos 3 4\nuno 5 6\n")
     found = {r.word: r.vec for r in read_vectors(spark, str(tmp_path / "v.txt")).collect()}
     assert found["uno"] == [5.0, 6.0] and found["dos"] == [3.0, 4.0]
+    (tmp_path / "one.txt").write_text("uno 1.5\ndos 2\n\n")
+    assert {r.word: r.vec for r in read_vectors(spark, str(tmp_path / "one.txt")).collect()} == {"uno": [1.5], "dos": [2.0]}
+    (tmp_path / "bad.txt").write_text("uno 1 2\ndos 3\n")
+    with pytest.raises(Exception, match="a vector of 2 numbers"):
+        read_vectors(spark, str(tmp_path / "bad.txt")).collect()
+    (tmp_path / "none.txt").write_text("")
+    assert read_vectors(spark, str(tmp_path / "none.txt")).count() == 0
     rows = spark.createDataFrame([("a", [1.0], 1), ("a", [2.0], 2)], "word string, vec array<float>, n int")
     assert last_vectors(rows, "n").first()["vec"] == [2.0]
