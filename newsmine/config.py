@@ -48,10 +48,10 @@ class ModelSettings:
     seed: int = 42
     n_components: int = 100
     c: float = 1.0
-    calibration_folds: int = 5
     max_iter: int = 100
+    # Steps of the probability sigmoids.
+    sigmoid_max_iter: int = 30
     tol: float = 1e-4
-    parallel_fits: int = 8
     # 'corpus' fits the vocabulary on all rows before the folds are drawn,
     # 'fold' on the training rows of each fold only.
     fit_scope: str = "corpus"

@@ -36,6 +36,9 @@ class Experiment:
     model: LinearSvm | None = None
     terms: list[str] | None = None
     lsa: L.LsaModel | None = None
+    # How its texts became words, so that a bundle can score raw texts alike.
+    stopwords: tuple[str, ...] = ()
+    text: TextSettings = TextSettings()
 
 
 def metrics_record(
@@ -79,10 +82,13 @@ def metrics_record(
     return predictions.sparkSession.createDataFrame([tuple(row.values())], METRICS_SCHEMA)
 
 
-def with_folds(docs: DataFrame, settings: ModelSettings) -> DataFrame:
-    """Documents with their fold; the small assignment is written once."""
-    folds = cut(stratified_folds(docs.select("doc_id", "label"), settings.n_folds, settings.seed))
-    return docs.join(folds.select("doc_id", "fold"), "doc_id")
+def with_folds(rows: DataFrame, settings: ModelSettings) -> DataFrame:
+    """Rows of (doc_id, label, …) with their fold; the small assignment is written once.
+
+    Joined by doc_id: give it narrow rows where there is a choice.
+    """
+    folds = cut(stratified_folds(rows.select("doc_id", "label"), settings.n_folds, settings.seed))
+    return rows.join(folds.select("doc_id", "fold"), "doc_id")
 
 
 def _run(trainer: SvmTrainer, evaluate: bool, final: bool):
@@ -102,19 +108,22 @@ def bow_experiment(
 ) -> Experiment:
     """Counts of words and pairs, the best k by chi-squared inside each fold, linear SVM."""
     started = time.time()
+    stopwords = tuple(stopwords)
     folded = with_folds(docs, settings)
-    sizes = fold_class_sizes(folded.select("fold", "label"))
+    sizes =fold_class_sizes(folded.select("fold", "label"))
     classes = list(next(iter(sizes.values())))
     termed = with_terms(folded, stopwords, text)
     tf = term_counts(termed, ("doc_id", "label", "fold"))
     chosen, n_terms = select_per_fold(tf, sizes, settings.k_terms, text, settings.fit_scope)
     rows, columns, words = count_vectors(termed, chosen)
     predictions, model = _run(SvmTrainer(cut(rows), classes, len(words), settings, columns), evaluate, final)
-    metrics = predictions and metrics_record(
-        predictions, classes, "SVM (kernel lineal)", f"chi2 (k={settings.k_terms})",
-        settings.n_folds, n_terms, settings.k_terms, started,
-    )
-    return Experiment(predictions, metrics, model, terms=words)
+    metrics = None
+    if predictions is not None:
+        metrics = metrics_record(
+            predictions, classes, "SVM (kernel lineal)", f"chi2 (k={settings.k_terms})",
+            settings.n_folds, n_terms, settings.k_terms, started,
+        )
+    return Experiment(predictions, metrics, model, terms=words, stopwords=stopwords, text=text)
 
 
 def lsa_experiment(
@@ -127,21 +136,23 @@ def lsa_experiment(
 ) -> Experiment:
     """TF-IDF, truncated SVD with unit rows, linear SVM."""
     started = time.time()
-    folded = with_folds(docs, settings)
-    termed = with_terms(folded, stopwords, text)
+    stopwords = tuple(stopwords)
+    termed = with_terms(docs, stopwords, text)
     model, weights = L.fit_lsa(termed.select("doc_id", "terms"), settings.n_components, text, seed=settings.seed)
-    vectors = cut(L.lsa_vectors(folded.select("doc_id", "label", "fold"), model, weights))
+    vectors = cut(L.lsa_vectors(docs.select("doc_id", "label"), model, weights))
     share = L.explained_variance(vectors, weights, settings.n_components)
-    rows = cut(vectors.select("doc_id", "label", "fold", F.col("vec").alias("val")))
+    rows = cut(with_folds(vectors.select("doc_id", "label", F.col("vec").alias("val")), settings))
     classes = _classes(rows)
     predictions, machine = _run(SvmTrainer(rows, classes, settings.n_components, settings), evaluate, final)
-    metrics = predictions and metrics_record(
-        predictions, classes, "TF-IDF + LSA + SVM (kernel lineal)",
-        f"TF-IDF → SVD ({settings.n_components} dims) — LSA",
-        settings.n_folds, model.n_terms, settings.n_components, started,
-        lsa_components=settings.n_components, lsa_var_explained=round(share, 4),
-    )
-    return Experiment(predictions, metrics, machine, lsa=model)
+    metrics = None
+    if predictions is not None:
+        metrics = metrics_record(
+            predictions, classes, "TF-IDF + LSA + SVM (kernel lineal)",
+            f"TF-IDF → SVD ({settings.n_components} dims) — LSA",
+            settings.n_folds, model.n_terms, settings.n_components, started,
+            lsa_components=settings.n_components, lsa_var_explained=round(share, 4),
+        )
+    return Experiment(predictions, metrics, machine, lsa=model, stopwords=stopwords, text=text)
 
 
 def embedding_experiment(
@@ -156,17 +167,19 @@ def embedding_experiment(
     """Mean word vector per document, linear SVM."""
     started = time.time()
     size = M.vector_size(vectors)
-    folded = with_folds(docs, settings)
-    counts = M.word_counts(folded, stopwords)
-    placed = M.document_vectors(folded.select("doc_id", "label", "fold"), counts, vectors, size)
-    rows = cut(placed.select("doc_id", "label", "fold", F.col("vec").alias("val")))
+    stopwords = tuple(stopwords)
+    counts = M.word_counts(docs, stopwords)
+    placed = cut(M.document_vectors(docs.select("doc_id", "label"), counts, vectors, size))
+    rows = cut(with_folds(placed.select("doc_id", "label", F.col("vec").alias("val")), settings))
     classes = _classes(rows)
     predictions, machine = _run(SvmTrainer(rows, classes, size, settings), evaluate, final)
-    metrics = predictions and metrics_record(
-        predictions, classes, "Word2Vec + SVM (kernel lineal)", f"MeanEmbeddingVectorizer ({size} dims)",
-        settings.n_folds, size, size, started, embedding_model=vectors_name,
-    )
-    return Experiment(predictions, metrics, machine)
+    metrics = None
+    if predictions is not None:
+        metrics = metrics_record(
+            predictions, classes, "Word2Vec + SVM (kernel lineal)", f"MeanEmbeddingVectorizer ({size} dims)",
+            settings.n_folds, size, size, started, embedding_model=vectors_name,
+        )
+    return Experiment(predictions, metrics, machine, stopwords=stopwords)
 
 
 def _classes(rows: DataFrame) -> list[str]:
@@ -177,19 +190,34 @@ def _classes(rows: DataFrame) -> list[str]:
 # ── bundles ───────────────────────────────────────────────────────────────────
 
 
+_TEXT_SCHEMA = "token_pattern string, ngram_min int, ngram_max int, min_df int, max_df double, stopwords array<string>"
+
+
+def _save_text(experiment: Experiment, path: str, spark: SparkSession) -> None:
+    t = experiment.text
+    row = (t.token_pattern, *t.ngram_range, t.min_df, t.max_df, list(experiment.stopwords))
+    spark.createDataFrame([row], _TEXT_SCHEMA).write.mode("overwrite").parquet(f"{path}/text")
+
+
+def _load_text(path: str, spark: SparkSession) -> tuple[tuple[str, ...], TextSettings]:
+    row = spark.read.parquet(f"{path}/text").first()
+    text = TextSettings(row["token_pattern"], (row["ngram_min"], row["ngram_max"]), row["min_df"], row["max_df"])
+    return tuple(row["stopwords"]), text
+
+
 def save_bow_bundle(experiment: Experiment, path: str, spark: SparkSession) -> None:
-    """Machines, sigmoids, classes and the selected terms, so raw text can be scored."""
+    """Machines, sigmoids, classes, selected terms and text settings, so raw text can be scored."""
     experiment.model.save(path, spark)
+    _save_text(experiment, path, spark)
     terms = list(enumerate(experiment.terms))
     spark.createDataFrame(terms, "idx int, term string").write.mode("overwrite").parquet(f"{path}/terms")
 
 
-def score_bow_bundle(
-    docs: DataFrame, path: str, stopwords: Iterable[str] = (), text: TextSettings = COUNT_TEXT
-) -> DataFrame:
+def score_bow_bundle(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, predicted label, probs) of raw documents with a saved bundle."""
     spark = docs.sparkSession
     model = LinearSvm.load(path, spark)
+    stopwords, text = _load_text(path, spark)
     terms = [r["term"] for r in spark.read.parquet(f"{path}/terms").orderBy("idx").collect()]
     rows, _, _ = count_vectors(with_terms(docs, stopwords, text), {None: terms})
     return _labelled(model, rows)
@@ -202,15 +230,15 @@ def _labelled(model: LinearSvm, rows: DataFrame) -> DataFrame:
 
 def save_lsa_bundle(experiment: Experiment, path: str, spark: SparkSession) -> None:
     experiment.model.save(path, spark)
+    _save_text(experiment, path, spark)
     experiment.lsa.terms.write.mode("overwrite").parquet(f"{path}/terms")
     experiment.lsa.components.write.mode("overwrite").parquet(f"{path}/components")
 
 
-def score_lsa_bundle(
-    docs: DataFrame, path: str, stopwords: Iterable[str] = (), text: TextSettings = TFIDF_TEXT
-) -> DataFrame:
+def score_lsa_bundle(docs: DataFrame, path: str) -> DataFrame:
     spark = docs.sparkSession
     model = LinearSvm.load(path, spark)
+    stopwords, text = _load_text(path, spark)
     terms = spark.read.parquet(f"{path}/terms")
     components = spark.read.parquet(f"{path}/components")
     dims = components.select(F.size("vec")).first()[0]
@@ -221,10 +249,18 @@ def score_lsa_bundle(
     return _labelled(model, rows)
 
 
-def score_embedding_bundle(
-    docs: DataFrame, path: str, vectors: DataFrame, stopwords: Iterable[str] = ()
-) -> DataFrame:
-    model = LinearSvm.load(path, docs.sparkSession)
+def save_embedding_bundle(experiment: Experiment, path: str, vectors: DataFrame, spark: SparkSession) -> None:
+    """Machines, sigmoids, classes, stop-words and the word vectors."""
+    experiment.model.save(path, spark)
+    _save_text(experiment, path, spark)
+    vectors.select("word", "vec").write.mode("overwrite").parquet(f"{path}/vectors")
+
+
+def score_embedding_bundle(docs: DataFrame, path: str) -> DataFrame:
+    spark = docs.sparkSession
+    model = LinearSvm.load(path, spark)
+    stopwords, _ = _load_text(path, spark)
+    vectors = spark.read.parquet(f"{path}/vectors")
     counts = M.word_counts(docs, stopwords)
     placed = M.document_vectors(docs.select("doc_id"), counts, vectors)
     rows = placed.select("doc_id", F.col("vec").alias("val"))

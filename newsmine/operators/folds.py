@@ -16,19 +16,26 @@ def stratified_folds(docs: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
 
     Dealing starts where the previous class (alphabetical) stopped, so fold sizes
     per class and in total differ by at most one. A class is numbered bucket by
-    bucket of its hash, so a dominant class does not end up in one task.
+    bucket of its hash, so a dominant class does not end up in one task. Rows
+    without a label are a class of their own, the last one.
     """
     mark = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed))))
-    hashed = docs.select("doc_id", "label", mark.alias("_h")).withColumn(
-        BUCKET, F.conv(F.substring("_h", 1, _BUCKET_DIGITS), 16, 10).cast("int")
+    hashed = docs.select("doc_id", "label", mark.alias("_h")).withColumns(
+        {
+            BUCKET: F.conv(F.substring("_h", 1, _BUCKET_DIGITS), 16, 10).cast("int"),
+            # Keys without nulls, so that joins keep every row.
+            "_none": F.col("label").isNull(),
+            "_class": F.coalesce(F.col("label").cast("string"), F.lit("")),
+        }
     )
-    ranked = running(hashed, ["label"], ["_h", "doc_id"], F.lit(1).cast("long"), "_n")
+    ranked = running(hashed, ["_none", "_class"], ["_h", "doc_id"], F.lit(1).cast("long"), "_n")
     # One row per class.
     sizes = docs.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
-    before = W.orderBy("label").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("label", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    before = W.orderBy(F.col("label").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(F.col("label").alias("_label"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     fold = ((F.col("_start") + F.col("_n") - 1) % k).cast("int")
-    return ranked.join(starts, "label").select("doc_id", "label", fold.alias("fold"))
+    placed = ranked.join(F.broadcast(starts), F.col("label").eqNullSafe(F.col("_label")))
+    return placed.select("doc_id", "label", fold.alias("fold"))
 
 
 def fold_sizes(folds: DataFrame) -> DataFrame:

@@ -406,7 +406,7 @@ class SvmTrainer:
 
     def train(self, tests: Sequence[int | None]) -> dict[int | None, LinearSvm]:
         """One classifier per test fold (``None`` trains on all rows), all in one go."""
-        inner = {t: [f for f in self.folds if f != t][: max(2, self.settings.calibration_folds)] for t in tests}
+        inner = {t: [f for f in self.folds if f != t] for t in tests}
         wanted = [self._machine(t, p, g) for t in tests for p in self.pairs for g in [None, *inner[t]]]
         machines = list(dict.fromkeys(m for m in wanted if m is not None))
         number = {m: n for n, m in enumerate(machines)}
@@ -426,7 +426,7 @@ class SvmTrainer:
                 counts[a, p] = [self._count(y, frozenset([t])) for y in pair]
                 for g in inner[t]:
                     held[a, g, p] = number.get(self._machine(t, pair, g), -1)
-        curves = fit_sigmoids(self.rows, self.width, weights, held, self.pairs, counts)
+        curves = fit_sigmoids(self.rows, self.width, weights, held, self.pairs, counts, self.settings.sigmoid_max_iter)
 
         models = {}
         for a, t in enumerate(tests):

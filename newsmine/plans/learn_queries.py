@@ -259,7 +259,7 @@ def svm_score(spark: SparkSession, sf: str) -> DataFrame:
     experiment = P.bow_experiment(docs, STOP, evaluate=False, final=True)
     path = work_path(spark, "bundle")
     P.save_bow_bundle(experiment, path, spark)
-    return P.score_bow_bundle(docs.select("doc_id", "text"), path, STOP)
+    return P.score_bow_bundle(docs.select("doc_id", "text"), path)
 
 
 @query("model_compare")

@@ -164,7 +164,7 @@ def test_bow_experiment_scores_raw_text(spark):
     assert np.array(record.confusion_matrix).sum() == 90
     path = work_path(spark, "bow")
     P.save_bow_bundle(found, path, spark)
-    labelled = P.score_bow_bundle(docs.drop("label"), path, (), text)
+    labelled = P.score_bow_bundle(docs.drop("label"), path)
     hits = labelled.join(docs.select("doc_id", F.col("label").alias("truth")), "doc_id")
     assert hits.where("label = truth").count() >= 80
     folder = work_path(spark, "metrics")
@@ -174,6 +174,13 @@ def test_bow_experiment_scores_raw_text(spark):
         K.write_metrics(found.metrics, folder, "other")
 
 
+def test_rows_without_label_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "doc_id long, label string")
+    found = P.stratified_folds(docs, 2)
+    assert {(r.doc_id, r.label) for r in found.collect()} == {(1, "a"), (2, None), (3, "a"), (4, None)}
+    assert sorted(r["count"] for r in found.groupBy("label", "fold").count().collect()) == [1, 1, 1, 1]
+
+
 def test_lsa_and_embedding_experiments(spark):
     docs = corpus(spark)
     text = TextSettings(ngram_range=(1, 1), min_df=2, max_df=0.9)
@@ -181,14 +188,14 @@ def test_lsa_and_embedding_experiments(spark):
     assert found.metrics.first()["accuracy_mean"] > 0.8
     path = work_path(spark, "lsa")
     P.save_lsa_bundle(found, path, spark)
-    assert P.score_lsa_bundle(docs.drop("label"), path, (), text).count() == 90
+    assert P.score_lsa_bundle(docs.drop("label"), path).count() == 90
     words = " ".join(WORDS.values()).split()
     vectors = spark.createDataFrame([(w, [float(i == j // 4) for i in range(3)]) for j, w in enumerate(words)], "word string, vec array<float>")
     found = P.embedding_experiment(docs, vectors, (), SMALL, final=True)
     assert found.metrics.first()["accuracy_mean"] > 0.8
     path = work_path(spark, "embed")
-    found.model.save(path, spark)
-    assert P.score_embedding_bundle(docs.drop("label"), path, vectors).count() == 90
+    P.save_embedding_bundle(found, path, vectors, spark)
+    assert P.score_embedding_bundle(docs.drop("label"), path).count() == 90
 
 
 @pytest.mark.parametrize("block_bytes", [L.BLOCK_BYTES, 0])
