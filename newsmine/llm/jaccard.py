@@ -188,41 +188,56 @@ def _room(n: str, pos: str) -> Column:
     return F.col(n) - F.col(pos)
 
 
+def _leaders(lists: DataFrame) -> DataFrame:
+    """(gram, pos_a, n_a, a): the class that leads each list."""
+    lead = lists.groupBy("gram").agg(F.min(F.struct("pos", "n", "cls")).alias("lead"))
+    return lead.select("gram", F.col("lead.pos").alias("pos_a"), F.col("lead.n").alias("n_a"), F.col("lead.cls").alias("a"))
+
+
 def _leader_pairs(lists: DataFrame, sets: Sets) -> DataFrame:
     """(a, b): each list's leader with each member that may be linked to it."""
-    lead = lists.groupBy("gram").agg(F.min(F.struct("pos", "n", "cls")).alias("lead"))
-    lead = lead.select("gram", F.col("lead.pos").alias("pos_a"), F.col("lead.n").alias("n_a"), F.col("lead.cls").alias("a"))
-    met = lists.join(lead, "gram").where(F.col("a") != F.col("cls"))
+    met = lists.join(_leaders(lists), "gram").where(F.col("a") != F.col("cls"))
     fit = sets.sizes_fit(F.col("n"), F.col("n_a")) & (F.least(_room("n", "pos"), _room("n_a", "pos_a")) >= sets.needed(F.col("n"), F.col("n_a")))
     return met.where(fit).select("a", F.col("cls").alias("b")).distinct()
 
 
 def _rest_pairs(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
-    """(a, b) with a < b: members of one list that are not connected yet and may be linked."""
-    named = lists.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    """(a, b) with a < b: members of one list that are not connected yet and may be linked.
+
+    Leaders are left out, as all their pairs are settled. Of the rest, members of a
+    list's most frequent component are already connected with each other: only the
+    others look for partners, among all.
+    """
+    followers = lists.join(_leaders(lists).select("gram", "a"), "gram").where(F.col("cls") != F.col("a")).drop("a")
+    named = followers.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = named.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
     # A block: one list's members of similar size and position.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / sets.percent)))
-    members = stored(
+    open_lists = stored(
         named.join(mixed, "gram", "left_semi").withColumns({"step": step, "slot": F.floor(F.col("pos") / BLOCK)}).distinct(), "jaccard-mixed"
     )
-    blocks = members.groupBy("gram", "step", "slot").agg(
+    counts = open_lists.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("many"))
+    largest = counts.groupBy("gram").agg(F.max(F.struct("many", "comp")).alias("top")).select("gram", F.col("top.comp").alias("largest"))
+    members = stored(open_lists.join(largest, "gram").withColumn("main", F.col("comp") == F.col("largest")).drop("largest"), "jaccard-open")
+    blocks = members.groupBy("gram", "main", "step", "slot").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(_room("n", "pos")).alias("room"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    x, y = blocks.alias("x"), blocks.alias("y")
+    x, y = blocks.where("not main").alias("x"), blocks.alias("y")
     c = F.col
-    may = (c("x.gram") == c("y.gram")) & (F.struct("x.step", "x.slot") <= F.struct("y.step", "y.slot"))
+    may = (c("x.gram") == c("y.gram")) & (c("y.main") | (F.struct("x.step", "x.slot") <= F.struct("y.step", "y.slot")))
     may &= ~((c("x.low") == c("x.high")) & (c("y.low") == c("y.high")) & (c("x.low") == c("y.low")))
     may &= (100 * c("x.most") >= sets.percent * c("y.least")) & (100 * c("y.most") >= sets.percent * c("x.least"))
     may &= F.least("x.room", "y.room") >= sets.needed(c("x.least"), c("y.least"))
-    open_blocks = x.join(y, may).select(c("x.gram"), *[c(f"x.{k}").alias(f"{k}_x") for k in ("step", "slot")], *[c(f"y.{k}").alias(f"{k}_y") for k in ("step", "slot")])
-    first = members.select("gram", *[c(k).alias(f"{k}_x") for k in ("step", "slot", "pos", "n", "cls", "comp")])
-    second = members.select("gram", *[c(k).alias(f"{k}_y") for k in ("step", "slot", "pos", "n", "cls", "comp")])
+    far = ("main", "step", "slot")
+    open_blocks = x.join(y, may).select(c("x.gram"), *[c(f"x.{k}").alias(f"{k}_x") for k in far[1:]], *[c(f"y.{k}").alias(f"{k}_y") for k in far])
+    first = members.where("not main").select("gram", *[c(k).alias(f"{k}_x") for k in ("step", "slot", "pos", "n", "cls", "comp")])
+    second = members.select("gram", *[c(k).alias(f"{k}_y") for k in (*far, "pos", "n", "cls", "comp")])
     near = open_blocks.join(first, ["gram", "step_x", "slot_x"])
     fit = (c("comp_x") != c("comp_y")) & sets.sizes_fit(c("n_x"), c("n_y"))
     fit &= F.least(_room("n_x", "pos_x"), _room("n_y", "pos_y")) >= sets.needed(c("n_x"), c("n_y"))
-    same = [near[k] == second[k] for k in ("gram", "step_y", "slot_y")]
-    met = near.join(second, same[0] & same[1] & same[2] & fit)
+    for k in ("gram", *[f"{k}_y" for k in far]):
+        fit &= near[k] == second[k]
+    met = near.join(second, fit)
     return met.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b")).distinct()
 
 
