@@ -327,20 +327,36 @@ def _derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
     return met.select("a", "b", "n_a", "n_b", ((F.col("n_a") + F.col("n_b") - apart) / 2).cast("long").alias("overlap")).dropDuplicates(["a", "b"])
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, comp) of all nodes in ``links`` (a, b): least node reachable. Each round is written to the shared folder."""
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "component-links")
-    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "component-labels")
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        hooked = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", "comp", F.least("comp", "near").alias("next"))
-        up = hooked.select(F.col("node").alias("next"), F.col("next").alias("above"))
-        jumped = hooked.join(up, "next", "left").select("node", F.col("comp").alias("was"), F.coalesce("above", "next").alias("comp"))
-        done = stored(jumped, "component-labels")
-        labels = done.select("node", "comp")
-        if done.where("was <> comp").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle; raise rounds")
+def _flat(parents: DataFrame) -> DataFrame:
+    """``parents`` (node, up) with every node right below its root. Each step halves the way to it."""
+    while True:
+        above = parents.select(F.col("node").alias("up"), F.col("up").alias("above"))
+        jumped = parents.join(above, "up", "left").select("node", F.col("up").alias("was"), F.coalesce("above", "up").alias("up"))
+        done = stored(jumped, "component-parents")
+        parents = done.select("node", "up")
+        if done.where("was <> up").isEmpty():
+            return parents
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, comp) of all nodes in ``links`` (a, b): least node reachable. Each round is written to the shared folder.
+
+    In a round every component goes below its least neighbour, if that is smaller,
+    and links inside a component fall away. In two rounds each component with
+    links left is joined with another one, so n nodes take 2 log2(n) rounds at most.
+    """
+    open_links = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "component-links")
+    labels = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("comp", F.col("node"))
+    while not open_links.isEmpty():
+        hooked = open_links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")).withColumnRenamed("a", "node")
+        roots = _flat(stored(hooked, "component-hooks"))
+        up = roots.select(F.col("node").alias("comp"), "up")
+        labels = stored(labels.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "component-labels")
+        one = roots.select(F.col("node").alias("a"), F.col("up").alias("up_a"))
+        two = roots.select(F.col("node").alias("b"), F.col("up").alias("up_b"))
+        moved = open_links.join(one, "a").join(two, "b").where("up_a <> up_b")
+        open_links = stored(moved.select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "component-links")
+    return labels
 
 
 @dataclass(frozen=True)

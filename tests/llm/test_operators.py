@@ -107,6 +107,14 @@ def test_jaccard(docs, none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
+def test_components_of_a_long_chain(spark):
+    names = [int.from_bytes(hashlib.sha256(str(k).encode()).digest()[:8], "big", signed=True) for k in range(1000)]
+    links = [*zip(names, names[1:], strict=False), (5, 4), (4, 5), (4, 3), (7, 7)]
+    found = {r["node"]: r["comp"] for r in jaccard.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**dict.fromkeys(names, min(names)), 3: 3, 4: 3, 5: 3, 7: 7}
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_quality(docs, none):
     found = {(r["doc_id"], r["word_chars"]): r for r in quality.line_quality(docs).collect()}
     for i, t in ROWS:
