@@ -8,10 +8,9 @@ folder, and read back for the next one. All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newsmine.llm import exact, jaccard, packing, quality, suffixes
-from newsmine.llm.common import NULL_ID, documents, stored
+from newsmine.llm.common import documents, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +25,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
-    found = jaccard.near_duplicates(docs, jaccard.Sets(words=5, percent=80))
-    # eqNullSafe: a null doc_id is the smallest of its group.
-    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return exact.without(docs, dropped.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id")))
+    return jaccard.deduplicated(docs, jaccard.Sets(words=5, percent=80))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

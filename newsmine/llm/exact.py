@@ -23,22 +23,8 @@ def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
 
 
-def duplicates(docs: DataFrame, digest: bool = False, buckets: int = 1 << 20) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept) of every row, with ``text_sha256`` if ``digest``.
-
-    Level one groups the lengths of all normalised texts, level two the prefix
-    hashes inside lengths that occur more than once, level three the full hashes
-    inside prefix groups that still hold several rows. Only for those is the
-    whole text hashed: a small table of at most ``buckets`` prefix-group buckets
-    (a fixed bound, so it is broadcast) picks their rows at the scan. With
-    ``digest`` every row has to return its full hash, so it is taken in the first
-    scan and level three reads it from there instead of reading texts again.
-
-    Null and empty texts are equal. The smallest doc_id of a group stays; a null
-    doc_id sorts before all. Rows that repeat a doc_id count one by one in
-    ``group_size``; if that doc_id stays, all of them are marked kept. Other
-    columns are not read. An empty table gives an empty result.
-    """
+def _judged(docs: DataFrame, digest: bool, buckets: int) -> DataFrame:
+    """(id, first, size, sha) of every row; without ``digest`` sha is null for texts known to be alone."""
     text = normalised(F.col("text"))
     base = narrow(docs).select(
         "id",
@@ -68,7 +54,26 @@ def duplicates(docs: DataFrame, digest: bool = False, buckets: int = 1 << 20) ->
         *open_rows.columns, F.coalesce("first", "id").alias("first"), F.coalesce("size", F.lit(1)).alias("size")
     )
     alone = settled.select(*settled.columns, F.col("id").alias("first"), F.lit(1).cast("long").alias("size"))
-    return joined.unionByName(alone, allowMissingColumns=True).select(
+    return joined.unionByName(alone, allowMissingColumns=True).select("id", "first", "size", "sha")
+
+
+def duplicates(docs: DataFrame, digest: bool = False, buckets: int = 1 << 20) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept) of every row, with ``text_sha256`` if ``digest``.
+
+    Level one groups the lengths of all normalised texts, level two the prefix
+    hashes inside lengths that occur more than once, level three the full hashes
+    inside prefix groups that still hold several rows. Only for those is the
+    whole text hashed: a small table of at most ``buckets`` prefix-group buckets
+    (a fixed bound, so it is broadcast) picks their rows at the scan. With
+    ``digest`` every row has to return its full hash, so it is taken in the first
+    scan and level three reads it from there instead of reading texts again.
+
+    Null and empty texts are equal. The smallest doc_id of a group stays; a null
+    doc_id sorts before all. Rows that repeat a doc_id count one by one in
+    ``group_size``; if that doc_id stays, all of them are marked kept. Other
+    columns are not read. An empty table gives an empty result.
+    """
+    return _judged(docs, digest, buckets).select(
         original(F.col("id")).alias("doc_id"),
         original(F.col("first")).alias("keep_id"),
         F.col("size").alias("group_size"),
@@ -77,24 +82,37 @@ def duplicates(docs: DataFrame, digest: bool = False, buckets: int = 1 << 20) ->
     )
 
 
-def without(docs: DataFrame, dropped: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """``docs`` without the doc_ids in ``dropped`` (one id column, internal form).
+def one_each(docs: DataFrame, judged: DataFrame, mark: Column, limit: int = 1_000_000) -> DataFrame:
+    """``docs`` with one row of each group, as ``judged`` (id, mark, stays) says of every row that has a group.
+
+    Rows are told apart by id and ``mark``, a 64-bit fingerprint of the text. Where
+    several rows have the id and the mark that stay, any one of them is returned.
+    Rows without an entry in ``judged`` stay.
 
-    The ids travel to the texts only while there are at most ``limit`` of them
-    (8 bytes each); beyond that both sides are joined by id.
+    The entries travel to the texts only while there are at most ``limit`` of them
+    (16 bytes each); beyond that both sides are joined.
     """
-    gone = dropped.select(F.col("id").alias("_gone")).distinct()
-    if gone.count() <= limit:
-        gone = F.broadcast(gone)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.join(gone, key == F.col("_gone"), "left_anti")
+    counted = judged.groupBy("id", "mark").agg(F.max("stays").alias("_stays"), F.count(F.lit(1)).alias("many"))
+    entries = stored(counted.where("many > 1 or not _stays").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_stays"), "one-each")
+
+    def few(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= limit else rows
+
+    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_mark": mark})
+    rest = named.join(few(entries.select("_id", "_mark")), ["_id", "_mark"], "left_anti")
+    copies = entries.where("_stays").select("_id", "_mark")
+    if not copies.isEmpty():
+        rest = rest.unionByName(named.join(few(copies), ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
+    return rest.drop("_id", "_mark")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with all columns, one row of each group of equal texts.
 
-    Rows that repeat a doc_id that stays are all returned.
+    It has the smallest doc_id of the group; of several rows with it any one.
     """
-    found = duplicates(docs)
-    dropped = found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"))
-    return without(docs, dropped)
+    judged = _judged(docs, False, 1 << 20).where(F.col("sha").isNotNull())
+    # The hash as a number: two of one doc_id are as good as never equal.
+    mark = lambda sha: F.xxhash64(sha)
+    found = judged.select("id", mark(F.col("sha")).alias("mark"), (F.col("id") == F.col("first")).alias("stays"))
+    return one_each(docs, found, mark(F.sha2(normalised(F.col("text").cast("string")), 256)))

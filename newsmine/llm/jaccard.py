@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from newsmine.llm import kernel as K
 from newsmine.llm.common import Batches, narrow, original, per_batch, stored
+from newsmine.llm.exact import one_each
 from newsmine.operators.blocks import FAN_IN, SCHEMA, slices
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -97,8 +98,13 @@ def differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(one ^ np.bitwise_xor.reduce(two.reshape(-1, len(one)), axis=0)).sum())
 
 
+def text_mark() -> Column:
+    """Fingerprint of a row's own text: tells rows apart that share a doc_id."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
-    """(id, n, cls, sketch) of every row; each task adds one row of n-gram counts (null n)."""
+    """(id, n, cls, own, sketch) of every row; each task adds one row of n-gram counts (null n)."""
 
     def run(batches: Batches) -> Batches:
         counts = np.zeros(sets.buckets, np.int32)
@@ -109,12 +115,13 @@ def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
                 counts += np.bincount((marks % np.uint64(sets.buckets)).astype(np.int64), minlength=sets.buckets).astype(np.int32)
                 none = pa.nulls(rows.num_rows, pa.binary())
                 sketch = pa.array(parities(text, marks, size), pa.binary())
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size, pa.int64()), K.signed(cls), sketch, none], names=["id", "n", "cls", "sketch", "counts"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size, pa.int64()), K.signed(cls), rows.column(2), sketch, none], names=["id", "n", "cls", "own", "sketch", "counts"])
         if counts.any():
             nothing = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["id", "n", "cls", "sketch", "counts"])
+            yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["id", "n", "cls", "own", "sketch", "counts"])
 
-    return stored(texts.mapInArrow(run, "id long, n long, cls long, sketch binary, counts binary"), "jaccard-facts")
+    named = texts.select("id", "text", text_mark().alias("own"))
+    return stored(named.mapInArrow(run, "id long, n long, cls long, own long, sketch binary, counts binary"), "jaccard-facts")
 
 
 def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
@@ -361,7 +368,7 @@ def components(links: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Joined:
-    """Rows (id, n, cls, sketch) and links (a, b, overlap) between classes."""
+    """Rows (id, n, cls, own, sketch) and links (a, b, overlap) between classes."""
 
     facts: DataFrame
     links: DataFrame
@@ -377,7 +384,7 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     texts = narrow(docs)
     rows = _facts(texts, sets)
     levels = _levels(rows, sets)
-    facts = rows.where(F.col("n").isNotNull()).select("id", "n", "cls", "sketch")
+    facts = rows.where(F.col("n").isNotNull()).select("id", "n", "cls", "own", "sketch")
     filled = facts.where("n > 0")
     lists = _index(texts, levels, sets)
     pairs = _plausible(_leader_pairs(lists, sets), filled, sets)
@@ -399,6 +406,16 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     return Joined(facts, links, labels)
 
 
+def _placed(found: Joined) -> DataFrame:
+    """(id, n, cls, own, lowest) of every row: id and text mark of the least row of its component (null for an empty set)."""
+    classes = found.facts.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "own")).alias("least"))
+    named = classes.join(found.labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    lowest = named.groupBy("comp").agg(F.min("least").alias("lowest"))
+    roots = named.join(lowest, "comp").select("cls", "lowest")
+    placed = found.facts.select("id", "n", "cls", "own").join(roots, "cls", "left")
+    return placed.withColumn("lowest", F.when(F.col("n") > 0, F.col("lowest")))
+
+
 def near_duplicates(docs: DataFrame, sets: Sets = Sets()) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of every row of ``docs``.
 
@@ -411,13 +428,19 @@ def near_duplicates(docs: DataFrame, sets: Sets = Sets()) -> DataFrame:
     not read. An empty table gives an empty result. Sets are told apart by
     64-bit fingerprints, n-grams likewise.
     """
-    found = joined(docs, sets)
-    classes = found.facts.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"))
-    named = classes.join(found.labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    lowest = named.groupBy("comp").agg(F.min("least").alias("lowest"))
-    roots = named.join(lowest, "comp").select("cls", "lowest")
-    return (
-        found.facts.join(roots, "cls", "left")
-        .withColumn("lowest", F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("id")))
-        .select(original(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), original(F.col("lowest")).alias("component_id"), F.col("cls").alias("class_id"))
+    return _placed(joined(docs, sets)).select(
+        original(F.col("id")).alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        original(F.coalesce("lowest.id", "id")).alias("component_id"),
+        F.col("cls").alias("class_id"),
     )
+
+
+def deduplicated(docs: DataFrame, sets: Sets = Sets()) -> DataFrame:
+    """``docs`` with all columns, one row of each component: one with its smallest doc_id.
+
+    Texts without words are not touched.
+    """
+    rows = _placed(joined(docs, sets)).where(F.col("lowest").isNotNull())
+    stays = (F.col("id") == F.col("lowest.id")) & (F.col("own") == F.col("lowest.own"))
+    return one_each(docs, rows.select("id", F.col("own").alias("mark"), stays.alias("stays")), text_mark())

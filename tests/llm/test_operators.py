@@ -115,6 +115,23 @@ def test_components_of_a_long_chain(spark):
     assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (prose(k, 60) for k in (21, 22, 23, 24))
+    near = b + " tail"
+    rows = [(3, a), (5, a), (5, b), (None, c), (None, c), (None, d), (7, d), (8, a.replace(" ", "  ")), (9, "x y"), (9, "x  y"), (9, "z"), (4, None), (4, "")]
+    table = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `odd.name` int").repartition(3)
+    kept = exact.deduplicated(table)
+    assert kept.columns == table.columns
+    found = sorted(((r[0], re.sub(" +", " ", r[1] or "")) for r in kept.collect()), key=repr)
+    assert found == sorted([(3, a), (5, b), (None, c), (None, d), (9, "x y"), (9, "z"), (4, "")], key=repr)
+    rows = [(3, a), (5, a + " tail"), (5, b), (5, near), (6, near), (None, c), (None, c), (None, c + " tail"), (7, d), (7, d), (8, ""), (8, "")]
+    table = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `odd.name` int").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, table, "")
+    assert kept.columns == table.columns
+    found = sorted(((r[0], r[1].removesuffix(" tail")) for r in kept.collect()), key=repr)
+    assert found == sorted([(3, a), (5, b), (None, c), (7, d), (8, ""), (8, "")], key=repr)
+
+
 def test_quality(docs, none):
     found = {(r["doc_id"], r["word_chars"]): r for r in quality.line_quality(docs).collect()}
     for i, t in ROWS:
