@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from newsmine.llm import exact, jaccard, packing, quality, suffixes
 from newsmine.llm.common import documents, stored
 
+#: Repeated passages of over 50 words are to be cut; 51 words of 3.9 bytes with their blank reach 200 bytes.
+WINDOW = 200
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut failed lines out of the texts; rejected documents go."""
@@ -29,8 +32,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut byte strings of 400 that start anywhere else out of the texts."""
-    return suffixes.deduplicated(docs)
+    """Cut byte strings of ``WINDOW`` that start anywhere else out of the texts."""
+    return suffixes.deduplicated(docs, WINDOW)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

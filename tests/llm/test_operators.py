@@ -107,6 +107,18 @@ def test_jaccard(docs, none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
+def test_pipeline_cuts_passages_of_over_50_words(spark):
+    passages = [" ".join(f"wor{(k * 37 + i * i) % 97}" for i in range(n)) for k, n in ((1, 51), (2, 60))]
+    assert all(250 < len(p) < 400 for p in passages)
+    fill = [prose(k, 40) for k in range(30, 38)]
+    rows = [(k, f"{fill[2 * k]} {passages[k // 2]} {fill[2 * k + 1]}") for k in range(4)] + [(4, prose(40, 100))]
+    texts = [(r["doc_id"], r["text"]) for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    for i, t in texts:
+        if i < 4:
+            assert fill[2 * i][:-8] in t and fill[2 * i + 1][8:] in t and passages[i // 2][8:-8] not in t and len(t) < len(rows[i][1]) - 250
+    assert dict(texts)[4] == rows[4][1]
+
+
 def test_components_of_a_long_chain(spark):
     names = [int.from_bytes(hashlib.sha256(str(k).encode()).digest()[:8], "big", signed=True) for k in range(1000)]
     links = [*zip(names, names[1:], strict=False), (5, 4), (4, 5), (4, 3), (7, 7)]
