@@ -3,11 +3,11 @@
 Equal sets form a class; everything below works on classes. An inverted index
 holds each set's rarest n-grams (as many as a linked set must share one of). In
 every index list one set leads: the one that holds the n-gram earliest in its
-order. First only leaders are compared with the members of their lists. What is then
-connected needs no comparison any more. For the rest, lists are cut into blocks
-by size and position, pairs of blocks that cannot hold a link are skipped whole,
-bit sketches rule out most of what is left, and a pair that was compared with the same leader gets its overlap from the two
-answers' differences instead of from the sets.
+order. First only leaders are compared with the members of their lists. For the rest,
+lists are cut into blocks by size and position, pairs of blocks that cannot hold a
+link are skipped whole, bit sketches rule out most of what is left, and a pair that was compared with the same leader gets its overlap from the two
+answers' differences instead of from the sets. Callers that only need components
+skip the pairs that leaders have connected already.
 """
 
 from __future__ import annotations
@@ -213,7 +213,8 @@ def _rest_pairs(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
 
     Leaders are left out, as all their pairs are settled. Of the rest, members of a
     list's most frequent component are already connected with each other: only the
-    others look for partners, among all.
+    others look for partners, among all. Without ``labels`` rows every class is a
+    component of its own, so that all pairs are found.
     """
     followers = lists.join(_leaders(lists).select("gram", "a"), "gram").where(F.col("cls") != F.col("a")).drop("a")
     named = followers.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
@@ -300,36 +301,37 @@ def _compared(texts: DataFrame, facts: DataFrame, pairs: DataFrame, sets: Sets)
     return sized.withColumn("overlap", ((F.col("n_a") + F.col("n_b") - F.size("apart")) / 2).cast("long"))
 
 
-def _tests(rest: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _tests(rest: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What has to be compared so that the answers of ``rest`` can be derived.
 
     One set of a pair was compared with a leader before, the most similar one of
     its leaders counts. Comparing the other set with that leader as well answers
     the pair, and all other pairs of that set with sets of this leader. Returned
-    are those comparisons (a is the leader), and the pairs without any leader.
+    are those comparisons (a is the leader), the pairs (lead, a, b) that they
+    answer, and the pairs without any leader.
     """
     met = answers.select(F.col("b").alias("node"), F.col("a").alias("lead"), F.col("overlap").alias("near"))
     own = answers.select(F.col("a").alias("node"), F.col("a").alias("lead"), F.col("n_a").cast("long").alias("near"))
     best = stored(met.union(own).groupBy("node").agg(F.max(F.struct("near", "lead")).alias("top")).select("node", F.col("top.lead").alias("lead")), "jaccard-best")
     one = best.select(F.col("node").alias("a"), F.col("lead").alias("lead_a"))
     two = best.select(F.col("node").alias("b"), F.col("lead").alias("lead_b"))
-    led = rest.join(one, "a", "left").join(two, "b", "left")
+    led = stored(rest.join(one, "a", "left").join(two, "b", "left"), "jaccard-led")
     via = F.coalesce("lead_b", "lead_a")
     other = F.when(F.col("lead_b").isNotNull(), F.col("a")).otherwise(F.col("b"))
     tests = led.where(via.isNotNull()).select(via.alias("a"), other.alias("b")).where("a <> b").distinct()
     tests = tests.join(answers.select("a", "b"), ["a", "b"], "left_anti")
     alone = led.where(via.isNull()).select("a", "b")
-    return stored(tests, "jaccard-more-pairs"), stored(alone, "jaccard-alone")
+    return stored(tests, "jaccard-more-pairs"), led.where(via.isNotNull()).select(via.alias("lead"), "a", "b"), alone
 
 
 def _derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
-    """Overlaps of pairs that were both compared with one leader: x and y differ where exactly one differs from it."""
+    """Overlaps of ``pairs`` (lead, a, b) that were both compared with the leader: a and b differ where exactly one differs from it."""
     own = answers.select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("n_b").alias("n"), "apart")
     lead = answers.select(F.col("a").alias("lead"), F.col("a").alias("node"), F.col("n_a").alias("n"), F.array().cast("array<long>").alias("apart"))
     known = own.unionByName(lead.distinct())
     one = known.select("lead", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("apart").alias("apart_a"))
     two = known.select("lead", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("apart").alias("apart_b"))
-    met = pairs.join(one, "a").join(two, ["lead", "b"])
+    met = pairs.join(one, ["lead", "a"]).join(two, ["lead", "b"])
     apart = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
     return met.select("a", "b", "n_a", "n_b", ((F.col("n_a") + F.col("n_b") - apart) / 2).cast("long").alias("overlap")).dropDuplicates(["a", "b"])
 
@@ -368,18 +370,23 @@ def components(links: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Joined:
-    """Rows (id, n, cls, own, sketch) and links (a, b, overlap) between classes."""
+    """Rows (id, n, cls, own, sketch), links (a, b, overlap) between classes with a < b, and (node, comp) of linked classes."""
 
     facts: DataFrame
     links: DataFrame
     labels: DataFrame
 
+    def counts(self) -> DataFrame:
+        """(cls, n_links) of every class that has links: whole only if all links were searched for."""
+        ends = self.links.select(F.col("a").alias("cls")).union(self.links.select("b"))
+        return ends.groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
 
-def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
-    """Similar classes and their connections.
 
-    ``links`` connect whatever is connected; a link between sets that others already
-    connect is not searched for.
+def joined(docs: DataFrame, sets: Sets = Sets(), only_components: bool = False) -> Joined:
+    """Similar classes and their connections: every link between different sets.
+
+    With ``only_components`` the links just connect whatever is connected; a link
+    between sets that leaders already connect is not searched for.
     """
     texts = narrow(docs)
     rows = _facts(texts, sets)
@@ -390,14 +397,16 @@ def joined(docs: DataFrame, sets: Sets = Sets()) -> Joined:
     pairs = _plausible(_leader_pairs(lists, sets), filled, sets)
     answers = stored(_compared(texts, filled, pairs, sets), "jaccard-answers")
     good = sets.linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
-    links = answers.where(good).select("a", "b", "overlap")
+    # Two classes may each lead a list of the other one.
+    links = answers.where(good).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").distinct()
     labels = components(links)
     tested = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _plausible(_rest_pairs(lists, labels, sets).join(tested, ["a", "b"], "left_anti"), filled, sets)
+    connected = labels if only_components else labels.limit(0)
+    rest = _plausible(_rest_pairs(lists, connected, sets).join(tested, ["a", "b"], "left_anti"), filled, sets)
     if not rest.isEmpty():
-        tests, alone = _tests(rest, answers)
+        tests, led, alone = _tests(rest, answers)
         known = answers.unionByName(stored(_compared(texts, filled, tests, sets), "jaccard-tests"))
-        derived = _derived(rest, known)
+        derived = _derived(led, known)
         compared = _compared(texts, filled, alone, sets).select("a", "b", "n_a", "n_b", "overlap")
         more = stored(derived.unionByName(compared).where(good).select("a", "b", "overlap"), "jaccard-more")
         if not more.isEmpty():
@@ -428,7 +437,7 @@ def near_duplicates(docs: DataFrame, sets: Sets = Sets()) -> DataFrame:
     not read. An empty table gives an empty result. Sets are told apart by
     64-bit fingerprints, n-grams likewise.
     """
-    return _placed(joined(docs, sets)).select(
+    return _placed(joined(docs, sets, only_components=True)).select(
         original(F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         original(F.coalesce("lowest.id", "id")).alias("component_id"),
@@ -441,6 +450,6 @@ def deduplicated(docs: DataFrame, sets: Sets = Sets()) -> DataFrame:
 
     Texts without words are not touched.
     """
-    rows = _placed(joined(docs, sets)).where(F.col("lowest").isNotNull())
+    rows = _placed(joined(docs, sets, only_components=True)).where(F.col("lowest").isNotNull())
     stays = (F.col("id") == F.col("lowest.id")) & (F.col("own") == F.col("lowest.own"))
     return one_each(docs, rows.select("id", F.col("own").alias("mark"), stays.alias("stays")), text_mark())

@@ -127,6 +127,39 @@ def test_components_of_a_long_chain(spark):
     assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def edited(k, size=120, versions=12):
+    """Versions of one text, each with one more word changed than the one before; some with a word more."""
+    own = prose(k, size).split(" ")
+    for v in range(versions):
+        at = (v * 41 + k) % size
+        own = [*own[:at], f"new{k}x{v}", *own[at + (v % 3 > 0) :]]
+        yield " ".join(own)
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_all_links(spark, words, percent):
+    texts = [t for k in (51, 52, 53) for t in edited(k)]
+    texts += [f"{prose(54, 200)} {prose(60 + k, 4)}" for k in range(8)]
+    grams = [set(zip(*(t.split(" ")[i:] for i in range(words)), strict=False)) for t in texts]
+    expected = {}
+    for x, one in enumerate(grams):
+        for y in range(x):
+            both = len(one & grams[y])
+            if 100 * both >= percent * len(one | grams[y]):
+                expected[y, x] = both
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = jaccard.joined(table, jaccard.Sets(words=words, percent=percent))
+    ids = {r["cls"]: r["id"] for r in found.facts.collect()}
+    links = [(*sorted((ids[r["a"]], ids[r["b"]])), r["overlap"]) for r in found.links.collect()]
+    assert sorted(links) == sorted((*pair, both) for pair, both in expected.items())
+    assert {ids[r["cls"]]: r["n_links"] for r in found.counts().collect()} == Counter(k for pair in expected for k in pair)
+    root = list(range(len(texts)))
+    for _ in texts:
+        for x, y in expected:
+            root[x] = root[y] = min(root[x], root[y])
+    assert sorted(by_id(jaccard.near_duplicates(table, jaccard.Sets(words=words, percent=percent)), "component_id")) == list(enumerate(root))
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b, c, d = (prose(k, 60) for k in (21, 22, 23, 24))
     near = b + " tail"
