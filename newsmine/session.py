@@ -37,6 +37,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/work/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: a lineage cut with column pruning."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small scan enough tasks for CPU-heavy column work.
 
