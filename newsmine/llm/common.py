@@ -40,6 +40,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, many: str, total: int, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``facts``, one row for each value of ``key`` (no nulls) with its number ``many`` of rows.
+
+    A value with more than a ``share``-th of all ``total`` rows is looked up in its own
+    task: there are fewer than ``share`` of them, so they are broadcast. All other
+    values are too small to burden a task, and are joined by a shuffle.
+    """
+    common = F.col(many) * share > total
+    frequent = F.broadcast(facts.where(common).drop(many))
+    rare = rows.join(frequent.select(key), key, "left_anti").join(facts.where(~common).drop(many), key)
+    return rows.join(frequent, key).unionByName(rare)
+
+
 def sampled(df: DataFrame, rows: int, *keys: Column) -> DataFrame:
     """About ``rows`` rows at most, chosen by a hash of ``keys`` (all, if there are fewer)."""
     total = df.count()
@@ -62,5 +75,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet")
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pages.parquet")
