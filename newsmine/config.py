@@ -20,6 +20,8 @@ class SiteSettings:
     wrapper_class: str = "article-wrapper"
     date_class: str = "p12Date"
     min_text_length: int = 200
+    # Longest name a stored page may have, in bytes.
+    max_name_bytes: int = 255
     # Response codes admitted besides 2xx.
     extra_statuses: tuple[int, ...] = (403, 404)
 

@@ -35,3 +35,13 @@ def without_timestamp(line: Column) -> Column:
     """Drop the leading ``YYYY-MM-DD HH:MM:SS`` and the blank after it."""
     dated = (F.length(line) > 20) & (F.substring(line, 5, 1) == "-")
     return F.when(dated, F.substring(line, 21, 1_000_000_000)).otherwise(line)
+
+
+def duration_text(start: Column, end: Column) -> Column:
+    """Time between two timestamps as ``[-]D day(s), H:MM:SS``, whole seconds, rounded down."""
+    micros = F.unix_micros(end) - F.unix_micros(start)
+    seconds = F.floor(micros / 1_000_000)
+    days, rest = F.floor(seconds / 86_400), F.pmod(seconds, F.lit(86_400))
+    unit = F.when(F.abs(days) == 1, " day, ").otherwise(" days, ")
+    clock = F.format_string("%d:%02d:%02d", F.floor(rest / 3600), F.floor(rest / 60) % 60, rest % 60)
+    return F.concat(F.when(days != 0, F.concat(days.cast("string"), unit)).otherwise(""), clock)

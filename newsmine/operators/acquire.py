@@ -13,12 +13,12 @@ from newsmine.functions import urls as U
 from newsmine.functions.text import let
 from newsmine.operators.ordering import numbered
 from newsmine.session import cut
-from newsmine.sources.tables import present
 
 KEY = ["section", "filename"]
 # Outcome names.
 STORED, SKIPPED, OUTSIDE = "guardado", "omitido", "fuera-de-seccion"
 UNTAGGED, NOT_ARTICLE = "sin-seccion", "url-no-reconocida"
+FAILED = "error: "  # followed by the reason
 
 
 def sitemap_links(sitemaps: DataFrame) -> DataFrame:
@@ -42,9 +42,20 @@ def admitted(fetched: DataFrame, site: SiteSettings) -> DataFrame:
     return fetched.where(U.status_admitted(F.col("status"), site))
 
 
+def failure(body: Column, filename: Column, site: SiteSettings) -> Column:
+    """Why a page cannot be stored (null: it can)."""
+    size = F.octet_length(filename)
+    return (
+        F.when(body.isNull(), "no body")
+        .when(size > site.max_name_bytes, F.concat(F.lit("file name of "), size.cast("string"), F.lit(" bytes")))
+        .when(~F.is_valid_utf8(body), "body is not valid UTF-8")
+    )
+
+
 def routed(fetched: DataFrame, site: SiteSettings) -> DataFrame:
-    """(…, section, filename, outcome); the outcome is null for pages that may be stored.
+    """(…, section, filename, outcome, error); the outcome is null for pages that may be stored.
 
+    A page that cannot be stored carries its reason in ``error`` and fails alone.
     Bodies are read once here and not carried along: the narrow result is written
     to the shared folder, and filing joins the bodies of the chosen pages back.
     """
@@ -54,63 +65,45 @@ def routed(fetched: DataFrame, site: SiteSettings) -> DataFrame:
         outcome = (
             F.when(section.isNull(), UNTAGGED)
             .when(~section.isin(*site.sections), OUTSIDE)
-            .when(~F.col("url").rlike(U.article_pattern(site)), NOT_ARTICLE)
-        )
-        return F.struct(
-            section.alias("section"), filename.alias("filename"), outcome.alias("outcome")
+            .when(filename.isNull(), NOT_ARTICLE)
         )
+        return F.struct(section.alias("section"), filename.alias("filename"), outcome.alias("outcome"))
 
     keep = [c for c in fetched.columns if c != "body"]
-    decided = fetched.select(*keep, let(H.section(F.col("body"), site), decide).alias("_route"))
-    return cut(decided.select(*keep, "_route.section", "_route.filename", "_route.outcome"))
+    # Broken bytes must not stop the search for the section.
+    readable = F.make_valid_utf8(F.col("body"))
+    decided = fetched.select(*keep, "body", let(H.section(readable, site), decide).alias("_route"))
+    error = F.when(F.col("_route.outcome").isNull(), failure(F.col("body"), F.col("_route.filename"), site))
+    return cut(decided.select(*keep, "_route.section", "_route.filename", "_route.outcome", error.alias("error")))
 
 
 def settle(pages: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Complete the outcome: stored once per key, never over an existing page.
 
     Only keys and sequence numbers are grouped (with map-side combine), so a key
-    that is repeated very often stays cheap and page bodies are not moved for it.
+    that is repeated very often stays cheap and page bodies are not moved for it. A
+    page that cannot be stored fails, unless its key is there already or comes first;
+    it does not keep a later page of its key from being stored.
     """
-    candidates = pages.where(F.col("outcome").isNull()).select(*KEY, "seq")
+    candidates = pages.where(F.col("outcome").isNull()).select(*KEY, "seq", "error")
     if stored is not None:
         candidates = candidates.join(stored.select(*KEY), KEY, "left_anti")
-    winners = (
-        candidates.groupBy(*KEY).agg(F.min("seq").alias("seq")).select("seq", F.lit(True).alias("_new"))
+    good = candidates.where(F.col("error").isNull())
+    winners = good.groupBy(*KEY).agg(F.min("seq").alias("first"))
+    broken = candidates.where(F.col("error").isNotNull()).join(winners, KEY, "left")
+    failed = broken.where(F.col("first").isNull() | (F.col("seq") < F.col("first")))
+    news = winners.select(F.col("first").alias("seq"), F.lit(STORED).alias("_new")).unionByName(
+        failed.select("seq", F.concat(F.lit(FAILED), "error").alias("_new"))
     )
     return (
-        pages.join(winners, "seq", "left")
-        .withColumn(
-            "outcome",
-            F.coalesce("outcome", F.when(F.col("_new"), STORED).otherwise(SKIPPED)),
-        )
-        .drop("_new")
+        pages.join(news, "seq", "left").withColumn("outcome", F.coalesce("outcome", "_new", F.lit(SKIPPED))).drop("_new", "error")
     )
 
 
-def file_pages(routes: DataFrame, bodies: DataFrame, store: str) -> DataFrame:
-    """Append the new pages of a routed batch to ``store`` and return its events.
-
-    Outcomes are written out before the append changes what is stored, so a task
-    that is run again later still sees the decision that was made.
-    """
-    spark = routes.sparkSession
-    stored = spark.read.parquet(store) if present(spark, store) else None
-    decided = cut(settle(routes, stored))
-    chosen = decided.where(F.col("outcome") == STORED).select("seq", *KEY, "url")
-    new = chosen.join(bodies.select("seq", F.col("body").alias("html")), "seq")
-    new.write.mode("append").partitionBy("section").parquet(store)
-    return events_of(decided)
-
-
 def events_of(settled: DataFrame) -> DataFrame:
-    """(seq, section, url, filename, status) of pages that were stored or skipped."""
-    return settled.where(F.col("outcome").isin(STORED, SKIPPED)).select(
-        "seq", "section", "url", "filename", F.col("outcome").alias("status")
-    )
-
-
-def append_events(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+    """(seq, section, url, filename, status) of pages that were stored or skipped, or failed."""
+    shown = F.col("outcome").isin(STORED, SKIPPED) | F.col("outcome").startswith(FAILED)
+    return settled.where(shown).select("seq", "section", "url", "filename", F.col("outcome").alias("status"))
 
 
 def run_numbers(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsmine.functions import urls as U
 from newsmine.operators import acquire as A
 from newsmine.operators import report as R
+from newsmine.operators.store import PageStore
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
 from newsmine.session import table, work_path
@@ -18,15 +19,20 @@ _BASE = f"https://www.{SITE.domain}"
 
 # ── what the derived sitemaps and responses contain, stated without parsing ───
 
-_URL = f"""
+def _url(more: str = "''") -> str:
+    return f"""
   'https://www.{SITE.domain}/' || strftime(DATE '2026-01-01' + CAST(k % 90 AS INTEGER), '%Y/%m/%d') || '/'
-  || CASE WHEN k % 5 = 0 THEN 'Nota-' ELSE 'nota-' END || k || CASE WHEN k % 4 = 0 THEN '/' ELSE '' END
+  || CASE WHEN k % 5 = 0 THEN 'Nota-' ELSE 'nota-' END || k || {more} || CASE WHEN k % 4 = 0 THEN '/' ELSE '' END
 """
 
+
+# Pages that cannot be stored: a name of over 255 bytes, or a body of broken bytes.
+_LONG = "CASE WHEN k % 29 = 3 THEN repeat('-x', 150) ELSE '' END"
+
 _LINKS = f"""
 WITH base AS (
   SELECT doc_id AS k, strftime(DATE '2026-01-01' + CAST(doc_id % 90 AS INTEGER), '%Y/%m/%d') AS d FROM documents),
-main AS (SELECT k, d, {_URL} AS url FROM base),
+main AS (SELECT k, d, {_url()} AS url FROM base),
 listed AS (
   SELECT k, list_filter([
     url,
@@ -49,22 +55,29 @@ WITH base AS (
          WHEN lang = 'fr' THEN 'el-pais' WHEN lang = 'en' THEN 'el-mundo' WHEN lang = 'de' THEN 'sociedad' END AS section
   FROM documents),
 named AS (
-  SELECT seq, status, section, {_URL} || CASE WHEN seq % 23 = 0 THEN '?x=1' ELSE '' END AS url,
+  SELECT seq, status, section, {_url(_LONG)} || CASE WHEN seq % 23 = 0 THEN '?x=1' ELSE '' END AS url,
     CASE WHEN seq % 23 <> 0 THEN strftime(DATE '2026-01-01' + CAST(k % 90 AS INTEGER), '%Y-%m-%d') || '-'
-      || CASE WHEN k % 5 = 0 THEN 'Nota-' ELSE 'nota-' END || k || '.html' END AS filename
+      || CASE WHEN k % 5 = 0 THEN 'Nota-' ELSE 'nota-' END || k || {_LONG} || '.html' END AS filename
   FROM base),
 admitted AS (SELECT * FROM named WHERE status <> 500),
 routed AS (
   SELECT *, CASE WHEN section IS NULL THEN 'sin-seccion' WHEN section = 'deportes' THEN 'fuera-de-seccion'
-    WHEN filename IS NULL THEN 'url-no-reconocida' END AS outcome FROM admitted),
-old AS (SELECT section, filename, min(seq) AS seq FROM routed WHERE outcome IS NULL AND seq % 3 = 0 GROUP BY ALL),
+    WHEN filename IS NULL THEN 'url-no-reconocida' END AS outcome,
+    CASE WHEN length(filename) > 255 THEN 'file name of ' || length(filename) || ' bytes'
+      WHEN seq % 31 = 4 THEN 'body is not valid UTF-8' END AS error FROM admitted),
+old AS (
+  SELECT section, filename, min(seq) AS seq FROM routed
+  WHERE outcome IS NULL AND error IS NULL AND seq % 3 = 0 GROUP BY ALL),
 incoming AS (SELECT * FROM routed WHERE seq % 3 <> 0 OR seq % 6 = 0),
 fresh AS (
   SELECT section, filename, min(seq) AS seq FROM incoming
-  WHERE outcome IS NULL AND (section, filename) NOT IN (SELECT section, filename FROM old) GROUP BY ALL),
+  WHERE outcome IS NULL AND error IS NULL AND (section, filename) NOT IN (SELECT section, filename FROM old) GROUP BY ALL),
 events AS (
-  SELECT i.seq, i.section, i.url, i.filename, CASE WHEN f.seq IS NULL THEN 'omitido' ELSE 'guardado' END AS status
-  FROM incoming i LEFT JOIN fresh f ON i.seq = f.seq WHERE i.outcome IS NULL)
+  SELECT i.seq, i.section, i.url, i.filename, i.error, CASE WHEN f.seq = i.seq THEN 'guardado'
+    WHEN i.error IS NOT NULL AND o.seq IS NULL AND (f.seq IS NULL OR i.seq < f.seq) THEN 'error: ' || i.error ELSE 'omitido' END AS status
+  FROM incoming i LEFT JOIN fresh f ON i.section = f.section AND i.filename = f.filename
+    LEFT JOIN old o ON i.section = o.section AND i.filename = o.filename
+  WHERE i.outcome IS NULL)
 """
 
 
@@ -139,12 +152,13 @@ def section_tag(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "route_pages",
     _ROUTED
-    + """SELECT r.seq, r.url, r.section, r.filename, coalesce(r.outcome, CASE WHEN e.status IS NULL THEN 'omitido' ELSE e.status END) AS outcome
+    + """SELECT r.seq, r.url, r.section, r.filename, coalesce(r.outcome, e.status) AS outcome
 FROM incoming r LEFT JOIN events e ON r.seq = e.seq""",
 )
 def route_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose names are too long or whose bodies are broken fail alone."""
     old, incoming = _batches(spark, sf)
-    stored = old.where(F.col("outcome").isNull()).select(*A.KEY).distinct()
+    stored = old.where(F.col("outcome").isNull() & F.col("error").isNull()).select(*A.KEY).distinct()
     return A.settle(incoming, stored).select("seq", "url", "section", "filename", "outcome")
 
 
@@ -155,12 +169,15 @@ def _batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return pages.where(third), pages.where(~third | (F.col("seq") % 6 == 0))
 
 
-def _second_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of the second batch, filed over what the first one stored."""
-    store, bodies = work_path(spark, "pages"), X.fetched(spark, sf)
-    old, incoming = _batches(spark, sf)
-    A.file_pages(old, bodies, store)
-    return A.file_pages(incoming, bodies, store)
+def _second_run(spark: SparkSession, sf: str) -> PageStore:
+    """A store with a finished first run and a second one over it, both within the times of ``events``."""
+    store, bodies = PageStore(spark, work_path(spark, "store"), SITE), X.fetched(spark, sf)
+    times = table(spark, sf, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    for run, batch in zip(("old", "new"), _batches(spark, sf), strict=True):
+        store.start(run, "2026-01-01", "2026-03-31", times["first"])
+        store.file(run, 0, batch, bodies)
+        store.finish(run, ended=times["last"])
+    return store
 
 
 @query(
@@ -168,26 +185,38 @@ def _second_run(spark: SparkSession, sf: str) -> DataFrame:
     _ROUTED + "SELECT section, filename, seq FROM old UNION ALL SELECT section, filename, seq FROM fresh",
 )
 def file_new_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs into one store; a third, repeated run must add nothing."""
-    store, bodies = work_path(spark, "pages"), X.fetched(spark, sf)
+    """Two batches into one store; the second one again, as itself and under another number, must add nothing."""
+    store, bodies = PageStore(spark, work_path(spark, "store"), SITE), X.fetched(spark, sf)
     old, incoming = _batches(spark, sf)
-    for batch in (old, incoming, incoming):
-        A.file_pages(batch, bodies, store)
-    return spark.read.parquet(store).select(*A.KEY, "seq")
+    for number, batch in ((0, old), (1, incoming), (1, incoming), (2, incoming)):
+        store.file("run", number, batch, bodies)
+    return store.pages().select(*A.KEY, "seq")
 
 
 @query("skipped_pages", _ROUTED + "SELECT seq, section, url, filename, status FROM events WHERE status = 'omitido'")
 def skipped_pages(spark: SparkSession, sf: str) -> DataFrame:
-    events = _second_run(spark, sf)
-    return events.where(F.col("status") == A.SKIPPED)
+    return _new_events(spark, sf).where(F.col("status") == A.SKIPPED)
+
+
+def _new_events(spark: SparkSession, sf: str) -> DataFrame:
+    return A.events_of(_second_run(spark, sf).decisions("new-0"))
 
 
 @query("run_events", _ROUTED + "SELECT seq, section, url, filename, status FROM events")
 def run_events(spark: SparkSession, sf: str) -> DataFrame:
-    events = _second_run(spark, sf)
-    path = work_path(spark, "events")
-    A.append_events(events, path)
-    return spark.read.parquet(path)
+    return _new_events(spark, sf)
+
+
+@query(
+    "page_errors",
+    _ROUTED
+    + """, first_run AS (SELECT r.seq, r.url, r.section, r.filename, r.error FROM routed r LEFT JOIN old o ON r.section = o.section AND r.filename = o.filename
+  WHERE r.outcome IS NULL AND r.error IS NOT NULL AND r.seq % 3 = 0 AND (o.seq IS NULL OR r.seq < o.seq))
+SELECT * FROM first_run UNION ALL SELECT seq, url, section, filename, error FROM events WHERE status LIKE 'error: %'""",
+)
+def page_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The side table of pages that could not be stored, of both runs."""
+    return _second_run(spark, sf).errors()
 
 
 @query(
@@ -196,7 +225,17 @@ def run_events(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT section, filename, seq, row_number() OVER (PARTITION BY section ORDER BY seq) AS n FROM events WHERE status = 'guardado'",
 )
 def run_numbering(spark: SparkSession, sf: str) -> DataFrame:
-    return A.run_numbers(_second_run(spark, sf))
+    return A.run_numbers(_new_events(spark, sf))
+
+
+@query(
+    "progress_log",
+    _ROUTED
+    + """, kept AS (SELECT section, filename, row_number() OVER (PARTITION BY section ORDER BY seq) AS n FROM events WHERE status = 'guardado')
+SELECT section, n, format('[{}] #{:03d} | {}', section, n, filename) AS line FROM kept""",
+)
+def progress_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _second_run(spark, sf).progress("new")
 
 
 @query(
@@ -208,7 +247,30 @@ SELECT f.section, count(k.section) AS n, 'finished' AS reason FROM frame f LEFT
 UNION ALL SELECT 'TOTAL', count(*), 'finished' FROM kept""",
 )
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return A.run_summary(_second_run(spark, sf), SITE)
+    return _second_run(spark, sf).summary("new")
+
+
+_HEADER = """, times AS (SELECT min(ts) AS a, max(ts) AS b, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS s FROM events_table),
+shown AS (
+  SELECT a AS started, b AS ended, CASE WHEN s // 86400 = 0 THEN '' WHEN s // 86400 = 1 THEN '1 day, ' ELSE (s // 86400) || ' days, ' END
+    || format('{}:{:02d}:{:02d}', s % 86400 // 3600, s % 3600 // 60, s % 60) AS duration FROM times),
+both_runs AS (
+  SELECT 'new' AS run, coalesce(r.outcome, e.status) AS outcome FROM incoming r LEFT JOIN events e ON r.seq = e.seq
+  UNION ALL SELECT 'old', coalesce(r.outcome, CASE WHEN o.seq = r.seq THEN 'guardado' WHEN r.error IS NOT NULL AND (o.seq IS NULL OR r.seq < o.seq) THEN 'error: ' ELSE 'omitido' END)
+  FROM routed r LEFT JOIN old o ON r.section = o.section AND r.filename = o.filename WHERE r.seq % 3 = 0)
+SELECT run, any_value(started) AS started, any_value(ended) AS ended, '2026-01-01 → 2026-03-31' AS range,
+  'economia, el-mundo, el-pais, sociedad' AS sections, 'finished' AS state, any_value(duration) AS duration, 'finished' AS reason, CAST(1 AS BIGINT) AS batches,
+  count(*) FILTER (outcome = 'guardado') AS stored, count(*) FILTER (outcome = 'omitido') AS skipped, count(*) FILTER (outcome = 'fuera-de-seccion') AS outside,
+  count(*) FILTER (outcome = 'sin-seccion') AS untagged, count(*) FILTER (outcome = 'url-no-reconocida') AS not_article,
+  count(*) FILTER (outcome LIKE 'error: %') AS failed
+FROM both_runs, shown GROUP BY run"""
+
+
+# The routed events and the table of that name are told apart.
+@query("run_header", "WITH events_table AS (SELECT ts FROM main.events)," + _ROUTED.strip().removeprefix("WITH") + _HEADER)
+def run_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Start, range, sections, duration and counters of both runs, from their records."""
+    return _second_run(spark, sf).headers()
 
 
 @query(

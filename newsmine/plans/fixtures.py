@@ -29,12 +29,14 @@ def _day_path(doc_id: Column) -> Column:
     return F.date_format(day, "yyyy/MM/dd")
 
 
-def _article_url(doc_id: Column) -> Column:
+def _article_url(doc_id: Column, more: Column | None = None) -> Column:
+    """``more`` lengthens the slug."""
     slug = F.when(doc_id % 5 == 0, "Nota-").otherwise("nota-")
     tail = F.when(doc_id % 4 == 0, "/").otherwise("")
     return F.concat(
-        F.lit(f"https://www.{SITE.domain}/"), _day_path(doc_id), F.lit("/"), slug, doc_id.cast("string"), tail
-    )
+        F.lit(f"https://www.{SITE.domain}/"), _day_path(doc_id), F.lit("/"), slug, doc_id.cast("string"),
+        F.lit("") if more is None else more, tail,
+    )
 
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -85,7 +87,7 @@ def _section_value() -> Column:
 
 
 def fetched(spark: SparkSession, sf: str) -> DataFrame:
-    """Responses: (seq, url, status, body)."""
+    """Responses: (seq, url, status, body); some have names that are too long, or bodies of broken bytes."""
     value = _section_value()
     tag = F.when(
         F.col("doc_id") % 4 == 1,
@@ -94,7 +96,9 @@ def fetched(spark: SparkSession, sf: str) -> DataFrame:
     head = F.concat(F.lit('<html><head><meta charset="utf-8">'), F.coalesce(_every(10, F.lit("")), tag), F.lit("</head>"))
     body = F.concat(head, F.lit("<body><article>"), _escaped(F.col("text")), F.lit("</article></body></html>"))
     repeated = F.col("doc_id") - F.when(F.col("doc_id") % 19 == 0, 1).otherwise(0)
-    url = _article_url(F.when(F.col("doc_id") > 0, repeated).otherwise(F.col("doc_id")))
+    body = F.when(F.col("doc_id") % 31 == 4, F.concat(body, F.unhex(F.lit("C3")).cast("string"))).otherwise(body)
+    number = F.when(F.col("doc_id") > 0, repeated).otherwise(F.col("doc_id"))
+    url = _article_url(number, F.when(number % 29 == 3, F.repeat(F.lit("-x"), 150)).otherwise(""))
     status = (
         F.when(F.col("doc_id") % 20 == 0, 404)
         .when(F.col("doc_id") % 20 == 1, 403)

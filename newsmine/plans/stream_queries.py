@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmine.operators.acquire import STORED, KEY
+from newsmine.operators.acquire import KEY
+from newsmine.operators.store import PageStore
 from newsmine.plans import fixtures as X
 from newsmine.plans.acquire_queries import _ROUTED
 from newsmine.plans.registry import query
@@ -52,16 +53,17 @@ def log_feed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def _ingested(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Two waves of responses through one stream; returns store and events paths."""
-    landing, store, events, state = (work_path(spark, n) for n in ("landing", "pages", "events", "state"))
-    pages = X.fetched(spark, sf).where(F.col("status") != 500)
+def _ingested(spark: SparkSession, sf: str) -> PageStore:
+    """All responses, in two waves through one stream."""
+    landing, state = work_path(spark, "landing"), work_path(spark, "state")
+    store = PageStore(spark, work_path(spark, "store"), SITE)
+    pages = X.fetched(spark, sf)
     third = F.col("seq") % 3 == 0
     for wave in (pages.where(third), pages.where(~third | (F.col("seq") % 6 == 0))):
         wave.write.mode("append").parquet(landing)
         source = spark.readStream.schema(pages.schema).parquet(landing)
-        S.ingest(source, store, events, state, SITE).awaitTermination()
-    return store, events
+        S.ingest(source, store, state).awaitTermination()
+    return store
 
 
 @query(
@@ -69,8 +71,7 @@ def _ingested(spark: SparkSession, sf: str) -> tuple[str, str]:
     _ROUTED + "SELECT section, filename, seq FROM old UNION ALL SELECT section, filename, seq FROM fresh",
 )
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
-    store, _ = _ingested(spark, sf)
-    return spark.read.parquet(store).select(*KEY, "seq")
+    return _ingested(spark, sf).pages().select(*KEY, "seq")
 
 
 @query(
@@ -79,11 +80,13 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     + """SELECT section, count(*) AS n FROM (SELECT section FROM old UNION ALL SELECT section FROM fresh) GROUP BY section""",
 )
 def section_counter_stream(spark: SparkSession, sf: str) -> DataFrame:
-    _, events = _ingested(spark, sf)
+    """Counts of stored pages, added up from the records of filed batches as they come in."""
+    store = _ingested(spark, sf)
     out = work_path(spark, "counts")
-    schema = spark.read.parquet(events).schema
-    stored = spark.readStream.schema(schema).parquet(events).where(F.col("outcome") == STORED)
-    S.section_counter(stored, out, work_path(spark, "state")).awaitTermination()
+    records = store.batches().schema
+    filed = spark.readStream.schema(records).parquet(f"{store.path}/batches/*")
+    counts = filed.select(F.explode("per_section").alias("section", "k")).where("k > 0")
+    S.section_counter(counts, out, work_path(spark, "state"), F.col("k")).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -92,11 +95,12 @@ def section_counter_stream(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT event_id, event_type, value FROM events ORDER BY event_id DESC LIMIT 300",
 )
 def newest_feed_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The event table arrives in two chunks."""
+    """The event table arrives in three chunks; the last one meets a query with a fresh checkpoint."""
     landing, out, state = (work_path(spark, n) for n in ("landing", "newest", "state"))
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    for half in (0, 1):
-        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(landing)
-        source = spark.readStream.schema(events.schema).parquet(landing)
-        S.newest_feed(source, "event_id", out, state).awaitTermination()
-    return spark.read.parquet(f"{out}/1")
+    for part in range(3):
+        folder = f"{landing}/{part // 2}"
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(events.schema).parquet(folder)
+        S.newest_feed(source, "event_id", out, f"{state}/{part // 2}").awaitTermination()
+    return S.newest_events(spark, out, "event_id")

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
 
 from newsmine.config import SiteSettings
 from newsmine.functions.logs import relevant, without_timestamp
 from newsmine.functions.text import rstrip
-from newsmine.operators.acquire import KEY, STORED, events_of, routed, settle
+from newsmine.operators.acquire import admitted, routed
 from newsmine.operators.report import newest
+from newsmine.operators.store import PageStore
+from newsmine.session import written
 from newsmine.sources.tables import present
 
 
@@ -30,40 +36,30 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
 
-def ingest(
-    fetched: DataFrame, store: str, events: str, checkpoint: str, site: SiteSettings
-) -> StreamingQuery:
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a query for the life of its checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
+def ingest(fetched: DataFrame, store: PageStore, checkpoint: str) -> StreamingQuery:
     """File each micro-batch of responses, skipping every page that was ever stored.
 
-    The decisions of a batch are written under its number first. If the batch is
-    run again they are read back, and only pages not yet in the store are added.
+    A micro-batch counts once, under its number and the name of its checkpoint: when it
+    runs again it finds its record, and what a killed attempt left behind is not read.
+    A fresh checkpoint is another name, so its batches are judged by their pages.
     """
 
     def file_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        decisions = f"{events}/batch={number}"
-        if not present(spark, decisions):
-            stored = spark.read.parquet(store) if present(spark, store) else None
-            settled = settle(routed(batch, site), stored)
-            settled.select("seq", *KEY, "url", "outcome").write.mode("overwrite").parquet(decisions)
-        chosen = spark.read.parquet(decisions).where(F.col("outcome") == STORED).drop("outcome")
-        if present(spark, store):
-            chosen = chosen.join(spark.read.parquet(store).select(*KEY), KEY, "left_anti")
-        pages = chosen.join(batch.select("seq", F.col("body").alias("html")), "seq")
-        pages.select(*KEY, "seq", "url", "html").write.mode("append").partitionBy("section").parquet(store)
+        routes = routed(admitted(batch, store.site), store.site)
+        store.file(stream_name(batch.sparkSession, checkpoint), number, routes, batch)
 
     writer = fetched.writeStream.foreachBatch(file_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def ingest_events(spark: SparkSession, events: str) -> DataFrame:
-    """Events of all filed batches."""
-    return events_of(spark.read.parquet(events))
-
-
-def section_counter(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Rows per section so far; every update replaces the small result."""
-    counts = pages.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
+def section_counter(rows: DataFrame, path: str, checkpoint: str, n: Column | None = None) -> StreamingQuery:
+    """Rows (or the sum of ``n``) per section so far; every update replaces the small result."""
+    counts = rows.groupBy("section").agg(F.sum(F.lit(1).cast("long") if n is None else n).alias("n"))
 
     def replace(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(path)
@@ -72,16 +68,71 @@ def section_counter(pages: DataFrame, path: str, checkpoint: str) -> StreamingQu
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def newest_feed(events: DataFrame, order: str, path: str, checkpoint: str, n: int = 300) -> StreamingQuery:
-    """The last n events so far, kept under the number of the batch that made them."""
+class _Newest(StatefulProcessor):
+    """Keeps the ``n`` rows of a shard with the greatest ``order``; a row that comes again counts once."""
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        last = f"{path}/{number - 1}"
-        merged = newest(batch, order, n)
-        if present(spark, last):
-            merged = newest(merged.unionByName(spark.read.parquet(last)), order, n)
-        merged.write.mode("overwrite").parquet(f"{path}/{number}")
+    def __init__(self, schema: StructType, order: str, n: int) -> None:
+        self.schema, self.order, self.n = schema, order, n
 
-    writer = events.writeStream.foreachBatch(merge)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", self.schema)
+
+    def _merged(self, more: Iterable[pd.DataFrame]) -> pd.DataFrame:
+        names = self.schema.names
+        kept = pd.DataFrame(list(self.rows.get()), columns=names, dtype=object)
+        for part in more:
+            kept = pd.concat([kept, part[names].astype(object)], ignore_index=True)
+            kept = kept.drop_duplicates(self.order).sort_values(self.order, ascending=False, kind="stable").head(self.n)
+        self.rows.put([tuple(None if pd.isna(v) else v for v in row) for row in kept.itertuples(index=False)])
+        return kept
+
+    def handleInitialState(self, key, initial: pd.DataFrame, timers) -> None:  # noqa: ANN001, N802
+        self._merged([initial])
+
+    def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802
+        yield self._merged(rows).assign(shard=key[0])[["shard", *self.schema.names]]
+
+    def close(self) -> None:
+        pass
+
+
+def newest_feed(
+    events: DataFrame, order: str, path: str, checkpoint: str, n: int = 300, shards: int = 16
+) -> StreamingQuery:
+    """Keep the last ``n`` events so far; ``newest_events`` reads them.
+
+    Every shard holds its own newest rows in keyed state, and writes its list anew when
+    it changes: numbers of batches do not matter. A fresh checkpoint starts from the
+    lists that are there. ``order`` tells events apart.
+    """
+    spark = events.sparkSession
+    names = events.schema.names
+    shard = F.pmod(F.xxhash64(order), F.lit(shards)).cast("int").alias("shard")
+    keyed = events.select(shard, *names)
+    shape = f"shard int, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in events.schema.fields)}"
+    # A table of its own: the lists are overwritten while the first batch still reads it.
+    known = None
+    if present(spark, path):
+        known = written(spark.read.schema(shape).parquet(path), "newest").groupBy("shard")
+    lists = keyed.groupBy("shard").transformWithStateInPandas(
+        _Newest(events.schema, order, n), outputStructType=shape, outputMode="Update", timeMode="None", initialState=known
+    )
+
+    def replace(batch: DataFrame, _: int) -> None:
+        writer = batch.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("shard").parquet(path)
+
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    # Lists in state need this provider; a query keeps the settings it was started with.
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        writer = lists.writeStream.outputMode("update").foreachBatch(replace)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(provider, before)
+
+
+def newest_events(spark: SparkSession, path: str, order: str, n: int = 300) -> DataFrame:
+    """The last ``n`` events, newest first."""
+    return newest(spark.read.parquet(path).drop("shard"), order, n)

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from newsmine.config import SiteSettings
 from newsmine.functions import urls as U
+from newsmine.functions.logs import duration_text
 from newsmine.operators import acquire as A
 from newsmine.operators import report as R
+from newsmine.operators.store import PageStore
 from newsmine.session import work_path
 from newsmine.sources.seeds import seed_range, seeds
 
@@ -70,6 +72,10 @@ def page(section):
     return f'<meta name="p12:section" content="{section}">'
 
 
+def routes_of(fetched):
+    return A.routed(A.admitted(fetched, SITE), SITE)
+
+
 def test_filing_twice_equals_once(spark):
     rows = [
         (1, f"{PREFIX}/2026/01/01/a", 200, page("economia")),
@@ -81,15 +87,94 @@ def test_filing_twice_equals_once(spark):
         (7, f"{PREFIX}/2026/01/01/a", 200, page("sociedad")),
     ]
     fetched = responses(spark, rows)
-    routes = A.routed(A.admitted(fetched, SITE), SITE)
+    routes = routes_of(fetched)
     outcomes = {r.seq: r.outcome for r in routes.collect()}
     assert outcomes == {1: None, 2: None, 3: A.OUTSIDE, 4: A.NOT_ARTICLE, 5: A.UNTAGGED, 7: None}
-    store = work_path(spark, "t")
-    first = A.file_pages(routes, fetched, store)
-    assert {r.seq: r.status for r in first.collect()} == {1: A.STORED, 2: A.SKIPPED, 7: A.STORED}
-    again = A.file_pages(routes, fetched, store)
-    assert {r.status for r in again.collect()} == {A.SKIPPED}
-    assert sorted(r.seq for r in spark.read.parquet(store).collect()) == [1, 7]
+    store = PageStore(spark, work_path(spark, "t"), SITE)
+    expected = {1: A.STORED, 2: A.SKIPPED, 7: A.STORED}
+    assert {r.seq: r.status for r in store.file("r", 0, routes, fetched).collect()} == expected
+    # The same batch is read back; as another batch it adds nothing.
+    assert {r.seq: r.status for r in store.file("r", 0, routes, fetched).collect()} == expected
+    assert {r.status for r in store.file("r", 1, routes, fetched).collect()} == {A.SKIPPED}
+    assert sorted(r.seq for r in store.pages().collect()) == [1, 7]
+    assert store.events().count() == 6
+    (counts,) = store.batches().where("batch = 'r-0'").collect()
+    assert [counts[c] for c in ("stored", "skipped", "outside", "untagged", "not_article", "failed")] == [2, 1, 1, 1, 1, 0]
+    assert counts.per_section == {"economia": 1, "el-mundo": 0, "el-pais": 0, "sociedad": 1}
+
+
+def test_broken_pages_fail_alone(spark):
+    long = f"{PREFIX}/2026/01/01/{'x' * 300}"
+    rows = [(1, long, 200, page("economia")), (2, f"{PREFIX}/2026/01/01/a", 200, page("economia")), (3, f"{PREFIX}/2026/01/01/b", 200, page("economia")), (4, None, 200, page("economia")), (5, f"{PREFIX}/2026/01/01/n", 200, None)]
+    broken = F.when(F.col("seq") == 2, F.concat("body", F.unhex(F.lit("FF")).cast("string"))).otherwise(F.col("body"))
+    fetched = responses(spark, [*rows, (6, f"{PREFIX}/2026/01/01/a", 200, page("economia"))]).withColumn("body", broken)
+    store = PageStore(spark, work_path(spark, "t"), SITE)
+    found = {r.seq: r.status for r in store.file("r", 0, routes_of(fetched), fetched).collect()}
+    # The second page of a key is stored when the first one could not be; no address and no body have no section to fail in.
+    assert found == {1: "error: file name of 316 bytes", 2: "error: body is not valid UTF-8", 3: A.STORED, 6: A.STORED}
+    assert {r.seq: r.error for r in store.errors().collect()} == {1: "file name of 316 bytes", 2: "body is not valid UTF-8"}
+    assert {r.seq: r.status for r in store.file("r", 1, routes_of(fetched), fetched).collect()} == {1: "error: file name of 316 bytes", 2: A.SKIPPED, 3: A.SKIPPED, 6: A.SKIPPED}
+
+
+def test_a_killed_batch_repeats_without_doubles(spark, monkeypatch):
+    fetched = responses(spark, [(k, f"{PREFIX}/2026/01/0{1 + k % 3}/n{k}", 200, page("economia")) for k in range(6)])
+    routes = routes_of(fetched)
+    store = PageStore(spark, work_path(spark, "t"), SITE)
+    with monkeypatch.context() as broken:
+        broken.setattr(PageStore, "_put", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            store.file("r", 0, routes, fetched)
+    assert store.pages().count() == 0 and store.events().count() == 0
+    # Meanwhile another batch stores two of the pages.
+    other = fetched.where("seq < 2")
+    store.file("s", 0, routes_of(other), other)
+    events = {r.seq: r.status for r in store.file("r", 0, routes, fetched).collect()}
+    assert events == {0: A.SKIPPED, 1: A.SKIPPED, **{k: A.STORED for k in range(2, 6)}}
+    assert sorted(r.seq for r in store.pages().collect()) == list(range(6))
+
+
+def test_filing_reads_the_days_of_the_batch_only(spark):
+    fetched = responses(spark, [(k, f"{PREFIX}/2026/01/{1 + k:02d}/n", 200, page("economia")) for k in range(20)])
+    store = PageStore(spark, work_path(spark, "t"), SITE)
+    store.file("r", 0, routes_of(fetched), fetched)
+    def scanned(rows):
+        rows.collect()
+        leaves = rows._jdf.queryExecution().executedPlan().collectLeaves()
+        names = [leaves.apply(i).toString() for i in range(leaves.size())]
+        found = [leaves.apply(i) for i, n in enumerate(names) if "filename#" in n]
+        return found[0].metrics().apply("numFiles").value()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert scanned(store.keys()) == 20
+        assert scanned(store.keys(["2026-01-03", "2026-01-07", "2027-01-01"])) == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert {r.day for r in store.keys(["2026-01-03"]).collect()} == {"2026-01-03"}
+
+
+def test_run_records(spark):
+    store = PageStore(spark, work_path(spark, "t"), SITE)
+    start = dt.datetime(2026, 1, 1, 10, 0, 0, 900_000)
+    store.start("r", "2026-01-01", "2026-01-02", start)
+    (row,) = store.headers(now=start + dt.timedelta(hours=30, seconds=5)).collect()
+    assert (row.state, row.duration, row.batches, row.stored) == ("running", "1 day, 6:00:05", 0, 0)
+    fetched = responses(spark, [(k, f"{PREFIX}/2026/01/01/n{k}", 200, page("economia")) for k in range(3)])
+    for number in range(2):
+        part = fetched.where(f"seq % 2 = {number}")
+        store.file("r", number, routes_of(part), part)
+    store.finish("r", "shutdown", start + dt.timedelta(seconds=59))
+    (row,) = store.headers().collect()
+    assert (row.range, row.sections, row.state, row.duration, row.reason) == ("2026-01-01 → 2026-01-02", "economia, el-mundo, el-pais, sociedad", "finished", "0:00:59", "shutdown")
+    assert (row.batches, row.stored, row.failed) == (2, 3, 0)
+    assert {r.section: r.n for r in store.summary("r").collect()} == {"economia": 3, "el-mundo": 0, "el-pais": 0, "sociedad": 0, "TOTAL": 3}
+    assert sorted(r.line for r in store.progress("r").collect()) == [f"[economia] #00{k + 1} | 2026-01-01-n{k}.html" for k in range(3)]
+
+
+@pytest.mark.parametrize("seconds", [0, 59.99, 3600, 86_399, 86_400, 2 * 86_400 + 1.5, 100 * 86_400, -0.5, -86_400, -86_401])
+def test_duration_text(spark, seconds):
+    start = dt.datetime(2026, 3, 1, 12)
+    row = spark.createDataFrame([(start, start + dt.timedelta(seconds=seconds))], "a timestamp, b timestamp")
+    assert row.select(duration_text(F.col("a"), F.col("b"))).first()[0] == str(dt.timedelta(seconds=seconds)).split(".")[0]
 
 
 def test_one_key_holds_most_rows(spark):
@@ -100,6 +185,7 @@ def test_one_key_holds_most_rows(spark):
         F.lit("economia").alias("section"),
         F.when(F.col("id") % 3 == 0, "hot.html").otherwise(F.concat(F.lit("f"), F.col("id"))).alias("filename"),
         F.lit(None).cast("string").alias("outcome"),
+        F.lit(None).cast("string").alias("error"),
     )
     settled = A.settle(rows, None)
     assert settled.count() == 3000
@@ -109,12 +195,6 @@ def test_one_key_holds_most_rows(spark):
     assert [r.seq for r in numbers] == sorted(r.seq for r in numbers)
 
 
-def test_summary_shows_empty_sections(spark):
-    events = spark.createDataFrame([("economia", "guardado"), ("economia", "omitido")], "section string, status string")
-    found = {r.section: r.n for r in A.run_summary(events, SITE).collect()}
-    assert found == {"economia": 1, "el-mundo": 0, "el-pais": 0, "sociedad": 0, "TOTAL": 1}
-
-
 def test_status_classes(spark):
     events = spark.createDataFrame([("guardado",), ("omitido",), ("error: x",)], "status string")
     assert {r.status_class: r.n for r in R.status_counts(events).collect()} == {"ok": 1, "skip": 1, "err": 1}

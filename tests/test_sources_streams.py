@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from newsmine.config import SiteSettings
 from newsmine.operators import sinks as K
+from newsmine.operators.store import PageStore
 from newsmine.session import checkpoint_dir, work_path
 from newsmine.sources import tables as T
 from newsmine.sources import words as W
@@ -57,7 +58,7 @@ def test_log_lines(spark):
 
 def test_replayed_batch_adds_nothing(spark):
     """The same files through a stream with new state: nothing is stored twice."""
-    landing, store = work_path(spark, "landing"), work_path(spark, "store")
+    landing, store = work_path(spark, "landing"), PageStore(spark, work_path(spark, "store"), SITE)
     url = f"https://www.{SITE.domain}/2026/01/01/"
     rows = spark.range(6).select(
         F.col("id").alias("seq"),
@@ -68,5 +69,26 @@ def test_replayed_batch_adds_nothing(spark):
     rows.write.parquet(landing)
     for _ in range(2):
         source = spark.readStream.schema(rows.schema).parquet(landing)
-        S.ingest(source, store, work_path(spark, "events"), work_path(spark, "state"), SITE).awaitTermination()
-    assert sorted(r.seq for r in spark.read.parquet(store).collect()) == [0, 1, 2, 3]
+        S.ingest(source, store, work_path(spark, "state")).awaitTermination()
+    assert sorted(r.seq for r in store.pages().collect()) == [0, 1, 2, 3]
+    assert store.batches().count() == 2
+
+
+def test_newest_events_survive_gaps_and_fresh_checkpoints(spark):
+    landing, out = work_path(spark, "landing"), work_path(spark, "newest")
+    schema = "k long, note string, at timestamp, v double"
+
+    def feed(folder, state, rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{landing}/{folder}")
+        source = spark.readStream.schema(schema).parquet(f"{landing}/{folder}")
+        S.newest_feed(source, "k", out, state, n=5, shards=3).awaitTermination()
+        return [r.k for r in S.newest_events(spark, out, "k", 5).collect()]
+
+    first, fresh = work_path(spark, "state"), work_path(spark, "state")
+    row = lambda k: (k, None if k % 2 else "x", None, None)
+    assert feed("a", first, [row(k) for k in range(0, 40, 2)]) == [38, 36, 34, 32, 30]
+    # Old news, then a repeated row, change nothing.
+    assert feed("a", first, [row(k) for k in (1, 3, 38)]) == [38, 36, 34, 32, 30]
+    # A fresh checkpoint that does not see the old files keeps what is known.
+    assert feed("b", fresh, [row(37), row(99)]) == [99, 38, 37, 36, 34]
+    assert feed("b", fresh, [row(35)]) == [99, 38, 37, 36, 35]
