@@ -98,12 +98,14 @@ def one_each(docs: DataFrame, judged: DataFrame, mark: Column, limit: int = 1_00
     def few(rows: DataFrame) -> DataFrame:
         return F.broadcast(rows) if rows.count() <= limit else rows
 
-    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_mark": mark})
+    # The row travels in a struct, so no name of its columns can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), mark.alias("_mark"), row)
     rest = named.join(few(entries.select("_id", "_mark")), ["_id", "_mark"], "left_anti")
     copies = entries.where("_stays").select("_id", "_mark")
     if not copies.isEmpty():
         rest = rest.unionByName(named.join(few(copies), ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
-    return rest.drop("_id", "_mark")
+    return rest.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ holds each set's rarest n-grams (as many as a linked set must share one of). In
 every index list one set leads: the one that holds the n-gram earliest in its
 order. First only leaders are compared with the members of their lists. For the rest,
 lists are cut into blocks by size and position, pairs of blocks that cannot hold a
-link are skipped whole, bit sketches rule out most of what is left, and a pair that was compared with the same leader gets its overlap from the two
-answers' differences instead of from the sets. Callers that only need components
-skip the pairs that leaders have connected already.
+link are skipped whole, bit sketches rule out most of what is left, and a pair that
+was compared with the same leader gets its overlap from the two answers' differences
+instead of from the sets. Callers that only need components skip the pairs that are
+connected already, and peel lists first: in every turn some more heads of a list's
+main component meet what is not connected to it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from newsmine.operators.blocks import FAN_IN, SCHEMA, slices
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 BLOCK = 4  # neighbouring positions in one block of a list
+HEADS = 8  # members of a list's main component that the others are compared with in one turn
 
 
 @dataclass(frozen=True)
@@ -208,25 +211,54 @@ def _leader_pairs(lists: DataFrame, sets: Sets) -> DataFrame:
     return met.where(fit).select("a", F.col("cls").alias("b")).distinct()
 
 
-def _rest_pairs(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
-    """(a, b) with a < b: members of one list that are not connected yet and may be linked.
+def _open_members(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
+    """Members (gram, pos, n, cls, comp, step, slot, main) of lists that still hold several components.
 
-    Leaders are left out, as all their pairs are settled. Of the rest, members of a
-    list's most frequent component are already connected with each other: only the
-    others look for partners, among all. Without ``labels`` rows every class is a
-    component of its own, so that all pairs are found.
+    Leaders are left out, as all their pairs are settled. ``main`` marks a list's
+    most frequent component. Without ``labels`` rows every class is a component of
+    its own. A list's members of similar size and position have the same step and slot.
     """
     followers = lists.join(_leaders(lists).select("gram", "a"), "gram").where(F.col("cls") != F.col("a")).drop("a")
     named = followers.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = named.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
-    # A block: one list's members of similar size and position.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / sets.percent)))
     open_lists = stored(
         named.join(mixed, "gram", "left_semi").withColumns({"step": step, "slot": F.floor(F.col("pos") / BLOCK)}).distinct(), "jaccard-mixed"
     )
     counts = open_lists.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("many"))
     largest = counts.groupBy("gram").agg(F.max(F.struct("many", "comp")).alias("top")).select("gram", F.col("top.comp").alias("largest"))
-    members = stored(open_lists.join(largest, "gram").withColumn("main", F.col("comp") == F.col("largest")).drop("largest"), "jaccard-open")
+    return stored(open_lists.join(largest, "gram").withColumn("main", F.col("comp") == F.col("largest")).drop("largest"), "jaccard-open")
+
+
+def _open_size(members: DataFrame) -> tuple[int, int]:
+    """Rows of open lists, and how many pairs with members of other components they may make."""
+    sizes = members.groupBy("gram").agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("main")).alias("others"))
+    found = sizes.agg(F.sum("all"), F.sum(F.col("all") * F.col("others"))).first()
+    return found[0] or 0, found[1] or 0
+
+
+def _head_pairs(members: DataFrame, sets: Sets, turn: int) -> DataFrame:
+    """(a, b): some heads of each list's main component with each member of its other components.
+
+    Copies of one text that differ from a list's leader are like other copies of it:
+    a few more heads connect nearly all of them, at ``HEADS`` rows for each member.
+    The same classes head all their lists; each ``turn`` draws others.
+    """
+    drawn = F.xxhash64("cls", F.lit(turn))
+    main = members.where("main").select("gram", F.pmod(drawn, F.lit(HEADS)).alias("chair"), F.struct(drawn.alias("drawn"), "pos", "n", "cls").alias("head"))
+    heads = main.groupBy("gram", "chair").agg(F.min("head").alias("head"))
+    heads = heads.select("gram", F.col("head.pos").alias("pos_h"), F.col("head.n").alias("n_h"), F.col("head.cls").alias("h"))
+    met = members.where("not main").join(heads, "gram")
+    fit = sets.sizes_fit(F.col("n"), F.col("n_h")) & (F.least(_room("n", "pos"), _room("n_h", "pos_h")) >= sets.needed(F.col("n"), F.col("n_h")))
+    return met.where(fit).select(F.least("cls", "h").alias("a"), F.greatest("cls", "h").alias("b")).distinct()
+
+
+def _rest_pairs(members: DataFrame, sets: Sets) -> DataFrame:
+    """(a, b) with a < b: open members of one list that are not connected yet and may be linked.
+
+    Members of a list's most frequent component are already connected with each
+    other: only the others look for partners, among all.
+    """
     blocks = members.groupBy("gram", "main", "step", "slot").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(_room("n", "pos")).alias("room"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
@@ -401,20 +433,46 @@ def joined(docs: DataFrame, sets: Sets = Sets(), only_components: bool = False)
     links = answers.where(good).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").distinct()
     labels = components(links)
     tested = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    connected = labels if only_components else labels.limit(0)
-    rest = _plausible(_rest_pairs(lists, connected, sets).join(tested, ["a", "b"], "left_anti"), filled, sets)
-    if not rest.isEmpty():
-        tests, led, alone = _tests(rest, answers)
-        known = answers.unionByName(stored(_compared(texts, filled, tests, sets), "jaccard-tests"))
-        derived = _derived(led, known)
-        compared = _compared(texts, filled, alone, sets).select("a", "b", "n_a", "n_b", "overlap")
-        more = stored(derived.unionByName(compared).where(good).select("a", "b", "overlap"), "jaccard-more")
-        if not more.isEmpty():
-            links = links.unionByName(more)
+    if only_components:
+        # Turns go on while pairs of open lists outnumber their rows and each turn leaves far fewer.
+        before, turn = float("inf"), 0
+        while True:
+            members = _open_members(lists, labels, sets)
+            rows, pairs = _open_size(members)
+            if pairs <= 4 * rows or pairs > 0.7 * before:
+                break
+            before, turn = pairs, turn + 1
+            met = stored(_head_pairs(members, sets, turn).join(tested, ["a", "b"], "left_anti"), "jaccard-heads-met")
+            tested = tested.unionByName(met)
+            more = _new_links(texts, filled, answers, met, sets)
+            if more is None:
+                break
+            links = links.unionByName(more).distinct()
             labels = components(links)
+    else:
+        members = _open_members(lists, labels.limit(0), sets)
+    more = _new_links(texts, filled, answers, _rest_pairs(members, sets).join(tested, ["a", "b"], "left_anti"), sets)
+    if more is not None:
+        links = links.unionByName(more)
+        links = links.distinct() if only_components else links
+        labels = components(links)
     return Joined(facts, links, labels)
 
 
+def _new_links(texts: DataFrame, filled: DataFrame, answers: DataFrame, pairs: DataFrame, sets: Sets) -> DataFrame | None:
+    """(a, b, overlap): linked ones among ``pairs`` (a < b), derived from the leaders' answers where one has them; None: there are none."""
+    rest = _plausible(pairs, filled, sets)
+    if rest.isEmpty():
+        return None
+    good = sets.linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
+    tests, led, alone = _tests(rest, answers)
+    known = answers.unionByName(stored(_compared(texts, filled, tests, sets), "jaccard-tests"))
+    derived = _derived(led, known)
+    compared = _compared(texts, filled, alone, sets).select("a", "b", "n_a", "n_b", "overlap")
+    more = stored(derived.unionByName(compared).where(good).select("a", "b", "overlap"), "jaccard-more")
+    return None if more.isEmpty() else more
+
+
 def _placed(found: Joined) -> DataFrame:
     """(id, n, cls, own, lowest) of every row: id and text mark of the least row of its component (null for an empty set)."""
     classes = found.facts.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "own")).alias("least"))

@@ -44,6 +44,12 @@ BOILERPLATE = re.compile(
     rb"|share (?:on|this)|skip to (?:main )?content|powered by|back to top",
     re.IGNORECASE,
 )
+# Marks that end or divide sentences, besides the ASCII ones. Greek, Armenian, Hebrew, Arabic,
+# Devanagari, Tibetan, Myanmar, Ethiopic, Khmer, general, Chinese and Japanese, full-width.
+SENTENCE_MARKS = "\u037e\u0387\u055c\u055d\u055e\u0589\u05c3\u060c\u061b\u061f\u06d4\u0964\u0965\u0f0d\u0f0e\u104a\u104b\u1362\u1363\u1364\u1365\u1367\u1368\u17d4\u17d5\u2026\u203c\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\uff61"
+_FAR_STOPS = re.compile(b"|".join(re.escape(m.encode()) for m in SENTENCE_MARKS))
+_FAR_LEADS = np.zeros(256, bool)
+_FAR_LEADS[[m.encode()[0] for m in SENTENCE_MARKS]] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _MARK = np.zeros(256, bool)
@@ -103,8 +109,15 @@ def judged(data: np.ndarray, offsets: np.ndarray, rules: LineRules) -> tuple[dic
     seen[np.unique(keys, return_index=True)[1]] = False
     repeated = seen & (words > 0)
     phrase = np.zeros(len(low), bool)
-    hits = np.array([m.start() for m in BOILERPLATE.finditer(data.tobytes())], np.int64)
+    raw = data.tobytes()
+    # Each text by itself: what stands behind its end belongs to another one.
+    bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+    hits = np.array([m.start() for start, end in bounds for m in BOILERPLATE.finditer(raw, start, end)], np.int64)
     phrase[np.searchsorted(cuts, hits, "right") - 1] = True
+    if _FAR_LEADS[data].any():
+        far = np.zeros(len(data), bool)
+        far[[m.start() for m in _FAR_STOPS.finditer(raw)]] = True
+        stops = stops + count(far)
     failed = (100 * symbols > rules.max_symbols * chars) | (100 * marks > rules.max_marks * chars)
     failed |= (stops == 0) & (words >= rules.unpunctuated_words)
     failed |= (bars >= rules.separators) & (bars * rules.words_per_separator >= words)

@@ -51,7 +51,8 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     shape = windows.Shape(windows.word_units, window, max(1, window // 2), keep_first=True)
     texts = windows.texts_of(docs)
-    marks = stored(windows.marked(windows.entries(texts, shape), shape), "substring-marks")
+    entries = windows.entries(texts, shape, windows.frequent_anchors(texts, shape))
+    marks = stored(windows.marked(entries, shape), "substring-marks")
     sure = marks.where("covered").select("id", "twin", "first", "last")
     covers = sure.unionByName(windows.edges(texts, marks, shape))
 
@@ -60,7 +61,7 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             for rows, data, offsets in K.blocks(batch):
                 starts, ends, first = K.words(data, offsets)
                 units = K.word_hashes(data, starts, ends)
-                gone = windows.cover_mask(units, first, rows.column(2), window)
+                gone = windows.cover_mask(units, first, rows.column(rows.schema.get_field_index("covers")), window)
                 out, bounds = joined_words(data, starts, ends, first, ~gone)
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[first])
                 text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows.num_rows, [None, pa.py_buffer(bounds), pa.py_buffer(out)])

@@ -33,6 +33,7 @@ class IndexFamily:
     spark: SparkSession
     shape: windows.Shape
     buckets: int
+    frequent: np.ndarray
     levels: list[tuple[int, str]] = field(default_factory=list)
     matched: list[DataFrame] = field(default_factory=list)
 
@@ -56,12 +57,14 @@ class IndexFamily:
     def add(self, texts: DataFrame) -> None:
         """Index a batch and note the suffixes that match within it or in an older level."""
         self.merge()
-        rows = windows.entries(texts, self.shape)
+        rows = windows.entries(texts, self.shape, self.frequent)
         # Rows that are known to be covered need no partner: they are dealt out evenly.
-        key = F.when(F.col("salt") > 0, F.xxhash64("salt", "id", "at")).otherwise(F.col("anchor"))
-        name = self._write(rows.withColumn("key", key).drop("salt").repartition(self.buckets, "key"))
+        key = F.when(F.col("salt") > 0, F.xxhash64("salt", "id", "at")).when(F.col("salt") < 0, F.xxhash64("salt", "anchor")).otherwise(F.col("anchor"))
+        name = self._write(rows.withColumn("key", key).repartition(self.buckets, "key"))
         new = self._suffixes(name).select("key")
         found = [new.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")]
+        # A frequent anchor has partners under its other salts.
+        found.append(self._suffixes(name).where("salt < 0").select("key"))
         found += [new.join(self._suffixes(old).select("key"), "key", "left_semi") for _, old in self.levels]
         self.matched.append(stored(reduce(DataFrame.union, found).distinct(), "suffix-matches"))
         self.levels.append((1, name))
@@ -85,12 +88,14 @@ def repeated_spans(texts: DataFrame, window: int, part: int, batches: int) -> Da
     """(id, twin, first, last): starts of the ``window``-byte strings that also start elsewhere."""
     spark = texts.sparkSession
     shape = windows.Shape(windows.byte_units, window, part, keep_first=False)
-    family = IndexFamily(spark, shape, max(12, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    for k in range(batches):
-        family.add(texts.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k))
-    rows = family.matches().withColumn("salt", F.when(F.col("sure"), F.pmod(F.col("key"), F.lit(windows.SPREAD)).cast("int") + 1).otherwise(0))
-    marks = stored(windows.marked(rows, shape), "suffix-marks")
-    family.close()
+    buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    family = IndexFamily(spark, shape, buckets, windows.frequent_anchors(texts, shape))
+    try:
+        for k in range(batches):
+            family.add(texts.where(F.pmod(F.xxhash64("id", "twin"), F.lit(batches)) == k))
+        marks = stored(windows.marked(family.matches(), shape), "suffix-marks")
+    finally:
+        family.close()
     sure = marks.where("covered").select("id", "twin", "first", "last")
     return sure.unionByName(windows.edges(texts, marks, shape))
 
@@ -109,7 +114,7 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
     other. Null doc_ids are one document only if their texts are equal too. Other
     columns are not read. An empty table gives an empty result.
     """
-    part = part or max(1, window * 5 // 8)
+    part = part or max(1, window // 4)
     texts = windows.texts_of(docs)
     covers = repeated_spans(texts, window, part, batches)
     whole = windows.texts_of(docs, rest)
@@ -130,7 +135,7 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
                 left = pa.array([k.as_py().decode("utf-8", "ignore") for k in kept], pa.string()) if rest else kept.cast(pa.binary())
                 columns = [rows.column(0), pa.array(np.diff(offsets)), pa.array(total(gone)), pa.array(total(begun)), left]
                 names = ["id", "n_bytes", "n_removed", "n_spans", "kept"]
-                yield pa.RecordBatch.from_arrays([*columns, *([rows.column(2)] if rest else [])], names=[*names, *(["rest"] if rest else [])])
+                yield pa.RecordBatch.from_arrays([*columns, *([rows.column(rows.schema.get_field_index("rest"))] if rest else [])], names=[*names, *(["rest"] if rest else [])])
 
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept " + (f"string, rest {own}" if rest else "binary")
     found = windows.with_covers(whole, covers).mapInArrow(run, schema)

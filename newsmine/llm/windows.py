@@ -18,10 +18,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.llm import kernel as K
-from newsmine.llm.common import NULL_ID, Batches
+from newsmine.llm.common import NULL_ID, Batches, sampled
 
 _FLUSH = 2_000_000  # entries that a task combines at once
 SPREAD = 1 << 15
+SALTS = 64  # tasks that share a frequent anchor
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -47,25 +48,22 @@ class Shape:
 
 
 def texts_of(docs: DataFrame, rest: bool = False) -> DataFrame:
-    """(id, text[, rest]): ``rest`` carries all columns of the row."""
-    own = docs.select(
+    """(id, twin, text[, rest]): ``twin`` tells texts apart that share a doc_id, ``rest`` carries all columns of the row."""
+    text = F.col("text").cast("string")
+    return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.col("text").cast("string").alias("text"),
+        F.xxhash64(text).alias("twin"),
+        text.alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")] if rest else []),
     )
-    return own
 
 
-def twins(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """31-bit fingerprint of each text: tells texts apart that share a doc_id."""
-    return (K.run_hashes(sums, offsets[:-1], np.diff(offsets)) >> np.uint64(33)).astype(np.int32)
-
-
-def _combined(columns: dict[str, np.ndarray], keys: list[str], keep_first: bool, seed: int) -> pa.RecordBatch:
+def _combined(columns: dict[str, np.ndarray], keys: list[str], keep_first: bool, seed: int, frequent: np.ndarray) -> pa.RecordBatch:
     """Combine a task's rows by ``keys``: one row of each stands for them (``many`` if others follow).
 
     Rows known to be covered already are marked ``sure``. They need no partner
-    any more, so a number deals them out evenly instead of by key.
+    any more, so a number deals them out evenly instead of by key. Rows of
+    ``frequent`` anchors are dealt by their surroundings as well (a negative salt).
     """
     n = len(columns["id"])
     order = np.lexsort([columns["at"], columns["twin"], columns["id"], *(columns[k] for k in reversed(keys))])
@@ -89,20 +87,22 @@ def _combined(columns: dict[str, np.ndarray], keys: list[str], keep_first: bool,
     rest = sure & ~stands
     twice = stands & sure if not keep_first else np.zeros(n, bool)
     spread = (np.arange(n) * 7919 + seed) % SPREAD + 1
+    common = np.isin(columns["anchor"].view(np.int64), frequent)
+    dealt = np.where(common, (columns["around"].view(np.uint64) % np.uint64(SALTS)).astype(np.int64) - SALTS, 0)
     parts = []
     for rows, covered in ((stands, False), (rest, True), (twice, True)):
         at = np.flatnonzero(rows)
-        salt = spread[at] if covered else np.zeros(len(at), np.int64)
+        salt = spread[at] if covered else dealt[at]
         parts.append({k: v[at] for k, v in columns.items()} | {"many": many[at], "sure": np.full(len(at), covered), "salt": salt.astype(np.int32)})
     whole = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
     return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64) if v.dtype == np.uint64 else v) for v in whole.values()], names=list(whole))
 
 
-ENTRY = "id long, twin int, at int, first int, last int, anchor long, around long, many boolean, sure boolean, salt int"
-EDGE = "id long, twin int, at int, anchor long, around long, many boolean, sure boolean, salt int"
+ENTRY = "id long, twin long, at int, first int, last int, anchor long, around long, many boolean, sure boolean, salt int"
+EDGE = "id long, twin long, at int, anchor long, around long, many boolean, sure boolean, salt int"
 
 
-def _gather(blocks: Iterator[dict[str, np.ndarray]], keys: list[str], keep_first: bool) -> Batches:
+def _gather(blocks: Iterator[dict[str, np.ndarray]], keys: list[str], keep_first: bool, frequent: np.ndarray) -> Batches:
     from pyspark import TaskContext
 
     seed = TaskContext.get().partitionId() * 104729
@@ -112,13 +112,25 @@ def _gather(blocks: Iterator[dict[str, np.ndarray]], keys: list[str], keep_first
         held.append(block)
         size += len(block["id"])
         if size >= _FLUSH:
-            yield _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, keys, keep_first, seed)
+            yield _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, keys, keep_first, seed, frequent)
             held, size = [], 0
     if size:
-        yield _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, keys, keep_first, seed)
+        yield _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, keys, keep_first, seed, frequent)
+
+
+def frequent_anchors(texts: DataFrame, shape: Shape, rows: int = 4_000, percent: int = 1) -> np.ndarray:
+    """Anchors in about one hundredth of all texts or more, as a sample of the texts shows them.
+
+    They only say which anchors are dealt to several tasks; what is found does not
+    depend on them. A text has a bounded number of anchors per byte, so the list is short.
+    """
+    some = sampled(texts, rows, F.col("id"))
+    counts = entries(some, shape, np.zeros(0, np.int64)).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("n") >= max(2, rows * percent // 100)).select("anchor").collect()
+    return np.array([r["anchor"] for r in found], np.int64)
 
 
-def entries(texts: DataFrame, shape: Shape) -> DataFrame:
+def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray) -> DataFrame:
     """One row per anchor, combined inside each task (ENTRY)."""
 
     def run(batches: Batches) -> Batches:
@@ -128,16 +140,15 @@ def entries(texts: DataFrame, shape: Shape) -> DataFrame:
                     units, first = shape.units(data, offsets)
                     got = K.anchored(units, first, shape.window, shape.part)
                     text = got.pop("text")
-                    ids = rows.column(0).to_numpy(zero_copy_only=False)
-                    twin = twins(K.prefix_sums(units), first)
+                    ids, twin = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                     yield {
                         "id": ids[text], "twin": twin[text], "at": got["at"].astype(np.int32), "first": got["first"].astype(np.int32),
                         "last": got["last"].astype(np.int32), "anchor": got["anchor"], "around": got["around"],
                     }
 
-        yield from _gather(found(), ["anchor", "around"], shape.keep_first)
+        yield from _gather(found(), ["anchor", "around"], shape.keep_first, frequent)
 
-    return texts.select("id", "text").mapInArrow(run, ENTRY)
+    return texts.select("id", "twin", "text").mapInArrow(run, ENTRY)
 
 
 def _place() -> Column:
@@ -147,15 +158,16 @@ def _place() -> Column:
 def covered_rows(rows: DataFrame, keep_first: bool) -> tuple[Column, Column]:
     """(covered, multi): whether a row's surroundings repeat, and whether its anchor has other surroundings too.
 
-    ``rows`` has at most one row for each task and surroundings besides sure ones,
-    so a key that all documents share stays as small as the number of tasks.
+    ``rows`` has at most one row for each task and surroundings besides sure ones, and
+    a frequent anchor is split by its surroundings (salt below 0): what is repeated
+    around it still meets, and that it has several surroundings is known.
     """
     near = W.partitionBy("anchor", "salt", "around")
     wide = W.partitionBy("anchor", "salt")
     low, high = F.min(_place()).over(near), F.max(_place()).over(near)
     again = (_place() > low) if keep_first else (F.max("many").over(near) | (low < high))
     covered = F.col("sure") | again
-    multi = ~F.col("sure") & (_place() == low) & (F.min("around").over(wide) < F.max("around").over(wide))
+    multi = ~F.col("sure") & (_place() == low) & ((F.col("salt") < 0) | (F.min("around").over(wide) < F.max("around").over(wide)))
     return covered, multi
 
 
@@ -168,8 +180,8 @@ def marked(rows: DataFrame, shape: Shape) -> DataFrame:
 
 def edges(texts: DataFrame, marks: DataFrame, shape: Shape) -> DataFrame:
     """(id, twin, first, last) of windows that repeat and belong to open anchors: compared one by one."""
-    opens = marks.where("open").groupBy("id").agg(F.collect_list(F.struct("twin", "first", "last", "anchor")).alias("marks"))
-    joined = texts.select("id", "text").join(opens, "id").select("id", "text", "marks")
+    opens = marks.where("open").groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last", "anchor")).alias("marks"))
+    joined = texts.select("id", "twin", "text").join(opens, ["id", "twin"]).select("id", "twin", "text", "marks")
 
     def run(batches: Batches) -> Batches:
         def found() -> Iterator[dict[str, np.ndarray]]:
@@ -177,19 +189,17 @@ def edges(texts: DataFrame, marks: DataFrame, shape: Shape) -> DataFrame:
                 for rows, data, offsets in K.blocks(batch):
                     units, start = shape.units(data, offsets)
                     sums = K.prefix_sums(units)
-                    text, mark = lists(rows.column(2))
-                    own = twins(sums, start)[text] == mark["twin"]
-                    text, mark = text[own], {k: v[own] for k, v in mark.items()}
+                    text, mark = lists(rows.column(3))
                     sizes = mark["last"].astype(np.int64) - mark["first"] + 1
                     which = np.repeat(np.arange(len(sizes)), sizes)
                     at = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + mark["first"][which]
-                    ids = rows.column(0).to_numpy(zero_copy_only=False)
+                    ids, twin = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                     yield {
-                        "id": ids[text[which]], "twin": mark["twin"][which], "at": at.astype(np.int32), "anchor": mark["anchor"][which],
+                        "id": ids[text[which]], "twin": twin[text[which]], "at": at.astype(np.int32), "anchor": mark["anchor"][which],
                         "around": K.run_hashes(sums, start[text[which]] + at, shape.window).view(np.int64),
                     }
 
-        yield from _gather(found(), ["anchor", "around"], shape.keep_first)
+        yield from _gather(found(), ["anchor", "around"], shape.keep_first, np.zeros(0, np.int64))
 
     rows = joined.mapInArrow(run, EDGE)
     covered, _ = covered_rows(rows, shape.keep_first)
@@ -209,9 +219,8 @@ def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: i
     text, mark = lists(column)
     if not len(text):
         return np.zeros(len(units), bool)
-    own = twins(K.prefix_sums(units), start)[text] == mark["twin"]
-    low = (start[text] + mark["first"])[own]
-    high = (start[text] + mark["last"] + window)[own]
+    low = start[text] + mark["first"]
+    high = start[text] + mark["last"] + window
     depth = np.zeros(len(units) + 1, np.int64)
     np.add.at(depth, low, 1)
     np.subtract.at(depth, high, 1)
@@ -220,5 +229,5 @@ def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: i
 
 def with_covers(texts: DataFrame, covers: DataFrame) -> DataFrame:
     """``texts`` with the list ``covers`` of its covered stretches (null: none)."""
-    spans = covers.groupBy("id").agg(F.collect_list(F.struct("twin", "first", "last")).alias("covers"))
-    return texts.join(spans, "id", "left").select(*texts.columns, "covers")
+    spans = covers.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
+    return texts.join(spans, ["id", "twin"], "left").select(*texts.columns, "covers")
