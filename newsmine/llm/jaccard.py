@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.llm import kernel as K
@@ -212,19 +213,24 @@ def _leader_pairs(lists: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _open_members(lists: DataFrame, labels: DataFrame, sets: Sets) -> DataFrame:
-    """Members (gram, pos, n, cls, comp, step, slot, main) of lists that still hold several components.
+    """Members (gram, pos, n, cls, prev, comp, step, slot, main) of lists that still hold several components.
 
     Leaders are left out, as all their pairs are settled. ``main`` marks a list's
     most frequent component. Without ``labels`` rows every class is a component of
     its own. A list's members of similar size and position have the same step and slot.
+    ``prev`` is the set's open list before this one, at its first the set itself; a list
+    in which all sets have the same one tells nothing new and is left out.
     """
     followers = lists.join(_leaders(lists).select("gram", "a"), "gram").where(F.col("cls") != F.col("a")).drop("a")
     named = followers.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     mixed = named.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / sets.percent)))
-    open_lists = stored(
-        named.join(mixed, "gram", "left_semi").withColumns({"step": step, "slot": F.floor(F.col("pos") / BLOCK)}).distinct(), "jaccard-mixed"
-    )
+    placed = named.join(mixed, "gram", "left_semi").withColumns({"step": step, "slot": F.floor(F.col("pos") / BLOCK)}).distinct()
+    # All sets follow one order of n-grams: two sets that have the same open list before this one meet there already.
+    before = F.lag("gram").over(W.partitionBy("cls").orderBy("pos"))
+    linked = stored(placed.withColumn("prev", F.coalesce(before, "cls")), "jaccard-mixed")
+    fresh = linked.groupBy("gram").agg(F.min("prev").alias("low"), F.max("prev").alias("high")).where("low < high").select("gram")
+    open_lists = linked.join(fresh, "gram", "left_semi")
     counts = open_lists.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("many"))
     largest = counts.groupBy("gram").agg(F.max(F.struct("many", "comp")).alias("top")).select("gram", F.col("top.comp").alias("largest"))
     return stored(open_lists.join(largest, "gram").withColumn("main", F.col("comp") == F.col("largest")).drop("largest"), "jaccard-open")
@@ -257,23 +263,26 @@ def _rest_pairs(members: DataFrame, sets: Sets) -> DataFrame:
     """(a, b) with a < b: open members of one list that are not connected yet and may be linked.
 
     Members of a list's most frequent component are already connected with each
-    other: only the others look for partners, among all.
+    other: only the others look for partners, among all. Sets that share a passage
+    meet in its first list only.
     """
     blocks = members.groupBy("gram", "main", "step", "slot").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max(_room("n", "pos")).alias("room"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(_room("n", "pos")).alias("room"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.min("prev").alias("early"), F.max("prev").alias("late"),
+    )
     x, y = blocks.where("not main").alias("x"), blocks.alias("y")
     c = F.col
     may = (c("x.gram") == c("y.gram")) & (c("y.main") | (F.struct("x.step", "x.slot") <= F.struct("y.step", "y.slot")))
     may &= ~((c("x.low") == c("x.high")) & (c("y.low") == c("y.high")) & (c("x.low") == c("y.low")))
+    may &= ~((c("x.early") == c("x.late")) & (c("y.early") == c("y.late")) & (c("x.early") == c("y.early")))
     may &= (100 * c("x.most") >= sets.percent * c("y.least")) & (100 * c("y.most") >= sets.percent * c("x.least"))
     may &= F.least("x.room", "y.room") >= sets.needed(c("x.least"), c("y.least"))
     far = ("main", "step", "slot")
     open_blocks = x.join(y, may).select(c("x.gram"), *[c(f"x.{k}").alias(f"{k}_x") for k in far[1:]], *[c(f"y.{k}").alias(f"{k}_y") for k in far])
-    first = members.where("not main").select("gram", *[c(k).alias(f"{k}_x") for k in ("step", "slot", "pos", "n", "cls", "comp")])
-    second = members.select("gram", *[c(k).alias(f"{k}_y") for k in (*far, "pos", "n", "cls", "comp")])
+    first = members.where("not main").select("gram", *[c(k).alias(f"{k}_x") for k in ("step", "slot", "pos", "n", "cls", "comp", "prev")])
+    second = members.select("gram", *[c(k).alias(f"{k}_y") for k in (*far, "pos", "n", "cls", "comp", "prev")])
     near = open_blocks.join(first, ["gram", "step_x", "slot_x"])
-    fit = (c("comp_x") != c("comp_y")) & sets.sizes_fit(c("n_x"), c("n_y"))
+    fit = (c("comp_x") != c("comp_y")) & (c("prev_x") != c("prev_y")) & sets.sizes_fit(c("n_x"), c("n_y"))
     fit &= F.least(_room("n_x", "pos_x"), _room("n_y", "pos_y")) >= sets.needed(c("n_x"), c("n_y"))
     for k in ("gram", *[f"{k}_y" for k in far]):
         fit &= near[k] == second[k]
