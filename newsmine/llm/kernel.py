@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1024 * 1024
+BLOCK = 512 * 1024
 # Workers live long and are reused: large arrays go back to the system when freed,
 # instead of staying in the worker's heap (-3 is glibc's M_MMAP_THRESHOLD).
 pa.set_memory_pool(pa.system_memory_pool())
@@ -129,7 +129,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[: n - width + 1], left[width - 1 : n])
 
 
-def anchored(units: np.ndarray, offsets: np.ndarray, window: int, part: int) -> dict[str, np.ndarray]:
+def anchored(units: np.ndarray, offsets: np.ndarray, window: int, part: int, allowed: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Deal the windows of every text to anchors.
 
     The anchor of a window is that run of ``part`` units inside it with the least
@@ -138,6 +138,7 @@ def anchored(units: np.ndarray, offsets: np.ndarray, window: int, part: int) ->
     anchor: text number, position ``at``, ``first`` and ``last`` window start
     (positions in the text), ``anchor`` (fingerprint of the part) and ``around``
     (fingerprint of all units that its windows cover, and the anchor's place).
+    ``allowed`` says which windows count, by their starts; an anchor has an entry for each run of them.
     """
     n = len(units)
     if n < window:
@@ -149,9 +150,12 @@ def anchored(units: np.ndarray, offsets: np.ndarray, window: int, part: int) ->
     least = (sliding_minimum(order, window - part + 1) & U(0xFFFFFFFF)).astype(np.int64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
     valid = np.arange(len(least)) + window <= offsets[1:][text]
+    if allowed is not None:
+        valid &= allowed[: len(valid)]
     starts = np.flatnonzero(valid)
     anchors, texts = least[starts], text[starts]
-    head = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (texts[1:] != texts[:-1])])) if len(starts) else starts
+    breaks = (anchors[1:] != anchors[:-1]) | (texts[1:] != texts[:-1]) | (np.diff(starts) > 1)
+    head = np.flatnonzero(np.concatenate([[True], breaks])) if len(starts) else starts
     tail = np.append(head[1:], len(starts)) - 1 if len(starts) else starts
     first, last, at, text = starts[head], starts[tail], anchors[head], texts[head]
     around = mix(run_hashes(sums, first, last - first + window) ^ (at - first).astype(np.uint64))

@@ -1,8 +1,9 @@
 """Substring de-duplication by level-wise doubling over windows of words.
 
-Level one asks which windows of half the length are repeated; only windows that
-hold such a half are looked at in level two, at twice the length. Levels end
-where the wanted length is reached: longer repeats are covered by its windows.
+The first level looks at strings of a quarter of the wanted length, one (the anchor)
+for each window. A window whose string occurs once is settled; the others go to the
+next level, with strings of twice the length, until no candidate survives or the
+string is the whole window. Longer repeats are covered by their windows.
 """
 
 from __future__ import annotations
@@ -49,12 +50,11 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     fingerprint. A null doc_id sorts before all. Other columns are not read. An
     empty table gives an empty result.
     """
-    shape = windows.Shape(windows.word_units, window, max(1, window // 2), keep_first=True)
+    shape = windows.Shape(windows.word_units, window, max(1, window // 4), keep_first=True)
     texts = windows.texts_of(docs)
     entries = windows.entries(texts, shape, windows.frequent_anchors(texts, shape))
     marks = stored(windows.marked(entries, shape), "substring-marks")
-    sure = marks.where("covered").select("id", "twin", "first", "last")
-    covers = sure.unionByName(windows.edges(texts, marks, shape))
+    covers = windows.refined(texts, marks, shape, "substring-level")
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:

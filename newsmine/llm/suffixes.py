@@ -96,8 +96,7 @@ def repeated_spans(texts: DataFrame, window: int, part: int, batches: int) -> Da
         marks = stored(windows.marked(family.matches(), shape), "suffix-marks")
     finally:
         family.close()
-    sure = marks.where("covered").select("id", "twin", "first", "last")
-    return sure.unionByName(windows.edges(texts, marks, shape))
+    return windows.refined(texts, marks, shape, "suffix-level")
 
 
 def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None, batches: int = 4, rest: bool = False) -> DataFrame:

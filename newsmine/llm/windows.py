@@ -9,7 +9,7 @@ all its windows are; single windows are compared only at the edges of repeats.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.llm import kernel as K
-from newsmine.llm.common import NULL_ID, Batches, sampled
+from newsmine.llm.common import NULL_ID, Batches, sampled, stored
 
 _FLUSH = 2_000_000  # entries that a task combines at once
 SPREAD = 1 << 15
@@ -46,6 +46,10 @@ class Shape:
     #: True: the first of equal windows stays. False: none does.
     keep_first: bool
 
+    def longer(self) -> Shape:
+        """Anchors of twice the length, if that is still shorter than a window."""
+        return replace(self, part=min(2 * self.part, self.window))
+
 
 def texts_of(docs: DataFrame, rest: bool = False) -> DataFrame:
     """(id, twin, text[, rest]): ``twin`` tells texts apart that share a doc_id, ``rest`` carries all columns of the row."""
@@ -130,15 +134,19 @@ def frequent_anchors(texts: DataFrame, shape: Shape, rows: int = 4_000, percent:
     return np.array([r["anchor"] for r in found], np.int64)
 
 
-def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray) -> DataFrame:
-    """One row per anchor, combined inside each task (ENTRY)."""
+def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray, opens: DataFrame | None = None) -> DataFrame:
+    """One row per anchor, combined inside each task (ENTRY); with ``opens``, of their windows only."""
+    rows, whole = texts.select("id", "twin", "text"), opens is None
+    if opens is not None:
+        rows = rows.join(_listed(opens), ["id", "twin"]).select("id", "twin", "text", "marks")
 
     def run(batches: Batches) -> Batches:
         def found() -> Iterator[dict[str, np.ndarray]]:
             for batch in batches:
                 for rows, data, offsets in K.blocks(batch):
                     units, first = shape.units(data, offsets)
-                    got = K.anchored(units, first, shape.window, shape.part)
+                    allowed = None if whole else _covered(len(units), first, rows.column(3), 1)
+                    got = K.anchored(units, first, shape.window, shape.part, allowed)
                     text = got.pop("text")
                     ids, twin = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                     yield {
@@ -148,7 +156,11 @@ def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray) -> DataFrame:
 
         yield from _gather(found(), ["anchor", "around"], shape.keep_first, frequent)
 
-    return texts.select("id", "twin", "text").mapInArrow(run, ENTRY)
+    return rows.mapInArrow(run, ENTRY)
+
+
+def _listed(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last", "anchor")).alias("marks"))
 
 
 def _place() -> Column:
@@ -179,9 +191,8 @@ def marked(rows: DataFrame, shape: Shape) -> DataFrame:
 
 
 def edges(texts: DataFrame, marks: DataFrame, shape: Shape) -> DataFrame:
-    """(id, twin, first, last) of windows that repeat and belong to open anchors: compared one by one."""
-    opens = marks.where("open").groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last", "anchor")).alias("marks"))
-    joined = texts.select("id", "twin", "text").join(opens, ["id", "twin"]).select("id", "twin", "text", "marks")
+    """(id, twin, first, last) of windows that repeat, of those in ``marks``: compared one by one."""
+    joined = texts.select("id", "twin", "text").join(_listed(marks), ["id", "twin"]).select("id", "twin", "text", "marks")
 
     def run(batches: Batches) -> Batches:
         def found() -> Iterator[dict[str, np.ndarray]]:
@@ -214,19 +225,43 @@ def lists(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return np.repeat(np.arange(len(column)), sizes), {n: flat.field(n).to_numpy(zero_copy_only=False) for n in names}
 
 
-def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: int) -> np.ndarray:
-    """Units of a block that repeated windows cover."""
+def _covered(n: int, start: np.ndarray, column: pa.Array, size: int) -> np.ndarray:
+    """Units of a block from the first to the last start in ``column``, and ``size`` - 1 units behind."""
     text, mark = lists(column)
-    if not len(text):
-        return np.zeros(len(units), bool)
-    low = start[text] + mark["first"]
-    high = start[text] + mark["last"] + window
-    depth = np.zeros(len(units) + 1, np.int64)
-    np.add.at(depth, low, 1)
-    np.subtract.at(depth, high, 1)
+    depth = np.zeros(n + 1, np.int64)
+    np.add.at(depth, start[text] + mark["first"], 1)
+    np.subtract.at(depth, start[text] + mark["last"] + size, 1)
     return np.cumsum(depth[:-1]) > 0
 
 
+def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: int) -> np.ndarray:
+    """Units of a block that repeated windows cover."""
+    return _covered(len(units), start, column, window)
+
+
+def refined(texts: DataFrame, marks: DataFrame, shape: Shape, name: str) -> DataFrame:
+    """(id, twin, first, last): starts of repeated windows, from the marks of the first level.
+
+    Level by level, the windows of open anchors are dealt to anchors of twice the
+    length. An anchor that occurs once ends there; where everything around an anchor
+    repeats its windows are covered; one row stays open for each surroundings, as other
+    ones may share windows with it. Levels end when no candidate is left, or when an
+    anchor would be a whole window: then windows themselves are compared.
+    """
+    spans = ["id", "twin", "first", "last"]
+    covers = marks.where("covered").select(*spans)
+    opens = marks.where("open")
+    while not opens.isEmpty():
+        shape = shape.longer()
+        if shape.part == shape.window:
+            return covers.unionByName(edges(texts, opens, shape))
+        level = entries(texts, shape, np.zeros(0, np.int64), opens)
+        marks = stored(marked(level, shape), name)
+        covers = covers.unionByName(marks.where("covered").select(*spans))
+        opens = marks.where("open")
+    return covers
+
+
 def with_covers(texts: DataFrame, covers: DataFrame) -> DataFrame:
     """``texts`` with the list ``covers`` of its covered stretches (null: none)."""
     spans = covers.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
