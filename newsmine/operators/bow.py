@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.config import COUNT_TEXT, TextSettings
 from newsmine.functions.text import analyse, bag
-from newsmine.operators.ordering import numbered, prefix_code
+from newsmine.operators.ordering import running_by_range
 from newsmine.session import cut
 
+#: Largest vocabulary that is sent to every task.
+LOOKUP_BYTES = 256 * 1024 * 1024
 
 def with_terms(
     docs: DataFrame,
@@ -33,9 +38,57 @@ def term_counts(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame
     return docs.select(*keep, F.inline(bag(F.col("terms"))))
 
 
-def df_bounds(n_docs: int, settings: TextSettings) -> Column:
+def bags_of(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(keep…, bag): each document's distinct terms with their counts, from ``terms``."""
+    return docs.select(*keep, bag(F.col("terms")).alias("bag"))
+
+
+def found_terms(bags: DataFrame, keep: Sequence[str], words: pa.Array) -> DataFrame:
+    """(keep…, idx, n): positions and counts of the terms that are in ``words``, looked up inside the task.
+
+    ``words`` goes to every task: callers check its size.
+    """
+    shared = bags.sparkSession.sparkContext.broadcast(words)
+    kept = bags.select(*keep)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema) + "idx array<long>, n array<long>"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = batch.column(len(keep))
+            sizes = listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            cells = listed.flatten()
+            at = pc.index_in(cells.field("term"), value_set=shared.value)
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)[known]
+            idx = at.drop_null().to_numpy().astype(np.int64)
+            n = cells.field("n").to_numpy()[known]
+            order = np.lexsort([idx, row])
+            bounds = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sizes)))]), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(v[order])) for v in (idx, n)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(keep))], *lists], names=[*keep, "idx", "n"])
+
+    return bags.select(*keep, "bag").mapInArrow(find, schema)
+
+
+def bag_positions(bags: DataFrame, terms: DataFrame, keep: Sequence[str] = ("doc_id",), limit: int = LOOKUP_BYTES) -> DataFrame:
+    """(keep…, idx, n): the cells of each document by vocabulary position (``idx`` counts from 0 in ``terms``).
+
+    A vocabulary of at most ``limit`` bytes is looked up inside the tasks. A larger
+    one is joined, and each document's cells are gathered again.
+    """
+    size = terms.agg(F.sum(F.octet_length("term") + 8)).first()[0] or 0
+    if size <= limit:
+        words = terms.select("idx", "term").toArrow().sort_by("idx").column("term").combine_chunks()
+        return found_terms(bags, keep, words)
+    cells = bags.select(*keep, F.inline("bag")).join(terms.select("term", "idx"), "term")
+    gathered = cells.groupBy(*keep).agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("cells"))
+    return gathered.select(*keep, F.col("cells.idx").alias("idx"), F.col("cells.n").alias("n"))
+
+
+def df_bounds(n_docs: int, settings: TextSettings, df: Column | None = None) -> Column:
     """Both bounds are inclusive; the upper one is a share of all documents."""
-    return (F.col("df") >= settings.min_df) & (F.col("df") <= settings.max_df * n_docs)
+    df = F.col("df") if df is None else df
+    return (df >= settings.min_df) & (df <= settings.max_df * n_docs)
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -48,10 +101,9 @@ def pruned_terms(tf: DataFrame, n_docs: int, settings: TextSettings = COUNT_TEXT
 
 
 def vocabulary(terms: DataFrame) -> DataFrame:
-    """Number the terms alphabetically from 0, without a single-task window."""
-    terms = cut(terms)  # read three times below: bounds, offsets, positions
-    numbered_terms = numbered(terms, [], ["term"], prefix_code(F.col("term")), "idx")
-    return numbered_terms.withColumn("idx", F.col("idx") - 1)
+    """Number the terms alphabetically from 0, by ranges of whole terms."""
+    terms = cut(terms)  # read twice: for bounds, then for the rows
+    return running_by_range(terms, ["term"], {"idx": F.lit(1).cast("long")}, inclusive=False)
 
 
 def require_terms(terms: DataFrame) -> DataFrame:

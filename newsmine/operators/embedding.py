@@ -2,35 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.stat import Summarizer
+from pyspark.ml.util import (
+    DefaultParamsReader,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmine.functions.text import bag, tokens, without
+from newsmine.operators.bow import found_terms
+from newsmine.session import written
 
 #: Largest word table that is sent to every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
+_ROWS, _CELLS = 2_000, 50_000  # documents and word vectors added up at a time
 
 
-def word_counts(
+def word_bags(
     docs: DataFrame,
     stopwords: Iterable[str] = (),
     pattern: str | None = None,
     tokenizer: Callable[[Column], Column] | None = None,
-    key: str = "doc_id",
+    keep: Sequence[str] = ("doc_id",),
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, word, n): raw text is tokenised first, then lower-cased and filtered.
+    """(keep…, bag): raw text is tokenised first, then lower-cased and filtered.
 
     Accents are kept, so an accented form does not match an unaccented stop-word.
     """
     raw = tokenizer(F.col(text)) if tokenizer else tokens(F.col(text), pattern)
     words = without(F.transform(raw, lambda w: F.lower(w)), stopwords)
-    return docs.select(key, F.inline(bag(words))).withColumnRenamed("term", "word")
+    return docs.select(*keep, bag(words).alias("bag"))
+
+
+def word_counts(bags: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(keep…, word, n)"""
+    return bags.select(*keep, F.inline("bag")).withColumnRenamed("term", "word")
 
 
 def vector_size(vectors: DataFrame) -> int:
@@ -38,87 +59,132 @@ def vector_size(vectors: DataFrame) -> int:
     return vectors.select(F.size("vec")).first()[0]
 
 
-def bounded(vectors: DataFrame, size: int) -> DataFrame:
-    """Hint a broadcast only when the whole table is known to be small enough."""
-    words = vectors.count()
-    # float32 payload plus a generous allowance for the word and row overhead.
-    return F.broadcast(vectors) if words * (4 * size + 64) <= BROADCAST_BYTES else vectors
-
-
-def mean_vectors(
-    counts: DataFrame, vectors: DataFrame, size: int | None = None, key: str = "doc_id"
-) -> DataFrame:
-    """(doc_id, known, vec) for documents with a known word; repeats count each time.
-
-    One plain sum per dimension: the sums stay in fixed-width aggregation buffers
-    and are combined before the shuffle. A word table over the broadcast bound is
-    joined by shuffle, where adaptive execution splits frequent words.
-    """
-    size = size or vector_size(vectors)
-    sums = [
-        F.sum(F.col("n") * F.col("vec")[i].cast("double")).alias(f"s{i}") for i in range(size)
-    ]
-    joined = counts.join(bounded(vectors, size), "word")
-    totals = joined.groupBy(key).agg(F.sum("n").alias("known"), *sums)
-    mean = F.array(*[F.col(f"s{i}") / F.col("known") for i in range(size)])
-    return totals.select(key, "known", mean.alias("vec"))
-
-
 def document_vectors(
-    docs: DataFrame,
-    counts: DataFrame,
+    bags: DataFrame,
     vectors: DataFrame,
     size: int | None = None,
-    key: str = "doc_id",
+    keep: Sequence[str] = ("doc_id",),
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``docs`` with ``vec``; zeros for documents without any known word."""
+    """(keep…, known, vec): mean vector of each document's known words; repeats count each time, none give zeros.
+
+    A word table of at most ``limit`` bytes is one matrix in every task, and a row's
+    vector is made in the row. A larger one is joined by word and summed once per
+    document; adaptive execution splits frequent words.
+    """
     size = size or vector_size(vectors)
+    # float32 payload plus a generous allowance for the word and row overhead.
+    if vectors.count() * (4 * size + 64) > limit:
+        return _joined_vectors(bags, vectors, size, keep)
+    table = vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).toArrow()
+    words = table.column("word").combine_chunks()
+    matrix = table.column("vec").combine_chunks().flatten().to_numpy().reshape(len(words), size)
+    shared = bags.sparkSession.sparkContext.broadcast(matrix)
+    rows = found_terms(bags, keep, words)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in bags.select(*keep).schema) + "known long, vec array<double>"
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                idx, n = (batch.column(c) for c in ("idx", "n"))
+                lengths = idx.value_lengths().to_numpy()
+                columns, times = idx.flatten().to_numpy(), n.flatten().to_numpy()
+                row = np.repeat(np.arange(len(lengths)), lengths)
+                known = np.bincount(row, times, len(lengths))
+                out = np.zeros((len(lengths), size))
+                ends = np.cumsum(lengths)
+                for low in range(0, len(columns), _CELLS):
+                    high = min(low + _CELLS, len(columns))
+                    first, last = np.searchsorted(ends, [low, high - 1], side="right")
+                    inside = np.diff(np.clip(np.concatenate([[0], ends])[first : last + 2], low, high))
+                    starts = (np.cumsum(inside) - inside)[inside > 0]
+                    part = matrix_rows(shared.value, columns[low:high], times[low:high])
+                    out[np.arange(first, last + 1)[inside > 0]] += np.add.reduceat(part, starts, axis=0)
+                out /= np.where(known > 0, known, 1.0)[:, None]
+                lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, size, dtype=np.int32), out.ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in keep], pa.array(known.astype(np.int64)), lists], names=[*keep, "known", "vec"]
+                )
+
+    return rows.mapInArrow(average, schema)
+
+
+def matrix_rows(matrix: np.ndarray, columns: np.ndarray, times: np.ndarray) -> np.ndarray:
+    return matrix[columns].astype(np.float64) * times[:, None]
+
+
+def _joined_vectors(bags: DataFrame, vectors: DataFrame, size: int, keep: Sequence[str]) -> DataFrame:
+    """The same by a join and one vector sum. The bags are written once and numbered, as two joins read them."""
+    bags = written(bags.select(*keep, "bag", F.monotonically_increasing_id().alias("_row")), "embedding-bags")
+    cells = bags.select("_row", F.inline("bag"))
+    named = vectors.select(F.col("word").alias("term"), array_to_vector(F.col("vec").cast("array<double>")).alias("vec"))
+    found = cells.join(named, "term").groupBy("_row").agg(F.sum("n").alias("known"), Summarizer.sum(F.col("vec"), F.col("n").cast("double")).alias("sums"))
+    means = found.select("_row", "known", F.transform(vector_to_array("sums"), lambda x: x / F.col("known")).alias("vec"))
+    whole = bags.select(*keep, "_row").join(means, "_row", "left")
     zeros = F.array_repeat(F.lit(0.0), size)
-    means = mean_vectors(counts, vectors, size, key)
-    return docs.join(means.select(key, "vec"), key, "left").withColumn(
-        "vec", F.coalesce("vec", zeros)
-    )
+    return whole.select(*keep, F.coalesce("known", F.lit(0)).alias("known"), F.coalesce("vec", zeros).alias("vec"))
 
 
-def coverage(docs: DataFrame, counts: DataFrame, vectors: DataFrame, size: int) -> DataFrame:
+def coverage(bags: DataFrame, vectors: DataFrame, size: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_known) for every document."""
-    words = bounded(vectors.select("word", F.lit(1).alias("_known")), size)
-    per_doc = (
-        counts.join(words, "word", "left")
-        .groupBy("doc_id")
-        .agg(F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.col("_known")).alias("n_known"))
-    )
-    return docs.select("doc_id").join(per_doc, "doc_id", "left").na.fill(0)
+    total = F.aggregate("bag", F.lit(0).cast("long"), lambda s, t: s + t["n"])
+    counted = bags.select(F.struct("doc_id", total.alias("n_tokens")).alias("doc"), "bag")
+    placed = document_vectors(counted, vectors, size, ("doc",))
+    return placed.select("doc.doc_id", "doc.n_tokens", F.col("known").alias("n_known"))
 
 
-class MeanEmbedding(Transformer, HasInputCol, HasOutputCol):
-    """Text column to mean word vector; rows are identified by ``keyCol``."""
+class MeanEmbedding(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadable):
+    """Text column to mean word vector, in the row: all other columns stay. Can be saved inside a pipeline."""
+
+    stopwords = Param(Params._dummy(), "stopwords", "words that do not count", typeConverter=TypeConverters.toListString)
+    pattern = Param(Params._dummy(), "pattern", "token pattern ('' for the usual one)", typeConverter=TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, vectors=None, inputCol="text", outputCol="vec", keyCol="doc_id", stopwords=(), pattern=None):
+    def __init__(self, *, vectors=None, inputCol="text", outputCol="vec", stopwords=(), pattern=None):
         super().__init__()
         self.vectors = vectors
-        self.size = vector_size(vectors)
-        self.key = keyCol
-        self.stopwords = tuple(stopwords)
-        self.pattern = pattern
-        self._set(inputCol=inputCol, outputCol=outputCol)
+        self._setDefault(stopwords=[], pattern="")
+        self._set(inputCol=inputCol, outputCol=outputCol, stopwords=list(stopwords), pattern=pattern or "")
 
     def fit(self, dataset: DataFrame | None = None) -> MeanEmbedding:
         """Nothing to learn."""
         return self
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        counts = word_counts(
-            dataset, self.stopwords, self.pattern, key=self.key, text=self.getInputCol()
-        )
-        means = mean_vectors(counts, self.vectors, self.size, self.key)
-        zeros = F.array_repeat(F.lit(0.0), self.size)
-        return (
-            dataset.join(means.select(self.key, F.col("vec").alias("_mean")), self.key, "left")
-            .withColumn(self.getOutputCol(), F.coalesce("_mean", zeros))
-            .drop("_mean")
-        )
+        whole = F.struct(*[F.col(f"`{c}`") for c in dataset.columns]).alias("row")
+        named = dataset.select(whole, F.col(f"`{self.getInputCol()}`").alias("_text"))
+        stop, pattern = self.getOrDefault(self.stopwords), self.getOrDefault(self.pattern) or None
+        bags = word_bags(named, stop, pattern, keep=("row",), text="_text")
+        placed = document_vectors(bags, self.vectors, keep=("row",))
+        kept = [c for c in dataset.columns if c != self.getOutputCol()]
+        return placed.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("vec").alias(self.getOutputCol()))
 
     def fit_transform(self, dataset: DataFrame) -> DataFrame:
         return self.fit(dataset).transform(dataset)
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader()
+
+
+class _Writer(MLWriter):
+    def __init__(self, instance: MeanEmbedding) -> None:
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.vectors.select("word", "vec").write.parquet(f"{path}/vectors")
+
+
+class _Reader(MLReader):
+    def load(self, path: str) -> MeanEmbedding:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        found = MeanEmbedding(vectors=self.sparkSession.read.parquet(f"{path}/vectors"))
+        found._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(found, metadata)
+        return found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,11 @@ from newsmine.config import COUNT_TEXT, TFIDF_TEXT, ModelSettings, TextSettings
 from newsmine.operators import embedding as M
 from newsmine.operators import evaluate as V
 from newsmine.operators import lsa as L
-from newsmine.operators.bow import term_counts, with_terms
-from newsmine.operators.folds import stratified_folds
+from newsmine.operators.bow import bags_of, with_terms
+from newsmine.operators.folds import class_bounds
 from newsmine.operators.selection import count_vectors, fold_class_sizes, select_per_fold
 from newsmine.operators.svm import LinearSvm, SvmTrainer, class_scores
-from newsmine.session import cut
+from newsmine.session import cut, written
 
 METRICS_SCHEMA = (
     "clasificador string, features_method string, n_folds int, n_docs long, n_features_orig long, "
@@ -82,13 +82,20 @@ def metrics_record(
     return predictions.sparkSession.createDataFrame([tuple(row.values())], METRICS_SCHEMA)
 
 
-def with_folds(rows: DataFrame, settings: ModelSettings) -> DataFrame:
-    """Rows of (doc_id, label, …) with their fold; the small assignment is written once.
+def labelled(docs: DataFrame) -> DataFrame:
+    """The rows that can be learned from; ``unlabelled`` are the others."""
+    return docs.where(F.col("label").isNotNull())
+
+
+def unlabelled(docs: DataFrame) -> DataFrame:
+    """(doc_id) of rows without a label: no training job reads them, saved bundles can score them."""
+    return docs.where(F.col("label").isNull()).select("doc_id")
 
-    Joined by doc_id: give it narrow rows where there is a choice.
-    """
-    folds = cut(stratified_folds(rows.select("doc_id", "label"), settings.n_folds, settings.seed))
-    return rows.join(folds.select("doc_id", "fold"), "doc_id")
+
+def with_folds(docs: DataFrame, settings: ModelSettings) -> DataFrame:
+    """Labelled documents with their ``fold``, computed in the row: nothing is joined or shuffled."""
+    folds = class_bounds(labelled(docs).select("doc_id", "label"), settings.n_folds, settings.seed)
+    return labelled(docs).withColumn("fold", folds.of(F.col("doc_id"), F.col("label")))
 
 
 def _run(trainer: SvmTrainer, evaluate: bool, final: bool):
@@ -109,13 +116,14 @@ def bow_experiment(
     """Counts of words and pairs, the best k by chi-squared inside each fold, linear SVM."""
     started = time.time()
     stopwords = tuple(stopwords)
-    folded = with_folds(docs, settings)
-    sizes =fold_class_sizes(folded.select("fold", "label"))
+    keep = ("doc_id", "label", "fold")
+    # The texts are analysed once; what follows reads the bags.
+    bags = written(bags_of(with_terms(with_folds(docs, settings), stopwords, text), keep), "bags")
+    sizes = fold_class_sizes(bags.select("fold", "label"))
     classes = list(next(iter(sizes.values())))
-    termed = with_terms(folded, stopwords, text)
-    tf = term_counts(termed, ("doc_id", "label", "fold"))
+    tf = bags.select(*keep, F.inline("bag"))
     chosen, n_terms = select_per_fold(tf, sizes, settings.k_terms, text, settings.fit_scope)
-    rows, columns, words = count_vectors(termed, chosen)
+    rows, columns, words = count_vectors(bags, chosen, keep)
     predictions, model = _run(SvmTrainer(cut(rows), classes, len(words), settings, columns), evaluate, final)
     metrics = None
     if predictions is not None:
@@ -134,27 +142,58 @@ def lsa_experiment(
     evaluate: bool = True,
     final: bool = False,
 ) -> Experiment:
-    """TF-IDF, truncated SVD with unit rows, linear SVM."""
+    """TF-IDF, truncated SVD with unit rows, linear SVM.
+
+    With ``fit_scope="fold"`` vocabulary, weights and SVD of a fold come from its
+    training rows only; the model of all rows is the same in both scopes.
+    """
     started = time.time()
     stopwords = tuple(stopwords)
-    termed = with_terms(docs, stopwords, text)
-    model, weights = L.fit_lsa(termed.select("doc_id", "terms"), settings.n_components, text, seed=settings.seed)
-    vectors = cut(L.lsa_vectors(docs.select("doc_id", "label"), model, weights))
-    share = L.explained_variance(vectors, weights, settings.n_components)
-    rows = cut(with_folds(vectors.select("doc_id", "label", F.col("vec").alias("val")), settings))
-    classes = _classes(rows)
-    predictions, machine = _run(SvmTrainer(rows, classes, settings.n_components, settings), evaluate, final)
+    folded = with_folds(docs, settings)
+    termed = with_terms(folded, stopwords, text).select("doc_id", "fold", "terms")
+    narrow = folded.select("doc_id", "label", "fold")
+    dims = settings.n_components
+    classes = _classes(narrow)
+    if settings.fit_scope == "fold" and evaluate:
+        fit = L.fit_lsa(termed, dims, text, seed=settings.seed, folds=range(settings.n_folds))
+        rows, columns = _fold_vectors(narrow, fit, dims)
+        predictions, _ = _run(SvmTrainer(cut(rows), classes, dims * len(columns), settings, columns), True, False)
+        last = None
+        if final:
+            last = lsa_experiment(docs, stopwords, replace(settings, fit_scope="corpus"), text, evaluate=False, final=True)
+        n_terms, share = fit.models[0].n_terms, None
+        machine, model = (last.model, last.lsa) if last else (None, None)
+    else:
+        fit = L.fit_lsa(termed.drop("fold"), dims, text, seed=settings.seed)
+        model = fit.models[None]
+        vectors = cut(L.lsa_vectors(narrow, model, fit.rows))
+        share = round(L.explained_variance(vectors, model, fit.rows), 4)
+        rows = cut(vectors.select("doc_id", "label", "fold", F.col("vec").alias("val")))
+        predictions, machine = _run(SvmTrainer(rows, classes, dims, settings), evaluate, final)
+        n_terms = model.n_terms
     metrics = None
     if predictions is not None:
         metrics = metrics_record(
             predictions, classes, "TF-IDF + LSA + SVM (kernel lineal)",
-            f"TF-IDF → SVD ({settings.n_components} dims) — LSA",
-            settings.n_folds, model.n_terms, settings.n_components, started,
-            lsa_components=settings.n_components, lsa_var_explained=round(share, 4),
+            f"TF-IDF → SVD ({dims} dims) — LSA",
+            settings.n_folds, n_terms, dims, started,
+            lsa_components=dims, lsa_var_explained=share,
         )
     return Experiment(predictions, metrics, machine, lsa=model, stopwords=stopwords, text=text)
 
 
+def _fold_vectors(narrow: DataFrame, fit: L.Fit, dims: int) -> tuple[DataFrame, dict[int | None, list[int]]]:
+    """``narrow`` with the unit vectors of all folds' models side by side, and each fold's columns."""
+    placed = None
+    for held, model in fit.models.items():
+        own = L.project(model, fit.rows).select("doc_id", L.unit(F.col("vec")).alias(f"v{held}"))
+        placed = cut(own) if placed is None else placed.join(cut(own), "doc_id")
+    zeros = F.array_repeat(F.lit(0.0), dims)
+    val = F.concat(*[F.coalesce(f"v{held}", zeros) for held in fit.models]).alias("val")
+    columns = {held: list(range(n * dims, (n + 1) * dims)) for n, held in enumerate(fit.models)}
+    return narrow.join(placed, "doc_id", "left").select("doc_id", "label", "fold", val), columns
+
+
 def embedding_experiment(
     docs: DataFrame,
     vectors: DataFrame,
@@ -168,9 +207,9 @@ def embedding_experiment(
     started = time.time()
     size = M.vector_size(vectors)
     stopwords = tuple(stopwords)
-    counts = M.word_counts(docs, stopwords)
-    placed = cut(M.document_vectors(docs.select("doc_id", "label"), counts, vectors, size))
-    rows = cut(with_folds(placed.select("doc_id", "label", F.col("vec").alias("val")), settings))
+    keep = ("doc_id", "label", "fold")
+    bags = M.word_bags(with_folds(docs, settings), stopwords, keep=keep)
+    rows = cut(M.document_vectors(bags, vectors, size, keep).select(*keep, F.col("vec").alias("val")))
     classes = _classes(rows)
     predictions, machine = _run(SvmTrainer(rows, classes, size, settings), evaluate, final)
     metrics = None
@@ -219,7 +258,7 @@ def score_bow_bundle(docs: DataFrame, path: str) -> DataFrame:
     model = LinearSvm.load(path, spark)
     stopwords, text = _load_text(path, spark)
     terms = [r["term"] for r in spark.read.parquet(f"{path}/terms").orderBy("idx").collect()]
-    rows, _, _ = count_vectors(with_terms(docs, stopwords, text), {None: terms})
+    rows, _, _ = count_vectors(bags_of(with_terms(docs, stopwords, text)), {None: terms})
     return _labelled(model, rows)
 
 
@@ -243,8 +282,8 @@ def score_lsa_bundle(docs: DataFrame, path: str) -> DataFrame:
     components = spark.read.parquet(f"{path}/components")
     dims = components.select(F.size("vec")).first()[0]
     lsa = L.LsaModel(terms, components, terms.count(), dims)
-    weights = L.weighted_rows(term_counts(with_terms(docs, stopwords, text)), terms)
-    placed = L.lsa_vectors(docs.select("doc_id"), lsa, weights)
+    rows = L.counted_rows(bags_of(with_terms(docs, stopwords, text)), terms)
+    placed = L.lsa_vectors(docs.select("doc_id"), lsa, rows)
     rows = placed.select("doc_id", F.col("vec").alias("val"))
     return _labelled(model, rows)
 
@@ -261,7 +300,6 @@ def score_embedding_bundle(docs: DataFrame, path: str) -> DataFrame:
     model = LinearSvm.load(path, spark)
     stopwords, _ = _load_text(path, spark)
     vectors = spark.read.parquet(f"{path}/vectors")
-    counts = M.word_counts(docs, stopwords)
-    placed = M.document_vectors(docs.select("doc_id"), counts, vectors)
+    placed = M.document_vectors(M.word_bags(docs, stopwords), vectors)
     rows = placed.select("doc_id", F.col("vec").alias("val"))
     return _labelled(model, rows)

@@ -1,35 +1,39 @@
 """Latent semantic vectors: truncated, uncentred SVD of the TF-IDF matrix.
 
-Randomised subspace iteration (Halko, Martinsson and Tropp 2011). Each round
-multiplies the term block V by AᵀA in one pass over the documents. While the
-block is small (checked in bytes) it is broadcast and every task adds up its own
-partial product; beyond that the block stays a table and both products are
-joins with a weighted vector sum.
+Randomised subspace iteration (Halko, Martinsson and Tropp 2011) on the term side.
+Each round multiplies a term block V by AᵀA in passes over the documents; no matrix
+cell is ever shuffled. The block is kept in slices of terms, each of a checked size.
+One slice: one pass projects every document and adds up the products in the same
+task. Several: one pass projects with one slice after the other and writes the
+documents' projections, then one pass per slice adds up its products. The start
+block is a hash of term number and column, so neither the slices nor the partitions
+change the result.
+
+Several views (a fold held out, with its own document frequencies) are fitted
+in the same passes, their blocks side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import warnings
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmine.config import TFIDF_TEXT, TextSettings
 from newsmine.operators.blocks import total_of
-from newsmine.operators.bow import pruned_terms, require_terms, term_counts, vocabulary
-from newsmine.operators.tfidf import idf_table
-from newsmine.session import cut
+from newsmine.operators.bow import bag_positions, bags_of, df_bounds, require_terms, vocabulary
+from newsmine.session import cut, work_path, written
 
-#: Largest term block that is sent to every task.
-BLOCK_BYTES = 256 * 1024 * 1024
+#: Largest slice of a term block that is sent to every task.
+SLICE_BYTES = 256 * 1024 * 1024
 _CELLS_PER_TERM = 4
 _CHUNK_CELLS = 65_536  # matrix cells multiplied at a time inside a task
+_U = np.uint64
 
 
 @dataclass
@@ -40,169 +44,289 @@ class LsaModel:
     components: DataFrame
     n_terms: int
     dims: int
+    #: Largest |AᵀA v - λ v| of all dimensions, as a share of the largest λ.
+    residual: float = float("nan")
 
 
-# ── matrix rows ───────────────────────────────────────────────────────────────
+@dataclass(frozen=True)
+class View:
+    """One fit: the fold it must not see (None: it sees all), and a weight per term (0: not in its vocabulary)."""
 
+    held: int | None
+    idf: np.ndarray
 
-def weighted_rows(tf: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, idx array, w array) with unit length; documents without terms are absent."""
-    cells = tf.join(terms.select("term", "idx", "idf"), "term").select(
-        "doc_id", "idx", (F.col("n") * F.col("idf")).alias("x")
-    )
-    grouped = cells.groupBy("doc_id").agg(
-        F.collect_list(F.struct("idx", "x")).alias("cells"),
-        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
-    )
-    return grouped.select(
-        "doc_id",
-        F.col("cells.idx").alias("idx"),
-        F.transform("cells", lambda c: c["x"] / F.col("norm")).alias("w"),
-    )
 
+@dataclass
+class Fit:
+    """Models by held-out fold, and the counted rows (doc_id, [fold,] idx, n) they were fitted on."""
 
-def long_cells(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", F.inline(F.arrays_zip("idx", "w")))
+    models: dict[int | None, LsaModel]
+    views: list[View]
+    rows: DataFrame = field(repr=False)
 
 
-# ── in-task products ──────────────────────────────────────────────────────────
+# ── inside a task ─────────────────────────────────────────────────────────────
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-    """(documents, cells per document, columns, weights) in memory-bounded pieces."""
-    idx, w = batch.column("idx"), batch.column("w")
+    """(documents, cells per document, columns, counts) in memory-bounded pieces."""
+    idx, n = batch.column("idx"), batch.column("n")
     offsets = idx.offsets.to_numpy()
-    columns, weights = idx.values.to_numpy(), w.values.to_numpy()
-    start, n = 0, batch.num_rows
-    while start < n:
+    columns, counts = idx.values.to_numpy(), n.values.to_numpy()
+    start, rows = 0, batch.num_rows
+    while start < rows:
         stop = int(np.searchsorted(offsets, offsets[start] + _CHUNK_CELLS, side="right")) - 1
-        stop = min(n, max(stop, start + 1))
+        stop = min(rows, max(stop, start + 1))
         cells = slice(offsets[start], offsets[stop])
-        yield slice(start, stop), np.diff(offsets[start : stop + 1]), columns[cells], weights[cells]
+        yield slice(start, stop), np.diff(offsets[start : stop + 1]), columns[cells], counts[cells].astype(float)
         start = stop
 
 
-def _project(lengths: np.ndarray, columns: np.ndarray, weights: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Document rows times the block."""
-    out = np.zeros((len(lengths), block.shape[1]))
+def _weights(view: View, lengths: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """TF-IDF weights with unit rows."""
+    x = counts * view.idf[columns]
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    norm = np.sqrt(np.bincount(row, x * x, len(lengths)))
+    return x / np.where(norm > 0, norm, 1.0)[row]
+
+
+def _row_sums(lengths: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(lengths), cells.shape[1]))
     filled = lengths > 0
     if filled.any():
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])[filled]
-        out[filled] = np.add.reduceat(block[columns] * weights[:, None], starts, axis=0)
+        out[filled] = np.add.reduceat(cells, starts, axis=0)
     return out
 
 
-def _block_product(rows: DataFrame, block: np.ndarray) -> np.ndarray:
-    """AᵀA times a broadcast block."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)
-    shape = block.shape
+def _projected(lengths, columns, weights, block, low) -> np.ndarray:  # noqa: ANN001
+    """Document rows times one slice of a block, whose first term is ``low``."""
+    inside = (columns >= low) & (columns < low + len(block))
+    row = np.repeat(np.arange(len(lengths)), lengths)[inside]
+    part = block[columns[inside] - low] * weights[inside, None]
+    return _row_sums(np.bincount(row, minlength=len(lengths)), part)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        right, total = shared.value, np.zeros(shape)
-        for batch in batches:
-            for _, lengths, columns, weights in _chunks(batch):
-                if not len(columns):
-                    continue
-                projected = _project(lengths, columns, weights, right)
-                back = np.repeat(projected, lengths, axis=0) * weights[:, None]
-                order = np.argsort(columns, kind="stable")
-                ordered = columns[order]
-                starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-                total[ordered[starts]] += np.add.reduceat(back[order], starts, axis=0)
-        return total
-
-    product = total_of(rows.select("idx", "w"), partial, shape)
-    shared.unpersist()
-    return product
-
-
-def _fix_signs(loadings: np.ndarray) -> np.ndarray:
-    """+1/-1 per column so that its largest loading is positive."""
-    rows = np.abs(loadings).argmax(axis=0)
-    signs = np.sign(loadings[rows, np.arange(loadings.shape[1])])
-    return np.where(signs == 0, 1.0, signs)
 
+def _add_back(total: np.ndarray, lengths, columns, weights, projected, low) -> None:  # noqa: ANN001
+    """Add the documents' weights times their projections to the terms of one slice."""
+    inside = (columns >= low) & (columns < low + len(total))
+    if not inside.any():
+        return
+    own = columns[inside] - low
+    back = np.repeat(projected, lengths, axis=0)[inside] * weights[inside, None]
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    total[own[starts]] += np.add.reduceat(back[order], starts, axis=0)
 
-def _fit_broadcast(rows: DataFrame, n_terms: int, dims: int, width: int, rounds: int, seed: int) -> np.ndarray:
-    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
-    for _ in range(rounds):
-        block = np.linalg.qr(_block_product(rows, block))[0]
-    inner = block.T @ _block_product(rows, block)
-    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
-    loadings = block @ vectors[:, np.argsort(values)[::-1][:dims]]
-    return loadings * _fix_signs(loadings)
 
+def _seen(view: View, batch: pa.RecordBatch, docs: slice, lengths: np.ndarray) -> np.ndarray:
+    """1 for cells of documents that the view may learn from."""
+    if view.held is None:
+        return np.ones(int(lengths.sum()))
+    folds = batch.column("fold").to_numpy(zero_copy_only=False)[docs]
+    return np.repeat((folds != view.held).astype(float), lengths)
 
-# ── products by join ──────────────────────────────────────────────────────────
 
+def _loaded(shared) -> np.ndarray:  # noqa: ANN001
+    """The value of a broadcast, not kept by the worker: slices are read one after the other."""
+    value = shared.value
+    shared.__dict__.pop("_value", None)
+    return value
 
-def _weighted_sum(cells: DataFrame, vectors: DataFrame, on: str, key: str) -> DataFrame:
-    """Σ w · vec per key, combined before the shuffle."""
-    joined = cells.join(vectors, on)
-    return joined.groupBy(key).agg(Summarizer.sum(F.col("vec"), F.col("w")).alias("vec"))
 
+# ── a term block in slices ────────────────────────────────────────────────────
 
-def _times(vectors: DataFrame, matrix: np.ndarray, key: str) -> DataFrame:
-    """Every row vector times a small matrix."""
 
-    @F.pandas_udf("array<double>")
-    def multiply(rows: pd.Series) -> pd.Series:
-        return pd.Series(list(np.array(rows.tolist()).reshape(-1, matrix.shape[0]) @ matrix))
+class Block:
+    """A (terms x width) matrix; one slice stays on the driver, more of them lie in the shared folder."""
 
-    return vectors.select(key, array_to_vector(multiply(vector_to_array("vec"))).alias("vec"))
+    def __init__(self, spark: SparkSession, n_terms: int, width: int, height: int) -> None:
+        self.spark, self.n_terms, self.width = spark, n_terms, width
+        self.starts = list(range(0, n_terms, height))
+        self.ends = [*self.starts[1:], n_terms]
+        self.held: dict[int, np.ndarray | str] = {}
 
+    def put(self, s: int, values: np.ndarray) -> None:
+        if len(self.starts) == 1:
+            self.held[s] = values
+            return
+        path = work_path(self.spark, "lsa-slice")
+        frame(self.spark, self.starts[s], values).write.parquet(path)
+        self.held[s] = path
 
-def _inner_product(left: DataFrame, right: DataFrame, key: str, width: int) -> np.ndarray:
-    """leftᵀ · right of two row-aligned tables (width × width)."""
-    pairs = left.select(key, vector_to_array("vec").alias("a")).join(
-        right.select(key, vector_to_array("vec").alias("b")), key
-    )
+    def get(self, s: int) -> np.ndarray:
+        kept = self.held[s]
+        if not isinstance(kept, str):
+            return kept
+        vectors = self.spark.read.parquet(kept).toArrow().sort_by("idx").column("vec").combine_chunks()
+        return vectors.flatten().to_numpy().reshape(-1, self.width)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros((width, width))
-        for batch in batches:
-            a, b = (batch.column(c).flatten().to_numpy().reshape(-1, width) for c in ("a", "b"))
-            total += a.T @ b
-        return total
+    def like(self) -> Block:
+        twin = Block.__new__(Block)
+        twin.__dict__ |= self.__dict__ | {"held": {}}
+        return twin
 
-    return total_of(pairs.select("a", "b"), partial, (width, width))
+    def times(self, matrix: np.ndarray) -> Block:
+        out = self.like()
+        out.width = matrix.shape[1]
+        for s in range(len(self.starts)):
+            out.put(s, self.get(s) @ matrix)
+        return out
 
 
-def _orthonormal(vectors: DataFrame, width: int) -> DataFrame:
-    """Cholesky QR, twice for accuracy: only width × width numbers reach the driver."""
+def frame(spark: SparkSession, first: int, values: np.ndarray) -> DataFrame:
+    offsets = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
+    lists = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(values).ravel())
+    return spark.createDataFrame(pa.table({"idx": np.arange(first, first + len(values), dtype=np.int64), "vec": lists}))
+
+
+def _noise(low: int, high: int, width: int, seed: int) -> np.ndarray:
+    """Normal numbers from a hash of (term number, column, seed)."""
+    cell = np.arange(low * width, high * width, dtype=np.uint64) * _U(2) + _U(seed) * _U(0x9E3779B97F4A7C15)
+    uniform = []
+    for add in (0, 1):
+        x = (cell + _U(add)) * _U(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+        uniform.append(((x ^ (x >> _U(31))) >> _U(11)).astype(float) * 2.0**-53)
+    radius = np.sqrt(-2.0 * np.log(1.0 - uniform[0]))
+    return (radius * np.cos(2.0 * np.pi * uniform[1])).reshape(high - low, width)
+
+
+def _diagonal(views: int, width: int) -> np.ndarray:
+    return np.kron(np.eye(views), np.ones((width, width)))
+
+
+def _grams(left: Block, right: Block, views: int) -> np.ndarray:
+    """leftᵀ · right within each view, zero between views."""
+    total = sum(left.get(s).T @ right.get(s) for s in range(len(left.starts)))
+    return total * _diagonal(views, left.width // views)
+
+
+def _orthonormal(block: Block, views: int) -> Block:
+    """Cholesky QR within each view, twice for accuracy: only small matrices are inverted."""
     for _ in range(2):
-        gram = _inner_product(vectors, vectors, "idx", width)
-        upper = np.linalg.cholesky(gram).T
-        vectors = cut(_times(vectors, np.linalg.inv(upper), "idx"))
-    return vectors
-
-
-def _fit_join(cells: DataFrame, terms: DataFrame, dims: int, width: int, rounds: int, seed: int) -> DataFrame:
-    """(idx, vec) loadings without ever holding the block in one place."""
-    noise = F.array(*[F.randn(seed + i) for i in range(width)])
-    block = cut(terms.select("idx", array_to_vector(noise).alias("vec")))
-    for last in [False] * rounds + [True]:
-        block = _orthonormal(block, width)
-        product = _weighted_sum(cells, _weighted_sum(cells, block, "idx", "doc_id"), "doc_id", "idx")
-        product = cut(product)
-        if not last:
-            block = product
-    inner = _inner_product(block, product, "idx", width)
-    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
-    loadings = _times(block, vectors[:, np.argsort(values)[::-1][:dims]], "idx").select(
-        "idx", vector_to_array("vec").alias("vec")
-    )
-    loadings = cut(loadings)
-    widest = loadings.agg(
-        *[F.max_by(F.col("vec")[i], F.abs(F.col("vec")[i])).alias(f"c{i}") for i in range(dims)]
-    ).first()
-    signs = F.array(*[F.lit(-1.0 if widest[i] < 0 else 1.0) for i in range(dims)])
-    return loadings.select("idx", F.zip_with("vec", signs, lambda v, s: v * s).alias("vec"))
+        upper = np.linalg.cholesky(_grams(block, block, views)).T
+        block = block.times(np.linalg.inv(upper))
+    return block
+
+
+def project_all(rows: DataFrame, views: Sequence[View], block: Block, keep: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (``keep``) with ``p``: their projections under every view side by side."""
+    sc = rows.sparkSession.sparkContext
+    slices = [(low, sc.broadcast(block.get(s))) for s, low in enumerate(block.starts)]
+    shared, width = sc.broadcast(list(views)), block.width // len(views)
+    kept = rows.select(*dict.fromkeys([*keep, "idx", "n"]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keep).schema) + ", p array<double>"
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((batch.num_rows, block_width))
+            pieces = list(_chunks(batch))
+            for low, part in slices:
+                matrix = _loaded(part) if len(slices) > 1 else part.value
+                for v, view in enumerate(shared.value):
+                    own = slice(v * width, (v + 1) * width)
+                    for docs, lengths, columns, counts in pieces:
+                        weights = _weights(view, lengths, columns, counts)
+                        out[docs, own] += _projected(lengths, columns, weights, matrix[:, own], low)
+            lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, block_width, dtype=np.int32), out.ravel())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, "p"])
+
+    block_width = block.width
+    return kept.mapInArrow(place, schema)
+
+
+def _product(rows: DataFrame, views: Sequence[View], block: Block) -> Block:
+    """AᵀA times a block, for every view at once."""
+    sc = rows.sparkSession.sparkContext
+    shared, width, out = sc.broadcast(list(views)), block.width // len(views), block.like()
+    fold = ["fold"] if any(v.held is not None for v in views) else []
+    if len(block.starts) == 1:
+        part = sc.broadcast(block.get(0))
+        shape = (block.n_terms, block.width)
+
+        def both(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            matrix, total = part.value, np.zeros(shape)
+            for batch in batches:
+                for docs, lengths, columns, counts in _chunks(batch):
+                    for v, view in enumerate(shared.value):
+                        own = slice(v * width, (v + 1) * width)
+                        weights = _weights(view, lengths, columns, counts) * _seen(view, batch, docs, lengths)
+                        projected = _projected(lengths, columns, weights, matrix[:, own], 0)
+                        _add_back(total[:, own], lengths, columns, weights, projected, 0)
+            return total
+
+        out.put(0, total_of(rows.select(*fold, "idx", "n"), both, shape))
+        part.unpersist()
+        return out
+    # No cell is moved: every document's projection is written beside its counts.
+    placed = written(project_all(rows, views, block, [*fold, "idx", "n"]), "lsa-projected")
+    for s, (low, high) in enumerate(zip(block.starts, block.ends, strict=True)):
+        shape = (high - low, block.width)
+
+        def back(batches: Iterator[pa.RecordBatch], low: int = low, shape: tuple[int, int] = shape) -> np.ndarray:
+            total = np.zeros(shape)
+            for batch in batches:
+                found = batch.column("p").flatten().to_numpy().reshape(batch.num_rows, -1)
+                for docs, lengths, columns, counts in _chunks(batch):
+                    for v, view in enumerate(shared.value):
+                        own = slice(v * width, (v + 1) * width)
+                        weights = _weights(view, lengths, columns, counts) * _seen(view, batch, docs, lengths)
+                        _add_back(total[:, own], lengths, columns, weights, found[docs, own], low)
+            return total
+
+        out.put(s, total_of(placed, back, shape))
+    return out
 
 
 # ── public operators ──────────────────────────────────────────────────────────
 
 
+def _signs(block: Block) -> np.ndarray:
+    """+1/-1 per column so that its largest loading is positive."""
+    best, signs = np.zeros(block.width), np.ones(block.width)
+    for s in range(len(block.starts)):
+        values = block.get(s)
+        at = np.abs(values).argmax(axis=0)
+        found = values[at, np.arange(block.width)]
+        larger = np.abs(found) > best
+        best, signs = np.where(larger, np.abs(found), best), np.where(larger, np.where(found < 0, -1.0, 1.0), signs)
+    return signs
+
+
+def _leading(rows: DataFrame, views: Sequence[View], n_terms: int, dims: int, width: int, rounds: int, seed: int, slice_bytes: int) -> tuple[Block, list[float]]:
+    """Leading eigenvectors of every view's AᵀA side by side, and how far each view is from exact ones."""
+    columns = width * len(views)
+    block = Block(rows.sparkSession, n_terms, columns, max(1, slice_bytes // (8 * columns)))
+    for s, (low, high) in enumerate(zip(block.starts, block.ends, strict=True)):
+        block.put(s, np.tile(_noise(low, high, width, seed), len(views)))
+    for _ in range(rounds):
+        block = _product(rows, views, _orthonormal(block, len(views)))
+    block = _orthonormal(block, len(views))
+    product = _product(rows, views, block)
+    inner = _grams(block, product, len(views))
+    turn, values = np.zeros((columns, dims * len(views))), np.zeros(dims * len(views))
+    for v in range(len(views)):
+        own = slice(v * width, (v + 1) * width)
+        found, vectors = np.linalg.eigh((inner[own, own] + inner[own, own].T) / 2)
+        order = np.argsort(found)[::-1][:dims]
+        turn[own, v * dims : (v + 1) * dims] = vectors[:, order]
+        values[v * dims : (v + 1) * dims] = found[order]
+    loadings, images = block.times(turn), product.times(turn)
+    gaps = sum(((images.get(s) - loadings.get(s) * values) ** 2).sum(axis=0) for s in range(len(block.starts)))
+    by_view = np.sqrt(gaps).reshape(len(views), dims)
+    residuals = (by_view.max(axis=1) / np.maximum(values.reshape(len(views), dims)[:, 0], 1e-300)).tolist()
+    return loadings.times(np.diag(_signs(loadings))), residuals
+
+
+def counted_rows(bags: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, [fold,] idx, n) of documents that hold a term, looked up inside the task."""
+    keep = [c for c in ("doc_id", "fold") if c in bags.columns]
+    return bag_positions(bags, terms, keep).where(F.size("idx") > 0)
+
+
 def fit_lsa(
     docs: DataFrame,
     dims: int = 100,
@@ -210,55 +334,71 @@ def fit_lsa(
     rounds: int = 5,
     oversample: int = 10,
     seed: int = 42,
-    block_bytes: int = BLOCK_BYTES,
-) -> tuple[LsaModel, DataFrame]:
-    """Model and weighted rows of documents that carry ``terms``."""
-    n_docs = docs.count()
-    tf = term_counts(docs)
-    terms = cut(vocabulary(idf_table(pruned_terms(tf, n_docs, settings), n_docs)))
-    n_terms, n_cells = require_terms(terms).agg(F.count(F.lit(1)), F.sum("df")).first()
-    if dims > n_terms:
-        raise ValueError(f"{dims} dimensions need at least as many terms, found {n_terms}")
-    rows = cut(weighted_rows(tf, terms))
-    width = min(dims + oversample, n_terms)
-    spark = docs.sparkSession
-    if n_terms * width * 8 <= block_bytes:
-        # Every task returns a whole block, so a task should read several cells per
-        # term; the size check above bounds what one task then holds.
-        tasks = max(1, n_cells // (_CELLS_PER_TERM * n_terms))
-        few = rows.coalesce(tasks) if rows.rdd.getNumPartitions() > tasks else rows
-        loadings = _fit_broadcast(few, n_terms, dims, width, rounds, seed)
-        offsets = np.arange(0, loadings.size + 1, dims, dtype=np.int32)
-        lists = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(loadings).ravel())
-        frame = pa.table({"idx": np.arange(n_terms, dtype=np.int64), "vec": lists})
-        components = cut(spark.createDataFrame(frame))
-    else:
-        components = cut(_fit_join(long_cells(rows), terms, dims, width, rounds, seed))
-    return LsaModel(terms, components, n_terms, dims), rows
-
-
-def project(model: LsaModel, rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, vec): U·Σ of the given rows, before unit length."""
-    if model.n_terms * model.dims * 8 > block_bytes:
-        vectors = model.components.select("idx", array_to_vector("vec").alias("vec"))
-        summed = _weighted_sum(long_cells(rows), vectors, "idx", "doc_id")
-        return summed.select("doc_id", vector_to_array("vec").alias("vec"))
-    found = model.components.select("idx", "vec").toArrow().sort_by("idx").column("vec")
-    loadings = found.combine_chunks().flatten().to_numpy().reshape(-1, model.dims)
-    shared = rows.sparkSession.sparkContext.broadcast(loadings)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right = shared.value
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for docs, lengths, columns, weights in _chunks(batch):
-                vecs = _project(lengths, columns, weights, right)
-                lists = pa.ListArray.from_arrays(
-                    np.arange(0, vecs.size + 1, vecs.shape[1], dtype=np.int32), vecs.ravel()
-                )
-                yield pa.RecordBatch.from_arrays([ids[docs.start : docs.stop], lists], names=["doc_id", "vec"])
-
-    return rows.mapInArrow(place, "doc_id long, vec array<double>")
+    slice_bytes: int = SLICE_BYTES,
+    folds: Sequence[int] | None = None,
+) -> Fit:
+    """Model of documents that carry ``terms``; with ``folds``, one for each held-out ``fold``.
+
+    Folds are counted together: a fold's document frequencies are the totals less
+    its own, and all fits share their passes. Terms that only other views know weigh
+    nothing. A residual over a tenth is a warning: more rounds would change the vectors.
+    """
+    keep = ["doc_id", *(["fold"] if folds is not None else [])]
+    bags = written(bags_of(docs.select(*keep, "terms"), keep), "lsa-bags")
+    held: list[int | None] = [None] if folds is None else list(folds)
+    sizes = {r["fold"]: r["n"] for r in bags.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()} if folds is not None else {}
+    n_docs = sum(sizes.values()) if folds is not None else bags.count()
+    cells = bags.select(*keep[1:], F.inline("bag"))
+    own = [F.count_if(F.col("fold") == f).alias(f"own_{f}") for f in held if f is not None]
+    counts = cells.groupBy("term").agg(F.count(F.lit(1)).alias("all"), *own)
+    df = {f: F.col("all") - F.col(f"own_{f}") if f is not None else F.col("all") for f in held}
+    kept = {f: df_bounds(n_docs - sizes.get(f, 0), settings, c) for f, c in df.items()}
+    idf = {f: F.when(kept[f], F.log((1.0 + n_docs - sizes.get(f, 0)) / (1.0 + df[f])) + 1.0).otherwise(0.0) for f in held}
+    wanted = counts.select("term", F.col("all").alias("df"), *[c.alias(f"idf_{n}") for n, c in enumerate(idf.values())])
+    some = " or ".join(f"idf_{n} > 0" for n in range(len(held)))
+    terms = cut(require_terms(vocabulary(wanted.where(some))))
+    table = terms.select("idx", *[f"idf_{n}" for n in range(len(held))]).toArrow().sort_by("idx")
+    views = [View(f, table.column(f"idf_{n}").to_numpy()) for n, f in enumerate(held)]
+    n_terms = table.num_rows
+    least = min(int((v.idf > 0).sum()) for v in views)
+    if dims > least:
+        raise ValueError(f"{dims} dimensions need at least as many terms, found {least}")
+    rows = cut(counted_rows(bags, terms))
+    # Every task returns a slice, so it should read several cells per term.
+    n_cells = rows.agg(F.sum(F.size("idx"))).first()[0] or 0
+    tasks = max(1, n_cells // (_CELLS_PER_TERM * n_terms))
+    few = rows.coalesce(tasks) if rows.rdd.getNumPartitions() > tasks else rows
+    width = min(dims + oversample, least)
+    loadings, residuals = _leading(few, views, n_terms, dims, width, rounds, seed, slice_bytes)
+    if max(residuals) > 0.1:
+        warnings.warn(f"LSA residual {max(residuals):.3f} after {rounds} rounds", stacklevel=2)
+    models = {}
+    for n, view in enumerate(views):
+        parts = [frame(docs.sparkSession, low, loadings.get(s)[:, n * dims : (n + 1) * dims]) for s, low in enumerate(loadings.starts)]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        named = terms.select("term", "df", F.col(f"idf_{n}").alias("idf"), "idx")
+        models[view.held] = LsaModel(named, cut(whole), n_terms, dims, residuals[n])
+    return Fit(models, views, rows)
+
+
+def _block_of(model: LsaModel, slice_bytes: int) -> Block:
+    block = Block(model.components.sparkSession, model.n_terms, model.dims, max(1, slice_bytes // (8 * model.dims)))
+    for s, (low, high) in enumerate(zip(block.starts, block.ends, strict=True)):
+        part = model.components.where(F.col("idx").between(low, high - 1)).select("idx", "vec").toArrow().sort_by("idx")
+        block.put(s, part.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, model.dims))
+    return block
+
+
+def view_of(model: LsaModel) -> View:
+    return View(None, model.terms.select("idx", "idf").toArrow().sort_by("idx").column("idf").to_numpy())
+
+
+def project(model: LsaModel, rows: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """(doc_id, vec): U·Σ of the given counted rows, before unit length."""
+    placed = project_all(rows, [view_of(model)], _block_of(model, slice_bytes), ["doc_id"])
+    return placed.select("doc_id", F.col("p").alias("vec"))
 
 
 def unit(vec):
@@ -267,9 +407,9 @@ def unit(vec):
     return F.when(norm > 0, F.transform(vec, lambda x: x / norm)).otherwise(vec)
 
 
-def lsa_vectors(docs: DataFrame, model: LsaModel, rows: DataFrame) -> DataFrame:
+def lsa_vectors(docs: DataFrame, model: LsaModel, rows: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Every document with its unit vector; zeros where no term is known."""
-    placed = cut(project(model, rows))
+    placed = cut(project(model, rows, slice_bytes))
     zeros = F.array_repeat(F.lit(0.0), model.dims)
     return (
         docs.join(placed, "doc_id", "left")
@@ -278,12 +418,44 @@ def lsa_vectors(docs: DataFrame, model: LsaModel, rows: DataFrame) -> DataFrame:
     )
 
 
-def explained_variance(vectors: DataFrame, rows: DataFrame, dims: int) -> float:
+def weighted(rows: DataFrame, view: View) -> DataFrame:
+    """(doc_id, idx, w): TF-IDF cells of counted rows, with unit rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(view)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for docs, lengths, columns, counts in _chunks(batch):
+                w = _weights(shared.value, lengths, columns, counts)
+                ids = np.repeat(batch.column("doc_id").to_numpy()[docs], lengths)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(columns), pa.array(w)], names=["doc_id", "idx", "w"])
+
+    return rows.select("doc_id", "idx", "n").mapInArrow(weigh, "doc_id long, idx long, w double")
+
+
+def term_spread(rows: DataFrame, view: View, n_docs: int, slice_bytes: int = SLICE_BYTES) -> float:
+    """Sum over all terms of the variance of their weights; sums per term are added up slice by slice."""
+    shared = rows.sparkSession.sparkContext.broadcast(view)
+    total, height = 0.0, max(1, slice_bytes // 16)
+    for low in range(0, len(view.idf), height):
+        shape = (min(height, len(view.idf) - low), 2)
+
+        def sums(batches: Iterator[pa.RecordBatch], low: int = low, shape: tuple[int, int] = shape) -> np.ndarray:
+            out = np.zeros(shape)
+            for batch in batches:
+                for _, lengths, columns, counts in _chunks(batch):
+                    w = _weights(shared.value, lengths, columns, counts)
+                    inside = (columns >= low) & (columns < low + shape[0])
+                    for power in (1, 2):
+                        out[:, power - 1] += np.bincount(columns[inside] - low, w[inside] ** power, shape[0])
+            return out
+
+        s1, s2 = (total_of(rows.select("idx", "n"), sums, shape) / n_docs).T
+        total += float((s2 - s1 * s1).sum())
+    return total
+
+
+def explained_variance(vectors: DataFrame, model: LsaModel, rows: DataFrame) -> float:
     """Share of the TF-IDF variance that the (not yet unit) vectors keep."""
-    kept = vectors.agg(F.count(F.lit(1)), *[F.var_pop(F.col("raw")[i]) for i in range(dims)]).first()
-    n_docs = kept[0]
-    per_term = long_cells(rows).groupBy("idx").agg(
-        F.sum("w").alias("s1"), F.sum(F.col("w") * F.col("w")).alias("s2")
-    )
-    spread = F.col("s2") / n_docs - (F.col("s1") / n_docs) * (F.col("s1") / n_docs)
-    return float(sum(kept[1:]) / per_term.agg(F.sum(spread)).first()[0])
+    kept = vectors.agg(F.count(F.lit(1)), *[F.var_pop(F.col("raw")[i]) for i in range(model.dims)]).first()
+    return float(sum(kept[1:]) / term_spread(rows, view_of(model), kept[0]))
+

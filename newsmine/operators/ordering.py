@@ -23,12 +23,6 @@ BUCKET = "_bucket"
 PART = "_part"
 
 
-def prefix_code(term: Column) -> Column:
-    """First seven UTF-8 bytes as a number: same order as the binary string order."""
-    head = F.rpad(F.hex(F.substring(F.encode(term, "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
 def with_buckets(df: DataFrame, value: Column, buckets: int | None = None) -> DataFrame:
     """Add an order-preserving bucket number for a numeric ``value``.
 
@@ -86,7 +80,8 @@ def ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     spread as well; rows with equal keys share a part. The rows are written, so
     that a part stays what it is.
     """
-    return written(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), "ranged")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ranged")
 
 
 def part_offsets(parts: DataFrame, value: Column) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.config import COUNT_TEXT, TextSettings
-from newsmine.operators.bow import chi2_score, class_term_sums, df_bounds
+from newsmine.operators.bow import chi2_score, class_term_sums, df_bounds, found_terms
 from newsmine.session import cut
 
 
@@ -76,20 +77,15 @@ def select_per_fold(
 
 
 def count_vectors(
-    docs: DataFrame, chosen: dict[int | None, list[str]]
+    bags: DataFrame, chosen: dict[int | None, list[str]], keep: Sequence[str] = ("doc_id",)
 ) -> tuple[DataFrame, dict[int | None, list[int]], list[str]]:
-    """Sparse counts (idx, val) over all selected terms, and each held-out fold's columns.
+    """Sparse counts (keep…, idx, val) over all selected terms, and each held-out fold's columns.
 
-    ``docs`` carries ``terms``; counts are made row by row, without a shuffle.
+    Counts are looked up row by row, without a shuffle; there are k terms per fold.
     """
     words = sorted({t for terms in chosen.values() for t in terms})
     position = {t: i for i, t in enumerate(words)}
-    counter = CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="counts", minTF=1.0)
-    filled = F.filter(
-        F.transform(vector_to_array("counts"), lambda n, i: F.struct(i.alias("i"), n.alias("n"))),
-        lambda cell: cell["n"] > 0,
-    )
-    rows = counter.transform(docs).withColumn("_cells", filled)
-    rows = rows.withColumn("idx", F.col("_cells.i")).withColumn("val", F.col("_cells.n"))
+    rows = found_terms(bags, keep, pa.array(words, pa.string()))
+    rows = rows.select(*keep, "idx", F.col("n").cast("array<double>").alias("val"))
     columns = {held: [position[t] for t in terms] for held, terms in chosen.items()}
-    return rows.drop("terms", "counts", "_cells"), columns, words
+    return rows, columns, words

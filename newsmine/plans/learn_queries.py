@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from newsmine.operators import lsa as L
 from newsmine.operators import sinks as K
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
+from newsmine.plans.text_queries import _TFIDF
 from newsmine.session import cut, table, work_path
 from newsmine.sources.words import read_vectors
 
@@ -38,15 +40,15 @@ vectors AS (
 """
 
 
-def _counts(spark: SparkSession, sf: str) -> DataFrame:
-    return M.word_counts(X.labelled(spark, sf), STOP)
+def _bags(spark: SparkSession, sf: str) -> DataFrame:
+    return M.word_bags(X.labelled(spark, sf), STOP)
 
 
-def _word_vectors(spark: SparkSession, sf: str, counts: DataFrame) -> tuple[DataFrame, int]:
+def _word_vectors(spark: SparkSession, sf: str, bags: DataFrame) -> tuple[DataFrame, int]:
     """Every word of the corpus but each fifth gets one of the given vectors."""
     given = table(spark, sf, "embeddings")
     n_given = given.count()
-    words = B.vocabulary(counts.select(F.col("word").alias("term")).distinct())
+    words = B.vocabulary(M.word_counts(bags).select(F.col("word").alias("term")).distinct())
     keyed = words.where(F.col("idx") % 5 != 0).select(
         F.col("term").alias("word"), (F.col("idx") % n_given).alias("vec_id")
     )
@@ -54,25 +56,38 @@ def _word_vectors(spark: SparkSession, sf: str, counts: DataFrame) -> tuple[Data
     return cut(named), given.select(F.size("embedding")).first()[0]
 
 
-@query(
-    "mean_embedding",
+_MEANS = (
     _WORD_TABLE
     + """, parts AS (
   SELECT doc_id, n, CAST(unnest(range(0, len(vec))) AS INTEGER) AS pos, unnest(vec)::DOUBLE AS v FROM counts JOIN vectors USING (word)),
 means AS (SELECT doc_id, pos, sum(n * v) / sum(n) AS v FROM parts GROUP BY ALL)
 SELECT d.doc_id, p.pos, CASE WHEN round(m.v, 6) <> 0 THEN round(m.v, 6) ELSE 0 END AS value FROM documents d
-CROSS JOIN (SELECT CAST(unnest(range(0, 64)) AS INTEGER) AS pos) p LEFT JOIN means m ON m.doc_id = d.doc_id AND m.pos = p.pos""",
+CROSS JOIN (SELECT CAST(unnest(range(0, 64)) AS INTEGER) AS pos) p LEFT JOIN means m ON m.doc_id = d.doc_id AND m.pos = p.pos"""
 )
+
+
+@query("mean_embedding", _MEANS)
 def mean_embedding(spark: SparkSession, sf: str) -> DataFrame:
-    counts = _counts(spark, sf)
-    vectors, size = _word_vectors(spark, sf, counts)
-    docs = table(spark, sf, "documents").select("doc_id")
-    vecs = M.document_vectors(docs, counts, vectors, size)
+    bags = _bags(spark, sf)
+    vectors, size = _word_vectors(spark, sf, bags)
+    vecs = M.document_vectors(bags, vectors, size)
     return vecs.select("doc_id", F.posexplode("vec").alias("pos", "v")).select(
         "doc_id", "pos", F.round("v", 6).alias("value")
     )
 
 
+@query("transformer_embedding", _MEANS)
+def transformer_embedding(spark: SparkSession, sf: str) -> DataFrame:
+    """The transformer inside a pipeline that was saved and loaded again."""
+    vectors, _ = _word_vectors(spark, sf, _bags(spark, sf))
+    path = work_path(spark, "pipeline")
+    PipelineModel([M.MeanEmbedding(vectors=vectors, stopwords=STOP)]).save(path)
+    placed = PipelineModel.load(path).transform(X.labelled(spark, sf))
+    return placed.select("doc_id", F.posexplode("vec").alias("pos", "v")).select(
+        "doc_id", "pos", F.round("v", 6).alias("value")
+    )
+
+
 @query(
     "embedding_coverage",
     _WORD_TABLE
@@ -82,40 +97,40 @@ def mean_embedding(spark: SparkSession, sf: str) -> DataFrame:
 SELECT d.doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_known, 0) AS n_known FROM documents d LEFT JOIN per_doc USING (doc_id)""",
 )
 def embedding_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    counts = _counts(spark, sf)
-    vectors, size = _word_vectors(spark, sf, counts)
-    return M.coverage(table(spark, sf, "documents").select("doc_id"), counts, vectors, size)
+    bags = _bags(spark, sf)
+    vectors, size = _word_vectors(spark, sf, bags)
+    return M.coverage(bags, vectors, size)
 
 
 @query(
     "word_vector_scan",
     _WORD_TABLE
-    + "SELECT word, len(vec)::INTEGER AS dims, vec[1]::DOUBLE AS head, vec[64]::DOUBLE AS tail FROM vectors",
+    + "SELECT word, CAST(unnest(range(0, len(vec))) AS INTEGER) AS pos, unnest(vec)::DOUBLE AS value FROM vectors",
 )
 def word_vector_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The word table as ``word f1 … fd`` lines, read back."""
-    vectors, _ = _word_vectors(spark, sf, _counts(spark, sf))
+    vectors, _ = _word_vectors(spark, sf, _bags(spark, sf))
     path = work_path(spark, "vectors")
     numbers = F.array_join(F.col("vec").cast("array<string>"), " ")
     vectors.select(F.concat_ws(" ", "word", numbers).alias("value")).write.text(path)
     found = read_vectors(spark, path)
-    return found.select(
-        "word",
-        F.size("vec").alias("dims"),
-        F.element_at("vec", 1).cast("double").alias("head"),
-        F.element_at("vec", -1).cast("double").alias("tail"),
-    )
+    return found.select("word", F.posexplode(F.col("vec").cast("array<double>")).alias("pos", "value"))
 
 
 # ── folds ─────────────────────────────────────────────────────────────────────
 
-_FOLDS = """
-WITH classed AS (
-  SELECT doc_id, lang AS label, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':42'), doc_id) AS n FROM documents),
+# Each class is cut in hash order where dealing in turn would have filled a fold.
+_CUTS = """
 starts AS (
-  SELECT label, coalesce(sum(c) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
-  FROM (SELECT lang AS label, count(*) AS c FROM documents GROUP BY lang)),
-folds AS (SELECT doc_id, label, ((s + n - 1) % 5)::INTEGER AS fold FROM classed JOIN starts USING (label))
+  SELECT label, list_transform([0, 1, 2, 3], lambda f: len(list_filter(range(c), lambda i: (s + i) % 5 <= f))) AS cuts FROM (
+    SELECT label, c, coalesce(sum(c) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s
+    FROM (SELECT label, count(*) AS c FROM classed GROUP BY label)))
+"""
+_FOLDS = f"""
+WITH classed AS (
+  SELECT doc_id, lang AS label, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':42')) AS n FROM documents),
+{_CUTS},
+folds AS (SELECT doc_id, label, len(list_filter(cuts, lambda c: n > c))::INTEGER AS fold FROM classed JOIN starts USING (label))
 """
 
 
@@ -134,18 +149,17 @@ def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return D.fold_sizes(_doc_folds(spark, sf))
 
 
-# ── evaluation: one coordinate per class serves as its score ──────────────────
+# ── evaluation: every tenth coordinate, added up, serves as a class's score ────
 
-_SCORED = """
+_SCORED = f"""
 WITH classed AS (
-  SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS n FROM embeddings),
-starts AS (
-  SELECT label, coalesce(sum(c) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
-  FROM (SELECT label, count(*) AS c FROM embeddings GROUP BY label)),
-folds AS (SELECT vec_id, label, embedding, ((s + n - 1) % 5)::INTEGER AS fold FROM classed JOIN starts USING (label)),
+  SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42')) AS n FROM embeddings),
+{_CUTS},
+folds AS (SELECT vec_id, label, embedding, len(list_filter(cuts, lambda c: n > c))::INTEGER AS fold FROM classed JOIN starts USING (label)),
+spread AS (SELECT fold, vec_id, label, embedding, CAST(unnest(range(0, 10)) AS INTEGER) AS class FROM folds),
 scores AS (
-  SELECT fold, vec_id, label, CAST(unnest(range(0, 10)) AS INTEGER) AS class,
-    round(unnest(embedding[1:10])::DOUBLE, 2) AS score FROM folds),
+  SELECT fold, vec_id, label, class, round(list_reduce(list_transform(range(class + 1, len(embedding) + 1, 10),
+    lambda i: embedding[i]::DOUBLE), lambda a, b: a + b), 2) AS score FROM spread),
 preds AS (SELECT fold, vec_id, label, arg_min(class, (-score, class)) AS pred FROM scores GROUP BY fold, vec_id, label),
 acc AS (SELECT fold, avg(CASE WHEN pred = label THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM preds GROUP BY fold),
 ranked AS (
@@ -162,13 +176,15 @@ aucs AS (
 def _scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(predictions, scores); scores are rounded so that ties occur."""
     rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    folds = D.stratified_folds(rows.select("doc_id", "label"))
-    score = F.transform(F.slice("embedding", 1, 10), lambda x: F.round(x.cast("double"), 2))
-    rows = cut(
-        folds.join(rows.select("doc_id", "embedding"), "doc_id").select(
-            "fold", "doc_id", "label", score.alias("s")
-        )
-    )
+    folds = D.class_bounds(rows.select("doc_id", "label"))
+    numbers = F.transform("embedding", lambda x: x.cast("double"))
+
+    def total(k: int):
+        own = F.filter(numbers, lambda _, i: i % 10 == k)
+        return F.round(F.aggregate(F.slice(own, 2, 1_000), F.get(own, F.lit(0)), lambda a, b: a + b), 2)
+
+    score = F.array(*[total(k) for k in range(10)])
+    rows = cut(rows.select(folds.of(F.col("doc_id"), F.col("label")).alias("fold"), "doc_id", "label", score.alias("s")))
     pred = (F.array_position("s", F.array_max("s")) - 1).cast("int")
     scores = rows.select("fold", "doc_id", "label", F.posexplode("s").alias("class", "score"))
     return rows.select("fold", "doc_id", "label", pred.alias("pred")), scores
@@ -227,15 +243,15 @@ def svm_lsa_cv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("svm_embed_cv")
 def svm_embed_cv(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, _ = _word_vectors(spark, sf, _counts(spark, sf))
+    vectors, _ = _word_vectors(spark, sf, _bags(spark, sf))
     return _predictions(P.embedding_experiment(X.labelled(spark, sf), vectors, STOP))
 
 
-def _lsa(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
+def _lsa(spark: SparkSession, sf: str) -> tuple[DataFrame, L.LsaModel, L.Fit]:
     docs = X.labelled(spark, sf)
-    termed = B.with_terms(docs, STOP, TFIDF_TEXT)
-    model, weights = L.fit_lsa(termed.select("doc_id", "terms"), 100)
-    return cut(L.lsa_vectors(docs.select("doc_id"), model, weights)), weights, model.dims
+    fit = L.fit_lsa(B.with_terms(docs, STOP, TFIDF_TEXT).select("doc_id", "terms"), 100)
+    model = fit.models[None]
+    return cut(L.lsa_vectors(docs.select("doc_id"), model, fit.rows)), model, fit
 
 
 @query("lsa_vectors")
@@ -243,12 +259,20 @@ def lsa_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return _lsa(spark, sf)[0].select("doc_id", "vec")
 
 
+@query("lsa_norms", _TFIDF + "SELECT doc_id, 1.0::DOUBLE AS norm, 100 AS dims FROM norms")
+def lsa_norms(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document that holds a term of the vocabulary has a vector of unit length."""
+    vectors = _lsa(spark, sf)[0]
+    norm = F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)), 9)
+    return vectors.select("doc_id", norm.alias("norm"), F.size("vec").alias("dims")).where("norm > 0")
+
+
 @query("lsa_variance")
 def lsa_variance(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, weights, dims = _lsa(spark, sf)
-    share = L.explained_variance(vectors, weights, dims)
+    vectors, model, fit = _lsa(spark, sf)
+    share = L.explained_variance(vectors, model, fit.rows)
     return vectors.agg(F.count(F.lit(1)).alias("n_docs")).select(
-        "n_docs", F.lit(dims).alias("dims"), F.lit(share).alias("share")
+        "n_docs", F.lit(model.dims).alias("dims"), F.lit(share).alias("share"), F.lit(model.residual).alias("residual")
     )
 
 
@@ -266,7 +290,7 @@ def svm_score(spark: SparkSession, sf: str) -> DataFrame:
 def model_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Metric records of the three classifiers, written as JSON and read back."""
     docs = X.labelled(spark, sf)
-    vectors, _ = _word_vectors(spark, sf, _counts(spark, sf))
+    vectors, _ = _word_vectors(spark, sf, _bags(spark, sf))
     folder = work_path(spark, "metrics")
     K.write_metrics(P.bow_experiment(docs, STOP).metrics, folder, "svm")
     K.write_metrics(P.lsa_experiment(docs, STOP).metrics, folder, "w2v")

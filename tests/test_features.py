@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from newsmine.config import TextSettings
@@ -8,6 +9,7 @@ from newsmine.operators import bow as B
 from newsmine.operators import embedding as M
 from newsmine.operators import ordering as O
 from newsmine.operators import tfidf as W
+from newsmine.session import work_path
 from newsmine.sources.words import last_vectors, read_vectors
 
 
@@ -83,27 +85,71 @@ DOCS = [(1, "Uno dos UNO"), (2, "nada"), (3, ""), (4, "dos de dos desconocida")]
 
 
 @pytest.mark.parametrize("limit", [M.BROADCAST_BYTES, 0])
-def test_mean_embedding(spark, vectors, monkeypatch, limit):
-    monkeypatch.setattr(M, "BROADCAST_BYTES", limit)
-    docs = spark.createDataFrame(DOCS, "doc_id int, text string")
-    counts = M.word_counts(docs, ["de"])
-    found = {r.doc_id: r.vec for r in M.document_vectors(docs, counts, vectors).collect()}
-    assert found[1] == pytest.approx([2 / 3, 4 / 3])
-    assert found[2] == found[3] == [0.0, 0.0]
-    assert found[4] == [0.0, 4.0]
-    cover = {r.doc_id: (r.n_tokens, r.n_known) for r in M.coverage(docs, counts, vectors, 2).collect()}
-    assert cover == {1: (3, 3), 2: (1, 0), 3: (0, 0), 4: (3, 2)}
+def test_mean_embedding(spark, vectors, limit):
+    docs = spark.createDataFrame([*DOCS, (4, "dos")], "doc_id int, text string")
+    bags = M.word_bags(docs, ["de"])
+    found = {(r.doc_id, r.known): r.vec for r in M.document_vectors(bags, vectors, limit=limit).collect()}
+    assert found.pop((1, 3)) == pytest.approx([2 / 3, 4 / 3])
+    assert found == {(2, 0): [0.0, 0.0], (3, 0): [0.0, 0.0], (4, 2): [0.0, 4.0], (4, 1): [0.0, 4.0]}
+    cover = sorted(map(tuple, M.coverage(bags, vectors, 2).collect()))
+    assert cover == [(1, 3, 3), (2, 1, 0), (3, 0, 0), (4, 1, 1), (4, 3, 2)]
+
+
+def test_mean_embedding_in_pieces(spark, monkeypatch):
+    """More cells and rows than are added up at a time; one aggregate at most in either plan."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(40)]
+    table = {w: [rng.random() for _ in range(3)] for w in words}
+    vectors = spark.createDataFrame(list(table.items()), "word string, vec array<float>")
+    rows = [(d, [rng.choice([*words, "none"]) for _ in range(rng.choice([0, 1, 5, 300]))]) for d in range(50)]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id int, text string").repartition(2)
+    average = M.document_vectors
+
+    expected = {}
+    for d, own in rows:
+        known = [w for w in own if w in table]
+        expected[d] = [sum(table[w][k] for w in known) / max(1, len(known)) for k in range(3)]
+    for limit in (M.BROADCAST_BYTES, 0):
+        placed = average(M.word_bags(docs), vectors, limit=limit)
+        found = {r.doc_id: r.vec for r in placed.collect()}
+        assert all(found[d] == pytest.approx(v, abs=1e-5) for d, v in expected.items())
+        plan = placed._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") == (0 if limit else 1)
 
 
 def test_mean_embedding_transformer(spark, vectors):
-    docs = spark.createDataFrame(DOCS, "doc_id int, text string")
+    docs = spark.createDataFrame([(1, "Uno dos UNO", "a"), (4, "dos de dos desconocida", "b"), (4, None, "c")], "doc_id int, text string, row string")
     stage = M.MeanEmbedding(vectors=vectors, stopwords=["de"])
-    assert {r.doc_id: r.vec for r in stage.fit_transform(docs).collect()}[4] == [0.0, 4.0]
+    placed = stage.fit_transform(docs)
+    assert placed.columns == ["doc_id", "text", "row", "vec"]
+    assert {r.row: r.vec for r in placed.collect()}["b"] == [0.0, 4.0]
+    path = work_path(spark, "pipeline")
+    PipelineModel([stage]).write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert again.stages[0].uid == stage.uid and again.stages[0].getOrDefault("stopwords") == ["de"]
+    assert sorted(map(str, again.transform(docs).collect())) == sorted(map(str, placed.collect()))
 
 
 def test_accented_stopword_survives(spark):
     docs = spark.createDataFrame([(1, "qué que")], "doc_id int, text string")
-    assert [r.word for r in M.word_counts(docs, ["que"]).collect()] == ["qué"]
+    assert [r.word for r in M.word_counts(M.word_bags(docs, ["que"])).collect()] == ["qué"]
+
+
+@pytest.mark.parametrize("limit", [B.LOOKUP_BYTES, 0])
+def test_vocabulary_positions(spark, limit):
+    docs = spark.createDataFrame([(1, ["b", "a", "b", "z"]), (2, []), (3, ["c"])], "doc_id int, terms array<string>")
+    terms = B.vocabulary(spark.createDataFrame([("a",), ("b",), ("c",)], "term string"))
+    found = B.bag_positions(B.bags_of(docs), terms, limit=limit).where("size(idx) > 0")
+    assert sorted(map(tuple, found.collect())) == [(1, [0, 1], [1, 2]), (3, [2], [1])]
+
+
+def test_terms_with_a_long_common_beginning_are_spread(spark):
+    terms = spark.range(4_000).select(F.concat(F.lit("https://www.example.com/"), F.lpad("id", 6, "0")).alias("term"), F.lit(1).alias("df"))
+    parts = O.ranged(terms.repartition(4), ["term"])
+    sizes = sorted(r["count"] for r in parts.groupBy(O.PART).count().collect())
+    assert len(sizes) >= 8 and sizes[-1] < 1_500
+    found = B.vocabulary(terms).orderBy("term").select("idx").collect()
+    assert [r.idx for r in found] == list(range(4_000))
 
 
 def test_vector_file(spark, tmp_path):

@@ -15,7 +15,7 @@ from newsmine.operators import lsa as L
 from newsmine.operators import selection as S
 from newsmine.operators import sinks as K
 from newsmine.operators import svm as M
-from newsmine.operators.bow import chi2_scores, best_terms, class_term_sums
+from newsmine.operators.bow import best_terms, chi2_scores, class_term_sums, term_counts
 from newsmine.session import work_path
 
 
@@ -142,7 +142,7 @@ SMALL = ModelSettings(k_terms=20, n_components=5)
 def test_selection_ignores_the_held_out_fold(spark, scope):
     text = TextSettings(min_df=2, max_df=0.9)
     docs = P.with_folds(corpus(spark), SMALL)
-    tf = P.term_counts(P.with_terms(docs, (), text), ("doc_id", "label", "fold"))
+    tf = term_counts(P.with_terms(docs, (), text), ("doc_id", "label", "fold"))
     chosen, _ = S.select_per_fold(tf, S.fold_class_sizes(docs), 10, text, scope)
     total = {r.term for r in tf.groupBy("term").count().where("count >= 2 and count <= 81").collect()}
     for held in (0, 3):
@@ -176,11 +176,68 @@ def test_bow_experiment_scores_raw_text(spark):
 
 def test_rows_without_label_are_kept(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "doc_id long, label string")
-    found = P.stratified_folds(docs, 2)
+    found = D.stratified_folds(docs, 2)
     assert {(r.doc_id, r.label) for r in found.collect()} == {(1, "a"), (2, None), (3, "a"), (4, None)}
     assert sorted(r["count"] for r in found.groupBy("label", "fold").count().collect()) == [1, 1, 1, 1]
 
 
+def test_folds_are_exact_over_several_passes(spark, monkeypatch):
+    """Ranges of hashes are refined pass by pass; rows that repeat a doc_id share a fold."""
+    import hashlib
+
+    monkeypatch.setattr(D, "LISTED", 0)
+    rows = [(i, "hot" if i % 3 else f"c{i % 9}") for i in range(4_000)] + [(7, "hot")] * 3 + [(None, "c0")]
+    docs = spark.createDataFrame(rows, "doc_id long, label string")
+    found = D.stratified_folds(docs, 4, 9).collect()
+    marks = {}
+    for i, c in rows:
+        h = hashlib.md5(f"{'' if i is None else i}{'' if i is None else ':'}9".encode()).hexdigest()
+        marks.setdefault(c, []).append((int(h[:15], 16), i))
+    start, expected = 0, {}
+    for c in sorted(marks):
+        own = sorted(marks[c], key=lambda x: x[0])
+        cuts, before = [], 0
+        for n in D.shares(start, len(own), 4)[:-1]:
+            before += n
+            cuts.append(own[before][0] if before < len(own) else 1 << 60)
+        for h, i in own:
+            expected[i, c] = sum(cut <= h for cut in cuts)
+        start = (start + len(own)) % 4
+    assert {(r.doc_id, r.label): r.fold for r in found} == expected and len(found) == len(rows)
+    monkeypatch.setattr(D, "LISTED", 1_000)
+    assert {(r.doc_id, r.label): r.fold for r in D.stratified_folds(docs, 4, 9).collect()} == expected
+    assert D.stratified_folds(docs.limit(0)).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_not_shuffled_for_folds(spark):
+    folded = P.with_folds(corpus(spark).repartition(3).persist(), SMALL)
+    bags = P.bags_of(P.with_terms(folded, (), TextSettings()), ("doc_id", "label", "fold"))
+    for rows in (folded, bags, S.count_vectors(bags, {0: ["sol"]}, ("doc_id", "label", "fold"))[0]):
+        above = plan_of(rows).split("InMemoryTableScan")[0]
+        assert "Exchange" not in above and "Join" not in above
+
+
+@pytest.mark.parametrize("job", ["bow", "lsa", "embed"])
+def test_rows_without_label_are_no_training_rows(spark, job):
+    docs = corpus(spark)
+    mixed = docs.unionByName(docs.where("doc_id < 9").select((F.col("doc_id") + 1000).alias("doc_id"), "text", F.lit(None).cast("string").alias("label")))
+    assert P.unlabelled(mixed).count() == 9
+    text = TextSettings(ngram_range=(1, 1), min_df=2, max_df=0.9)
+    words = " ".join(WORDS.values()).split()
+    vectors = spark.createDataFrame([(w, [float(i == j // 4) for i in range(3)]) for j, w in enumerate(words)], "word string, vec array<float>")
+    run = {
+        "bow": lambda d: P.bow_experiment(d, (), SMALL, text),
+        "lsa": lambda d: P.lsa_experiment(d, (), SMALL, text),
+        "embed": lambda d: P.embedding_experiment(d, vectors, (), SMALL),
+    }[job]
+    with_them, without = (run(d).predictions.select("doc_id", "fold", "pred").collect() for d in (mixed, docs))
+    assert sorted(map(tuple, with_them)) == sorted(map(tuple, without)) and len(without) == 90
+
+
 def test_lsa_and_embedding_experiments(spark):
     docs = corpus(spark)
     text = TextSettings(ngram_range=(1, 1), min_df=2, max_df=0.9)
@@ -198,29 +255,77 @@ def test_lsa_and_embedding_experiments(spark):
     assert P.score_embedding_bundle(docs.drop("label"), path).count() == 90
 
 
-@pytest.mark.parametrize("block_bytes", [L.BLOCK_BYTES, 0])
-def test_lsa_against_dense_svd(spark, block_bytes):
-    """Both product paths agree with a dense decomposition."""
+def lsa_docs(spark):
     rng = random.Random(7)
     pool = [f"w{i}" for i in range(25)]
-    rows = [(d, [rng.choice(pool[d % 5 * 4 : d % 5 * 4 + 9]) for _ in range(12)]) for d in range(60)] + [(60, ["zz"])]
-    docs = spark.createDataFrame(rows, "doc_id long, terms array<string>")
-    text = TextSettings(ngram_range=(1, 1), min_df=2, max_df=1.0)
-    model, weights = L.fit_lsa(docs, 4, text, rounds=8, block_bytes=block_bytes)
-    placed = {r.doc_id: r.vec for r in L.project(model, weights, block_bytes).collect()}
+    rows = [(d, d % 3, [rng.choice(pool[d % 5 * 4 : d % 5 * 4 + 9]) for _ in range(12)]) for d in range(60)] + [(60, 0, ["zz"])]
+    return spark.createDataFrame(rows, "doc_id long, fold int, terms array<string>")
+
+
+ONE_GRAMS = TextSettings(ngram_range=(1, 1), min_df=2, max_df=1.0)
+
+
+@pytest.mark.parametrize("slice_bytes", [L.SLICE_BYTES, 1_000, 0])
+def test_lsa_against_dense_svd(spark, slice_bytes):
+    """The block in one slice, in a few, and term by term: all agree with a dense decomposition."""
+    docs = lsa_docs(spark).drop("fold")
+    fit = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=8, slice_bytes=slice_bytes)
+    model, rows = fit.models[None], fit.rows
+    assert model.residual < 1e-3
+    placed = {r.doc_id: r.vec for r in L.project(model, rows, slice_bytes).collect()}
     dense = np.zeros((60, model.n_terms))
-    for r in weights.collect():
+    for r in L.weighted(rows, fit.views[0]).collect():
         dense[r.doc_id, r.idx] = r.w
     u, s, vt = np.linalg.svd(dense, full_matrices=False)
     signs = np.sign(vt[np.arange(4), np.abs(vt[:4]).argmax(axis=1)])
     expected = u[:, :4] * s[:4] * signs
     assert np.array([placed[d] for d in range(60)]) == pytest.approx(expected, abs=1e-4)
-    vectors = L.lsa_vectors(docs.select("doc_id"), model, weights)
+    vectors = L.lsa_vectors(docs.select("doc_id"), model, rows, slice_bytes)
     norms = {r.doc_id: sum(x * x for x in r.vec) for r in vectors.collect()}
     assert norms.pop(60) == 0 and all(n == pytest.approx(1.0) for n in norms.values())
     full = np.vstack([dense, np.zeros(model.n_terms)])
     kept = np.vstack([expected, np.zeros(4)])
-    share = L.explained_variance(vectors, weights, 4)
+    assert L.term_spread(rows, fit.views[0], 61, max(16, slice_bytes)) == pytest.approx(full.var(axis=0).sum())
+    share = L.explained_variance(vectors, model, rows)
     assert share == pytest.approx(kept.var(axis=0).sum() / full.var(axis=0).sum(), abs=1e-4)
-    with pytest.raises(ValueError):
-        L.fit_lsa(docs, 1000, text)
+    if slice_bytes:
+        with pytest.raises(ValueError):
+            L.fit_lsa(docs, 1000, ONE_GRAMS)
+
+
+def test_lsa_does_not_depend_on_slices_or_partitions(spark):
+    docs = lsa_docs(spark).drop("fold")
+    found = []
+    for slice_bytes, parts in ((L.SLICE_BYTES, 1), (2_000, 3), (500, 7)):
+        fit = L.fit_lsa(docs.repartition(parts), 4, ONE_GRAMS, rounds=2, slice_bytes=slice_bytes)
+        found.append(np.array([r.vec for r in L.project(fit.models[None], fit.rows, slice_bytes).orderBy("doc_id").collect()]))
+    assert found[0] == pytest.approx(found[1], abs=1e-6) and found[0] == pytest.approx(found[2], abs=1e-6)
+
+
+def test_lsa_passes_shuffle_no_cell(spark):
+    fit = L.fit_lsa(lsa_docs(spark).drop("fold"), 4, ONE_GRAMS)
+    for rows in (L.project(fit.models[None], fit.rows), L.project_all(fit.rows, fit.views, L._block_of(fit.models[None], 100), ["idx", "n"])):
+        assert "Exchange" not in plan_of(rows)
+
+
+@pytest.mark.parametrize("slice_bytes", [L.SLICE_BYTES, 3_000])
+def test_folds_of_lsa_equal_separate_fits(spark, slice_bytes):
+    docs = lsa_docs(spark)
+    fit = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=8, folds=range(3), slice_bytes=slice_bytes)
+    for held in range(3):
+        alone = L.fit_lsa(docs.where(F.col("fold") != held).drop("fold"), 4, ONE_GRAMS, rounds=8)
+        rows = L.counted_rows(L.bags_of(docs), alone.models[None].terms)
+        own, other = ({r.doc_id: r.vec for r in L.lsa_vectors(docs.select("doc_id"), m, x).collect()} for m, x in ((fit.models[held], fit.rows), (alone.models[None], rows)))
+        assert own.keys() == other.keys()
+        for d in own:
+            assert own[d] == pytest.approx(other[d], abs=1e-6)
+        idf = {r.term: r.idf for r in fit.models[held].terms.where("idf > 0").collect()}
+        assert idf == pytest.approx({r.term: r.idf for r in alone.models[None].terms.collect()})
+
+
+def test_lsa_experiment_with_fold_scope(spark):
+    text = TextSettings(ngram_range=(1, 1), min_df=2, max_df=0.9)
+    settings = ModelSettings(k_terms=20, n_components=5, fit_scope="fold")
+    found = P.lsa_experiment(corpus(spark), (), settings, text, final=True)
+    assert found.predictions.count() == 90 and found.metrics.first()["accuracy_mean"] > 0.8
+    assert found.model.width == 5 and found.lsa.dims == 5
