@@ -161,8 +161,16 @@ def without_layout(html: Column) -> Column:
 
         return F.aggregate(marks, start, walk)["most"]
 
+    def removed(state: Column, _: Column) -> Column:
+        # Openings that are never closed count as depth, but change nothing: the first idle round is the last.
+        smaller = let(
+            F.regexp_replace(state["page"], _INNERMOST, "<br>"),
+            lambda page: F.struct(page.alias("page"), (page == state["page"]).alias("done")),
+        )
+        return F.when(state["done"], state).otherwise(smaller)
+
     rounds = F.array_repeat(F.lit(0), deepest(html))
-    return F.aggregate(rounds, html, lambda page, _: F.regexp_replace(page, _INNERMOST, "<br>"))
+    return F.aggregate(rounds, F.struct(html.alias("page"), F.lit(False).alias("done")), removed)["page"]
 
 
 def visible_text(html: Column, site: SiteSettings) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmine.config import TFIDF_TEXT
+from newsmine.config import TFIDF_TEXT, ModelSettings
 from newsmine.functions import text as T
 from newsmine.functions.stem import stemmed_counts
 from newsmine.functions.stopwords import spanish_stopwords
@@ -17,10 +18,12 @@ from newsmine.operators import experiments as P
 from newsmine.operators import folds as D
 from newsmine.operators import lsa as L
 from newsmine.operators import sinks as K
+from newsmine.operators import svm as M2
+from newsmine.operators.selection import fold_class_sizes, select_per_fold
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
-from newsmine.plans.text_queries import _TFIDF
-from newsmine.session import cut, table, work_path
+from newsmine.plans.text_queries import _COUNTS, _TFIDF
+from newsmine.session import cut, table, work_path, written
 from newsmine.sources.words import read_vectors
 
 STOP = spanish_stopwords()
@@ -173,7 +176,7 @@ aucs AS (
 """
 
 
-def _scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _scored(spark: SparkSession, sf: str, *more: str) -> tuple[DataFrame, DataFrame]:
     """(predictions, scores); scores are rounded so that ties occur."""
     rows = table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id")
     folds = D.class_bounds(rows.select("doc_id", "label"))
@@ -187,7 +190,8 @@ def _scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = cut(rows.select(folds.of(F.col("doc_id"), F.col("label")).alias("fold"), "doc_id", "label", score.alias("s")))
     pred = (F.array_position("s", F.array_max("s")) - 1).cast("int")
     scores = rows.select("fold", "doc_id", "label", F.posexplode("s").alias("class", "score"))
-    return rows.select("fold", "doc_id", "label", pred.alias("pred")), scores
+    predictions = rows.withColumn("probs", F.col("s")).select("fold", "doc_id", "label", pred.alias("pred"), *more)
+    return predictions, scores
 
 
 @query("accuracy_by_fold", _SCORED + "SELECT fold, round(accuracy, 6) AS accuracy FROM acc")
@@ -224,6 +228,93 @@ def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
     return V.cv_summary(V.accuracy_by_fold(predictions), V.auc_ovr(scores))
 
 
+@query(
+    "metrics_fields",
+    _SCORED
+    + """, classes AS (SELECT DISTINCT label AS c FROM preds UNION SELECT DISTINCT pred FROM preds),
+cells AS (SELECT a.c AS label, b.c AS pred, count(p.vec_id) AS n FROM classes a CROSS JOIN classes b
+  LEFT JOIN preds p ON p.label = a.c AND p.pred = b.c GROUP BY ALL)
+SELECT 'n_docs' AS field, '' AS key, count(*)::DOUBLE AS value FROM preds
+UNION ALL SELECT 'accuracy_mean', '', round(avg(accuracy), 4) FROM acc
+UNION ALL SELECT 'accuracy_std', '', round(stddev_pop(accuracy), 4) FROM acc
+UNION ALL SELECT 'accuracy_folds', fold::VARCHAR, round(accuracy, 4) FROM acc
+UNION ALL SELECT 'auc_por_clase', class::VARCHAR, round(avg(auc), 4) FROM aucs GROUP BY class
+UNION ALL SELECT 'confusion_matrix', label || ':' || pred, n::DOUBLE FROM cells""",
+)
+def metrics_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """A metrics record of all folds, written as JSON, read back and taken apart."""
+    predictions, _ = _scored(spark, sf, "probs")
+    folder = work_path(spark, "metrics")
+    names = [str(k) for k in range(10)]
+    K.write_metrics(P.metrics_record(predictions, names, "tenths", "sums", 5, 64, 10, 0.0), folder, "svm")
+    record = K.read_metrics(spark, folder, "svm")
+    one = [
+        F.struct(F.lit(f).alias("field"), F.lit("").alias("key"), F.col(f).cast("double").alias("value"))
+        for f in ("n_docs", "accuracy_mean", "accuracy_std")
+    ]
+    number = lambda x: x.cast("string")
+    folds = F.transform("accuracy_folds", lambda v, i: F.struct(F.lit("accuracy_folds").alias("field"), number(i).alias("key"), v.alias("value")))
+    aucs = F.transform(F.map_entries("auc_por_clase"), lambda e: F.struct(F.lit("auc_por_clase").alias("field"), e["key"].alias("key"), e["value"].alias("value")))
+    cells = F.flatten(F.transform("confusion_matrix", lambda row, i: F.transform(row, lambda n, j: F.struct(
+        F.lit("confusion_matrix").alias("field"), F.concat(number(i), F.lit(":"), number(j)).alias("key"), n.cast("double").alias("value")))))
+    return record.select(F.inline(F.concat(F.array(*one), folds, aucs, cells)))
+
+
+_VOTE = """
+WITH machines AS (
+  SELECT p, i, j, list_transform(range(0, 64), lambda k: ((p + 2) * (k + 3) % 11 - 5) / 8.0::DOUBLE) AS w, (p - 2) / 16.0::DOUBLE AS b
+  FROM (SELECT unnest([0, 1, 2, 3, 4, 5]) AS p, unnest([0, 0, 0, 1, 1, 2]) AS i, unnest([1, 2, 3, 2, 3, 3]) AS j)),
+margins AS (
+  SELECT vec_id, i, j, list_reduce(list_transform(range(1, 65), lambda k: embedding[k]::DOUBLE * w[k]), lambda a, x: a + x) + b AS m
+  FROM embeddings CROSS JOIN machines),
+votes AS (SELECT vec_id, CASE WHEN m > 0 THEN i ELSE j END AS class, count(*) AS n FROM margins GROUP BY ALL)
+SELECT vec_id AS doc_id, arg_max(class, (n, -class))::INTEGER AS pred FROM votes GROUP BY vec_id
+"""
+
+
+@query("svm_vote", _VOTE)
+def svm_vote(spark: SparkSession, sf: str) -> DataFrame:
+    """Six machines of four classes, with stated weights, saved and loaded: every vector's majority vote."""
+    pairs = M2.class_pairs(4)
+    weights = np.array([[*(((p + 2) * (k + 3) % 11 - 5) / 8 for k in range(64)), (p - 2) / 16] for p in range(6)])
+    path = work_path(spark, "machines")
+    M2.LinearSvm(list("abcd"), pairs, weights, np.tile([-1.0, 0.0], (6, 1))).save(path, spark)
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("val"))
+    return M2.LinearSvm.load(path, spark).transform(rows).select("doc_id", "pred")
+
+
+_FOLD_CHI2 = (
+    _COUNTS
+    + f""",
+classed AS (SELECT doc_id, lang AS label, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':42')) AS n FROM documents),
+{_CUTS},
+folds AS (SELECT doc_id, label, len(list_filter(cuts, lambda c: n > c))::INTEGER AS fold FROM classed JOIN starts USING (label)),
+held AS (SELECT unnest([0, 1, 2, 3, 4])::INTEGER AS held),
+prior AS (SELECT held, label, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY held) AS p FROM folds JOIN held ON fold <> held GROUP BY held, label),
+placed AS (SELECT p.label, p.term, p.n, f.fold FROM pruned p JOIN folds f ON p.doc_id = f.doc_id),
+seen AS (SELECT held, term, label, sum(n)::DOUBLE AS o FROM placed JOIN held ON fold <> held GROUP BY ALL),
+totals AS (SELECT held, term, sum(o) AS t FROM seen GROUP BY ALL),
+cells AS (
+  SELECT t.held, t.term, coalesce(s.o, 0) AS o, p.p * t.t AS e FROM totals t JOIN prior p ON p.held = t.held
+  LEFT JOIN seen s ON s.held = t.held AND s.term = t.term AND s.label = p.label),
+scores AS (SELECT held, term, round(sum((o - e) * (o - e) / e), 6) AS score FROM cells GROUP BY held, term),
+best AS (SELECT held, term, row_number() OVER (PARTITION BY held ORDER BY score DESC, term DESC) AS rank FROM scores)
+SELECT held, term FROM best WHERE rank <= 150
+"""
+)
+
+
+@query("fold_chi2_terms", _FOLD_CHI2)
+def fold_chi2_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The terms that are selected when each fold is held out."""
+    keep = ("doc_id", "label", "fold")
+    folded = P.with_folds(X.labelled(spark, sf), ModelSettings())
+    bags = written(B.bags_of(B.with_terms(folded, STOP), keep), "bags")
+    chosen, _ = select_per_fold(bags.select(*keep, F.inline("bag")), fold_class_sizes(bags), 150)
+    rows = [(held, term) for held, terms in chosen.items() if held is not None for term in terms]
+    return spark.createDataFrame(rows, "held int, term string")
+
+
 # ── classifiers ───────────────────────────────────────────────────────────────
 
 

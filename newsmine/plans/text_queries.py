@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmine.config import COUNT_TEXT, TFIDF_TEXT
+from newsmine.config import COUNT_TEXT, TFIDF_TEXT, TextSettings
 from newsmine.functions import text as T
 from newsmine.functions.stopwords import spanish_stopwords
 from newsmine.operators import bow as B
@@ -15,7 +15,8 @@ from newsmine.operators import tfidf as W
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
 from newsmine.session import work_path
-from newsmine.sources.tables import load_dataset
+from newsmine.sources.tables import labelled_pages, load_dataset
+from newsmine.sources.words import read_words
 
 STOP = spanish_stopwords()
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP) + ")"
@@ -279,3 +280,48 @@ def preview_matrix(spark: SparkSession, sf: str) -> DataFrame:
         ]
     )
     return wide.select("doc_id", "label", F.inline(cells))
+
+
+@query(
+    "custom_tokenizer",
+    """WITH parts AS (SELECT doc_id, list_filter(string_split_regex(strip_accents(lower(text)), '[^0-9a-z]+'), lambda w: w <> '') AS w FROM documents)
+SELECT term, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(w) AS term FROM parts) GROUP BY term""",
+)
+def custom_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts with a tokenizer of one's own: runs of ASCII letters and digits."""
+
+    def ascii_words(text):
+        return F.filter(F.split(text, "[^0-9a-z]+"), lambda w: w != "")
+
+    docs = X.labelled(spark, sf).withColumn("text", F.lower("text"))
+    single = TextSettings(ngram_range=(1, 1))
+    tf = B.term_counts(B.with_terms(docs, (), single, ascii_words))
+    return tf.groupBy("term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
+
+
+@query(
+    "word_list_scan",
+    f"SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{_RE}'))) AS word FROM documents",
+)
+def word_list_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A word list of all documents' words, one per line, in any case and with blanks around, read back."""
+    words = X.labelled(spark, sf).select(F.explode(T.tokens(F.col("text"))).alias("word"))
+    path = work_path(spark, "words")
+    lines = words.withColumn("line", F.concat(F.lit(" \t"), "word", F.lit("  ")))
+    lines.select("line").unionByName(lines.select(F.lit("  ").alias("line")).limit(3)).write.text(path)
+    return read_words(spark, path)
+
+
+@query(
+    "labelled_page_scan",
+    """SELECT lang AS section, text || CASE WHEN doc_id % 31 = 4 THEN chr(65533) ELSE '' END || chr(10) AS html,
+CAST(strlen(text) + 1 + CASE WHEN doc_id % 31 = 4 THEN 1 ELSE 0 END AS BIGINT) AS bytes FROM documents""",
+)
+def labelled_page_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a file of its class's folder, some with a broken byte, read back."""
+    base = work_path(spark, "folders")
+    broken = F.when(F.col("doc_id") % 31 == 4, F.concat("text", F.unhex(F.lit("C3")).cast("string"))).otherwise(F.col("text"))
+    files = X.labelled(spark, sf).select(broken.alias("value"), F.col("label").alias("section"))
+    files.write.partitionBy("section").option("maxRecordsPerFile", 1).text(base)
+    pages = labelled_pages(spark, base, "*.txt")
+    return pages.select(F.substring("section", len("section=") + 1, 100).alias("section"), "html", "bytes")

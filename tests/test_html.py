@@ -1,3 +1,4 @@
+import time
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,12 @@ def test_rejected_and_kept_cover_all(spark):
 )
 def test_blocks_without_article_text(spark, html, expected):
     assert one(spark, html, lambda c: H.fragment_text(H.without_layout(H.seen(c)))) == expected
+
+
+def test_unclosed_layout_blocks_cost_one_idle_round(spark):
+    """Hundreds of openings without an end: the page is rewritten as often as closed blocks nest, and once more."""
+    page = "<nav>" * 600 + "<article><header><nav>menu</nav></header>" + "palabra " * 60 + "</article>" + "relleno " * 20_000
+    docs = spark.createDataFrame([(page,)] * 4, "html string")
+    started = time.time()
+    (text,) = {r[0] for r in docs.select(H.visible_text(F.col("html"), SITE)).collect()}
+    assert text == ("palabra " * 60).strip() and time.time() - started < 20

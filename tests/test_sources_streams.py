@@ -29,8 +29,12 @@ def test_labelled_pages(spark, tmp_path):
     for section, name, data in (("a", "1.html", b"x\xff"), ("b", "2.html", "ñ".encode()), ("b", "3.txt", b"no")):
         (tmp_path / section).mkdir(exist_ok=True)
         (tmp_path / section / name).write_bytes(data)
-    found = sorted(map(tuple, T.labelled_pages(spark, str(tmp_path)).collect()))
-    assert found == [("a", "1.html", "x�"), ("b", "2.html", "ñ")]
+    (tmp_path / "b" / "deep").mkdir()
+    (tmp_path / "b" / "deep" / "4.html").write_bytes(b"too deep")
+    pages = T.labelled_pages(spark, str(tmp_path))
+    found = sorted((r.section, r.filename, r.bytes, r.html) for r in pages.collect())
+    assert found == [("a", "1.html", 2, "x�"), ("b", "2.html", 2, "ñ")]
+    assert pages.select("section", "modified").where("modified is not null").count() == 2
 
 
 def test_dataset_presence(spark):
