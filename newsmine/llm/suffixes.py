@@ -105,8 +105,8 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
     A byte goes if a ``window``-byte string over it also starts anywhere else, in
     the same text or another; all copies go. ``kept`` (binary) holds the other
     bytes, ``n_spans`` counts the removed runs. Strings are judged on the input.
-    ``rest`` adds a struct of all columns of the row, and ``kept`` is a text then:
-    characters that lose some of their bytes go with them.
+    ``rest`` adds a struct of all columns of the row (of the text, only whether there is
+    one), and ``kept`` is a text then: characters that lose some of their bytes go with them.
 
     A null or empty text has no bytes; texts shorter than a string stay. Rows that
     repeat a doc_id with the same text are one document, not copies of each
@@ -149,7 +149,7 @@ def deduplicated(docs: DataFrame, window: int = 400, batches: int = 4) -> DataFr
     """
 
     trimmed = without_repeats(docs, window, batches=batches, rest=True).select("kept", "rest")
-    made = {"text": F.when(F.col("rest.text").isNotNull(), F.col("kept"))}
+    made = {"text": F.when(F.col("rest.text"), F.col("kept"))}
     if "n_chars" in docs.columns:
         made["n_chars"] = F.length(made["text"]).cast("long")
     return trimmed.select(*[made.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])

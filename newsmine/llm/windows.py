@@ -52,13 +52,16 @@ class Shape:
 
 
 def texts_of(docs: DataFrame, rest: bool = False) -> DataFrame:
-    """(id, twin, text[, rest]): ``twin`` tells texts apart that share a doc_id, ``rest`` carries all columns of the row."""
+    """(id, twin, text[, rest]): ``twin`` tells texts apart that share a doc_id.
+
+    ``rest`` carries all columns of the row; for the text, only whether there is one.
+    """
     text = F.col("text").cast("string")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
         F.xxhash64(text).alias("twin"),
         text.alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")] if rest else []),
+        *([F.struct(*[text.isNotNull().alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]).alias("rest")] if rest else []),
     )
 
 

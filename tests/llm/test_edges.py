@@ -155,3 +155,11 @@ def test_a_failed_run_leaves_no_table(spark):
     with pytest.raises(Exception, match="broken"):
         suffixes.without_repeats(broken, 400).collect()
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_planted_passages_are_shorter_than_the_window_of_op8(spark, folder):
+    """Passages of over 50 words that are planted in the test tables hold no 400 bytes: op8's window cannot reach them, the pipeline's can."""
+    texts = [r["text"] for r in spark.read.parquet(f"/root/testdata/{folder}/benchmark.parquet").collect()]
+    sizes = [len(t.encode()) for t in texts if t and len(WORD.findall(t)) > 50]
+    assert len(sizes) >= 10 and 200 <= min(sizes) and max(sizes) < 400
