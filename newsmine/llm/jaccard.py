@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -112,14 +111,20 @@ def _facts(texts: DataFrame, sets: Sets) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         counts = np.zeros(sets.buckets, np.int32)
+        waiting: list[np.ndarray] = []
         for batch in batches:
             for rows, data, offsets in K.blocks(batch):
                 text, marks = set_members(data, offsets, sets.words)
                 size, cls = classes_of(text, marks, rows.num_rows)
-                counts += np.bincount((marks % np.uint64(sets.buckets)).astype(np.int64), minlength=sets.buckets).astype(np.int32)
+                waiting.append((marks % np.uint64(sets.buckets)).astype(np.int64))
+                if sum(map(len, waiting)) > sets.buckets // 2:
+                    counts += np.bincount(np.concatenate(waiting), minlength=sets.buckets).astype(np.int32)
+                    waiting = []
                 none = pa.nulls(rows.num_rows, pa.binary())
                 sketch = pa.array(parities(text, marks, size), pa.binary())
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size, pa.int64()), K.signed(cls), rows.column(2), sketch, none], names=["id", "n", "cls", "own", "sketch", "counts"])
+        if waiting:
+            counts += np.bincount(np.concatenate(waiting), minlength=sets.buckets).astype(np.int32)
         if counts.any():
             nothing = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["id", "n", "cls", "own", "sketch", "counts"])
@@ -141,9 +146,10 @@ def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
                 total += np.frombuffer(value.as_py(), np.int32)
         yield from slices(total)
 
-    def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(p) for p in pdf["payload"]], axis=0)
-        return pd.DataFrame({"part": [pdf["part"].min()], "slice": [pdf["slice"].iloc[0]], "payload": [total.tobytes()]})
+    def added(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(p) for p in table.column("payload").to_pylist()], axis=0)
+        part = min(table.column("part").to_pylist())
+        return pa.table({"part": pa.array([part], pa.int64()), "slice": table.column("slice").slice(0, 1), "payload": [total.tobytes()]})
 
     def levelled(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codes = [np.log2(np.frombuffer(p.as_py()) + 1).astype(np.uint8).tobytes() for p in batch.column(1)]
@@ -154,7 +160,7 @@ def _levels(facts: DataFrame, sets: Sets) -> np.ndarray:
     parts = facts.where(F.col("counts").isNotNull()).select("counts").coalesce(cores).mapInArrow(partial, SCHEMA)
     left = cores
     while True:
-        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "slice").applyInPandas(added, SCHEMA)
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "slice").applyInArrow(added, SCHEMA)
         left = -(-left // FAN_IN)
         if left == 1:
             break

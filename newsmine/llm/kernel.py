@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 512 * 1024
+BLOCK = 256 * 1024
 # Workers live long and are reused: large arrays go back to the system when freed,
 # instead of staying in the worker's heap (-3 is glibc's M_MMAP_THRESHOLD).
 pa.set_memory_pool(pa.system_memory_pool())
@@ -48,7 +48,7 @@ def _powers(size: int, base: int) -> np.ndarray:
 
 def powers(size: int, base: int = _BASE) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64; kept for the usual block size."""
-    return _powers(1 << max(16, int(size).bit_length()), base)[:size]
+    return _powers(1 << max(16, int(size - 1).bit_length()), base)[:size]
 
 
 def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

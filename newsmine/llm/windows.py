@@ -23,6 +23,7 @@ from newsmine.llm.common import NULL_ID, Batches, sampled, stored
 _FLUSH = 2_000_000  # entries that a task combines at once
 SPREAD = 1 << 15
 SALTS = 64  # tasks that share a frequent anchor
+LONG = 64  # units of a window from which on levels do not double
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -47,8 +48,14 @@ class Shape:
     keep_first: bool
 
     def longer(self) -> Shape:
-        """Anchors of twice the length, if that is still shorter than a window."""
-        return replace(self, part=min(2 * self.part, self.window))
+        """The next level: anchors of twice the length, at most whole windows.
+
+        Long windows go to seven eighths at once: beside the end of a repeated passage, as many
+        windows are compared one by one as the last anchor is shorter than the window.
+        """
+        last = self.window * 7 // 8
+        part = 2 * self.part if self.window < LONG else last
+        return replace(self, part=part if self.part < part < self.window else self.window)
 
 
 def texts_of(docs: DataFrame, rest: bool = False) -> DataFrame:
@@ -245,8 +252,7 @@ def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: i
 def refined(texts: DataFrame, marks: DataFrame, shape: Shape, name: str) -> DataFrame:
     """(id, twin, first, last): starts of repeated windows, from the marks of the first level.
 
-    Level by level, the windows of open anchors are dealt to anchors of twice the
-    length. An anchor that occurs once ends there; where everything around an anchor
+    Level by level, the windows of open anchors are dealt to longer anchors. An anchor that occurs once ends there; where everything around an anchor
     repeats its windows are covered; one row stays open for each surroundings, as other
     ones may share windows with it. Levels end when no candidate is left, or when an
     anchor would be a whole window: then windows themselves are compared.
