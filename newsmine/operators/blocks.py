@@ -6,7 +6,6 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +28,13 @@ def slices(total: np.ndarray) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _add(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.frombuffer(pdf["payload"].iloc[0]).copy()
-    for payload in pdf["payload"].iloc[1:]:
+def _add(table: pa.Table) -> pa.Table:
+    pieces = table.column("payload").to_pylist()
+    total = np.frombuffer(pieces[0]).copy()
+    for payload in pieces[1:]:
         total += np.frombuffer(payload)
-    return pd.DataFrame(
-        {"part": [pdf["part"].min()], "slice": [pdf["slice"].iloc[0]], "payload": [total.tobytes()]}
-    )
+    part = min(table.column("part").to_pylist())
+    return pa.table({"part": pa.array([part], pa.int64()), "slice": table.column("slice").slice(0, 1), "payload": [total.tobytes()]})
 
 
 def total_of(
@@ -55,7 +54,7 @@ def total_of(
     few = max(1, min(FAN_IN, DRIVER_BYTES // (8 * math.prod(shape))))
     while parts > few:
         level = blocks.withColumn("part", F.floor(F.col("part") / FAN_IN))
-        blocks = level.groupBy("part", "slice").applyInPandas(_add, SCHEMA)
+        blocks = level.groupBy("part", "slice").applyInArrow(_add, SCHEMA)
         parts = -(-parts // FAN_IN)
     found: dict[int, np.ndarray] = {}
     for row in blocks.collect():
