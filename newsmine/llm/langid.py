@@ -149,8 +149,9 @@ def predicted(docs: DataFrame, coder: Coder, gap: float = 0.1) -> DataFrame:
     ``score`` is the nearest codeword's share under a softmax of the losses;
     ``ambiguous`` marks rows whose two best shares differ by less than ``gap``.
     A null text, or one without a letter, is ``und`` with score 0. Repeated rows are
-    predicted one by one. Only doc_id and text are read. A model without languages
-    predicts ``und``.
+    predicted one by one. Only doc_id and text are read. Of equal shares the
+    alphabetically first language counts. A model without languages predicts ``und``;
+    an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(coder)  # buckets x bits numbers
 

@@ -128,7 +128,9 @@ def packed(
 
     A null or empty text, or a null length, gives one piece of length 0 without a
     bin. Repeated rows are packed one by one, a null doc_id stays null, other
-    columns are only read by ``length``. An empty table gives an empty result.
+    columns are only read by ``length``. Rows of equal length take the plan's places in order of
+    doc_id inside hash buckets; of bins with equal room those last filled come first, and of sizes
+    with equal cost the smaller one opens. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     most = max(capacities)

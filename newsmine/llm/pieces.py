@@ -206,7 +206,8 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     Stretches seen before are remembered with their ids and text in a bounded
     memory per worker. Null and empty texts have no ids and decode to an empty
-    text. Repeated rows are encoded one by one; other columns are not read.
+    text. Repeated rows are encoded one by one; other columns are not read. An
+    empty table gives an empty result.
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

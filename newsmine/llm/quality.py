@@ -153,7 +153,8 @@ def line_quality(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     most ``max_loss`` hundredths of its visible characters.
 
     A null text counts as empty: zero words, so base_failed. Repeated rows are
-    judged one by one; a null doc_id stays null; other columns are not read.
+    judged one by one, and so is every row, whatever stands beside it; a null doc_id
+    stays null; other columns are not read. An empty table gives an empty result.
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -98,7 +98,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     and joined back. As what is frequent stays in the task, no join key is hot.
 
     A null or empty text has 0 bytes and tokens. Repeated rows are counted one by
-    one, null doc_ids stay null, other columns are not read.
+    one, null doc_ids stay null, other columns are not read. An empty table gives
+    an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent(docs, path))
 

@@ -113,7 +113,8 @@ def url_verdicts(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] =
 
     A null url, or one without ``://``, has an empty host and path, no rule, and
     the verdict allow with a null score: there is nothing to judge. Repeated rows
-    and null page_ids are judged like others; other columns are not read.
+    and null page_ids are judged like others; other columns are not read. A score
+    of exactly ``cut`` blocks. An empty table gives an empty result.
     """
     url = F.col("url").cast("string")
     base = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))

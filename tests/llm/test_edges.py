@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from newsmine.llm import exact, jaccard, quality, substrings, suffixes, windows
+import corpus_pipeline
+from newsmine.llm import exact, jaccard, quality, substrings, suffixes, urlfilter, windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -163,3 +164,13 @@ def test_planted_passages_are_shorter_than_the_window_of_op8(spark, folder):
     texts = [r["text"] for r in spark.read.parquet(f"/root/testdata/{folder}/benchmark.parquet").collect()]
     sizes = [len(t.encode()) for t in texts if t and len(WORD.findall(t)) > 50]
     assert len(sizes) >= 10 and 200 <= min(sizes) and max(sizes) < 400
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, _id int")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, none, "")
+        assert found.count() == 0, name
+        assert name == "best_fit_packing" or found.columns == none.columns
+    pages = spark.createDataFrame([], "page_id long, url string")
+    assert urlfilter.url_verdicts(pages, urlfilter.labelled_urls(spark)).count() == 0
