@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from newsmine.config import TextSettings
+from newsmine.operators import blocks as K
 from newsmine.operators import bow as B
 from newsmine.operators import embedding as M
 from newsmine.operators import ordering as O
@@ -165,3 +167,21 @@ def test_vector_file(spark, tmp_path):
     assert read_vectors(spark, str(tmp_path / "none.txt")).count() == 0
     rows = spark.createDataFrame([("a", [1.0], 1), ("a", [2.0], 2)], "word string, vec array<float>, n int")
     assert last_vectors(rows, "n").first()["vec"] == [2.0]
+
+
+def test_arrays_of_many_tasks_are_added_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(K, "FAN_IN", 3)
+    monkeypatch.setattr(K, "DRIVER_BYTES", 8 * 6 * 2)
+    rows = spark.range(0, 200, 1, 40)
+
+    def partial(batches):
+        total = np.zeros((2, 3))
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                total[k % 2, k % 3] += k
+        return total
+
+    expected = np.zeros((2, 3))
+    for k in range(200):
+        expected[k % 2, k % 3] += k
+    assert (K.total_of(rows, partial, (2, 3)) == expected).all()
