@@ -252,7 +252,7 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 _HEADER = """, times AS (SELECT min(ts) AS a, max(ts) AS b, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS s FROM events_table),
 shown AS (
-  SELECT a AS started, b AS ended, CASE WHEN s // 86400 = 0 THEN '' WHEN s // 86400 = 1 THEN '1 day, ' ELSE (s // 86400) || ' days, ' END
+  SELECT strftime(a, '%Y-%m-%d %H:%M:%S') AS started, strftime(b, '%Y-%m-%d %H:%M:%S') AS ended, CASE WHEN s // 86400 = 0 THEN '' WHEN s // 86400 = 1 THEN '1 day, ' ELSE (s // 86400) || ' days, ' END
     || format('{}:{:02d}:{:02d}', s % 86400 // 3600, s % 3600 // 60, s % 60) AS duration FROM times),
 both_runs AS (
   SELECT 'new' AS run, coalesce(r.outcome, e.status) AS outcome FROM incoming r LEFT JOIN events e ON r.seq = e.seq
@@ -270,7 +270,8 @@ FROM both_runs, shown GROUP BY run"""
 @query("run_header", "WITH events_table AS (SELECT ts FROM main.events)," + _ROUTED.strip().removeprefix("WITH") + _HEADER)
 def run_header(spark: SparkSession, sf: str) -> DataFrame:
     """Start, range, sections, duration and counters of both runs, from their records."""
-    return _second_run(spark, sf).headers()
+    clock = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")}
+    return _second_run(spark, sf).headers().withColumns(clock)
 
 
 @query(
