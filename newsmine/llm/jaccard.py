@@ -44,6 +44,8 @@ class Sets:
     buckets: int = 1 << 20
     #: Sets of so many classes at most are fetched by a broadcast list of ids (24 bytes each); more by a join.
     broadcast_rows: int = 500_000
+    #: Peel open lists by heads before their members are paired (only where just components are wanted).
+    peel: bool = True
 
     def needed(self, a: Column, b: Column) -> Column:
         """Least overlap of linked sets of these sizes."""
@@ -453,6 +455,8 @@ def joined(docs: DataFrame, sets: Sets = Sets(), only_components: bool = False)
         before, turn = float("inf"), 0
         while True:
             members = _open_members(lists, labels, sets)
+            if not sets.peel:
+                break
             rows, pairs = _open_size(members)
             if pairs <= 4 * rows or pairs > 0.7 * before:
                 break

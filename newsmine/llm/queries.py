@@ -106,7 +106,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_ngram_jaccard")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    found = jaccard.near_duplicates(documents(spark, folder))
+    found = jaccard.near_duplicates(documents(spark, folder), jaccard.Sets(peel=False))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
