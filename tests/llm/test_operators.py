@@ -157,7 +157,9 @@ def test_all_links(spark, words, percent):
     for _ in texts:
         for x, y in expected:
             root[x] = root[y] = min(root[x], root[y])
-    assert sorted(by_id(jaccard.near_duplicates(table, jaccard.Sets(words=words, percent=percent)), "component_id")) == list(enumerate(root))
+    for peel in (False, True):
+        found = jaccard.near_duplicates(table, jaccard.Sets(words=words, percent=percent, peel=peel))
+        assert sorted(by_id(found, "component_id")) == list(enumerate(root))
 
 
 def test_one_row_of_each_group_stays(spark):
