@@ -329,3 +329,27 @@ def test_lsa_experiment_with_fold_scope(spark):
     found = P.lsa_experiment(corpus(spark), (), settings, text, final=True)
     assert found.predictions.count() == 90 and found.metrics.first()["accuracy_mean"] > 0.8
     assert found.model.width == 5 and found.lsa.dims == 5
+
+
+def test_lsa_block_of_many_slices_never_is_whole_on_the_driver(spark, monkeypatch):
+    """The driver sees a slice at a time, and nothing that tasks add up has a row per term."""
+    sizes, add, read = [], L.total_of, L.Block.get
+
+    def total_of(rows, partial, shape):
+        sizes.append(("sum", np.prod(shape)))
+        return add(rows, partial, shape)
+
+    def get(block, s):
+        found = read(block, s)
+        sizes.append(("slice", found.nbytes))
+        return found
+
+    monkeypatch.setattr(L, "total_of", total_of)
+    monkeypatch.setattr(L.Block, "get", get)
+    rng = random.Random(3)
+    rows = [(d, [f"w{rng.randrange(300)}" for _ in range(40)]) for d in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, terms array<string>")
+    fit = L.fit_lsa(docs, 2, ONE_GRAMS, rounds=1, oversample=1, slice_bytes=2_400)
+    assert fit.models[None].n_terms > 250
+    assert max(n for kind, n in sizes if kind == "slice") <= 2_400
+    assert max(n for kind, n in sizes if kind == "sum") <= 9
