@@ -70,6 +70,22 @@ def found_terms(bags: DataFrame, keep: Sequence[str], words: pa.Array) -> DataFr
     return bags.select(*keep, "bag").mapInArrow(find, schema)
 
 
+def other_terms(bags: DataFrame, words: pa.Array, key: str = "_row") -> DataFrame:
+    """(key, term, n): the cells whose term is not in ``words``, which goes to every task."""
+    shared = bags.sparkSession.sparkContext.broadcast(words)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = batch.column("bag")
+            cells = listed.flatten()
+            other = pc.index_in(cells.field("term"), value_set=shared.value).is_null()
+            row = np.repeat(batch.column(key).to_numpy(), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            found = pa.RecordBatch.from_arrays([pa.array(row), cells.field("term"), cells.field("n")], names=[key, "term", "n"])
+            yield found.filter(other)
+
+    return bags.select(key, "bag").mapInArrow(find, f"{key} long, term string, n long")
+
+
 def bag_positions(bags: DataFrame, terms: DataFrame, keep: Sequence[str] = ("doc_id",), limit: int = LOOKUP_BYTES) -> DataFrame:
     """(keep…, idx, n): the cells of each document by vocabulary position (``idx`` counts from 0 in ``terms``).
 

@@ -8,10 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import (
     DefaultParamsReader,
     DefaultParamsWriter,
@@ -24,11 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmine.functions.text import bag, tokens, without
-from newsmine.operators.bow import found_terms
-from newsmine.session import written
+from newsmine.operators.bow import found_terms, other_terms
+from newsmine.session import cut, written
 
-#: Largest word table that is sent to every executor.
-BROADCAST_BYTES = 256 * 1024 * 1024
+#: Largest word table that the driver holds and sends to every task.
+BROADCAST_BYTES = 64 * 1024 * 1024
 _ROWS, _CELLS = 2_000, 50_000  # documents and word vectors added up at a time
 
 
@@ -69,21 +67,36 @@ def document_vectors(
     """(keep…, known, vec): mean vector of each document's known words; repeats count each time, none give zeros.
 
     A word table of at most ``limit`` bytes is one matrix in every task, and a row's
-    vector is made in the row. A larger one is joined by word and summed once per
-    document; adaptive execution splits frequent words.
+    vector is made in the row. Of a larger one so many frequent words are; the cells
+    of all other words are joined by word and summed once per document.
     """
     size = size or vector_size(vectors)
     # float32 payload plus a generous allowance for the word and row overhead.
-    if vectors.count() * (4 * size + 64) > limit:
-        return _joined_vectors(bags, vectors, size, keep)
+    most = limit // (4 * size + 64)
+    if vectors.count() > most:
+        return _joined_vectors(bags, vectors, size, keep, most)
+    sums = _summed(bags, *_in_memory(vectors, size), keep)
+    return sums.select(*keep, "known", _mean(F.col("vec"), F.col("known")).alias("vec"))
+
+
+def _mean(sums: Column, known: Column) -> Column:
+    return F.transform(sums, lambda x: x / F.when(known > 0, known).otherwise(1))
+
+
+def _in_memory(vectors: DataFrame, size: int) -> tuple[pa.Array, np.ndarray]:
     table = vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).toArrow()
     words = table.column("word").combine_chunks()
-    matrix = table.column("vec").combine_chunks().flatten().to_numpy().reshape(len(words), size)
+    return words, table.column("vec").combine_chunks().flatten().to_numpy().reshape(len(words), size)
+
+
+def _summed(bags: DataFrame, words: pa.Array, matrix: np.ndarray, keep: Sequence[str]) -> DataFrame:
+    """(keep…, known, vec): how many of each document's words are in ``words``, and the sum of their vectors."""
+    size = matrix.shape[1]
     shared = bags.sparkSession.sparkContext.broadcast(matrix)
     rows = found_terms(bags, keep, words)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in bags.select(*keep).schema) + "known long, vec array<double>"
 
-    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
@@ -101,29 +114,50 @@ def document_vectors(
                     starts = (np.cumsum(inside) - inside)[inside > 0]
                     part = matrix_rows(shared.value, columns[low:high], times[low:high])
                     out[np.arange(first, last + 1)[inside > 0]] += np.add.reduceat(part, starts, axis=0)
-                out /= np.where(known > 0, known, 1.0)[:, None]
                 lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, size, dtype=np.int32), out.ravel())
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c) for c in keep], pa.array(known.astype(np.int64)), lists], names=[*keep, "known", "vec"]
                 )
 
-    return rows.mapInArrow(average, schema)
+    return rows.mapInArrow(add, schema)
 
 
 def matrix_rows(matrix: np.ndarray, columns: np.ndarray, times: np.ndarray) -> np.ndarray:
     return matrix[columns].astype(np.float64) * times[:, None]
 
 
-def _joined_vectors(bags: DataFrame, vectors: DataFrame, size: int, keep: Sequence[str]) -> DataFrame:
-    """The same by a join and one vector sum. The bags are written once and numbered, as two joins read them."""
+def _joined_vectors(bags: DataFrame, vectors: DataFrame, size: int, keep: Sequence[str], most: int) -> DataFrame:
+    """The same with at most ``most`` words in memory, the most frequent ones. Bags are written once, as three passes read them."""
     bags = written(bags.select(*keep, "bag", F.monotonically_increasing_id().alias("_row")), "embedding-bags")
-    cells = bags.select("_row", F.inline("bag"))
-    named = vectors.select(F.col("word").alias("term"), array_to_vector(F.col("vec").cast("array<double>")).alias("vec"))
-    found = cells.join(named, "term").groupBy("_row").agg(F.sum("n").alias("known"), Summarizer.sum(F.col("vec"), F.col("n").cast("double")).alias("sums"))
-    means = found.select("_row", "known", F.transform(vector_to_array("sums"), lambda x: x / F.col("known")).alias("vec"))
-    whole = bags.select(*keep, "_row").join(means, "_row", "left")
-    zeros = F.array_repeat(F.lit(0.0), size)
-    return whole.select(*keep, F.coalesce("known", F.lit(0)).alias("known"), F.coalesce("vec", zeros).alias("vec"))
+    df = bags.select(F.inline("bag")).groupBy(F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("df"))
+    # Steps of an eighth of a power of two: a few hundred numbers at most.
+    ranked = cut(vectors.select("word", "vec").join(df, "word").select("word", "vec", F.floor(F.log2("df") * 8).alias("step")))
+    least, room = 10_000, most
+    for row in ranked.groupBy("step").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        room -= row["n"]
+        if room < 0:
+            break
+        least = row["step"]
+    words, matrix = _in_memory(ranked.where(F.col("step") >= least), size)
+    frequent = _summed(bags, words, matrix, (*keep, "_row"))
+    rare = ranked.where(F.col("step") < least).select(F.col("word").alias("term"), F.col("vec").cast("array<float>").alias("vec"))
+    found = other_terms(bags, words).join(rare, "term").groupBy("_row").agg(F.sum("n").alias("more"), F.collect_list(F.struct("n", "vec")).alias("cells"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                lengths = batch.column("cells").value_lengths().to_numpy()
+                cells = batch.column("cells").flatten()
+                vecs = cells.field("vec").flatten().to_numpy().reshape(-1, size)
+                sums = np.add.reduceat(vecs.astype(np.float64) * cells.field("n").to_numpy()[:, None], np.cumsum(lengths) - lengths, axis=0)
+                lists = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, size, dtype=np.int32), sums.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("more"), lists], names=["_row", "more", "sums"])
+
+    others = found.mapInArrow(add, "_row long, more long, sums array<double>")
+    both = F.when(F.col("sums").isNull(), F.col("vec")).otherwise(F.zip_with("vec", "sums", lambda a, b: a + b))
+    total = frequent.join(others, "_row", "left").select(*keep, (F.col("known") + F.coalesce("more", F.lit(0))).alias("known"), both.alias("vec"))
+    return total.select(*keep, "known", _mean(F.col("vec"), F.col("known")).alias("vec"))
 
 
 def coverage(bags: DataFrame, vectors: DataFrame, size: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -119,6 +120,19 @@ def test_mean_embedding_in_pieces(spark, monkeypatch):
         assert plan.count("Aggregate") == (0 if limit else 1)
 
 
+def test_mean_embedding_with_frequent_words_in_memory(spark):
+    """Only cells of words that do not fit are joined; the means are those of all words."""
+    docs = spark.createDataFrame([(d, "uno dos " * (d % 3) + f"solo{d} solo{d}") for d in range(30)], "doc_id int, text string")
+    table = [("uno", [1.0, 0.0]), ("dos", [0.0, 4.0]), *[(f"solo{d}", [float(d), 1.0]) for d in range(0, 30, 2)]]
+    vectors = spark.createDataFrame(table, "word string, vec array<float>")
+    bags = M.word_bags(docs)
+    whole, split = ({r.doc_id: (r.known, r.vec) for r in M.document_vectors(bags, vectors, limit=limit).collect()} for limit in (M.BROADCAST_BYTES, 5 * (4 * 2 + 64)))
+    assert split.keys() == whole.keys() and all(split[d][0] == whole[d][0] and split[d][1] == pytest.approx(whole[d][1]) for d in whole)
+    numbered = bags.withColumn("_row", F.col("doc_id").cast("long"))
+    rest = B.other_terms(numbered, pa.array(["uno", "dos"])).collect()
+    assert sorted((r._row, r.term, r.n) for r in rest) == sorted((d, f"solo{d}", 2) for d in range(30))
+
+
 def test_mean_embedding_transformer(spark, vectors):
     docs = spark.createDataFrame([(1, "Uno dos UNO", "a"), (4, "dos de dos desconocida", "b"), (4, None, "c")], "doc_id int, text string, row string")
     stage = M.MeanEmbedding(vectors=vectors, stopwords=["de"])
