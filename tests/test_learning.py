@@ -353,3 +353,27 @@ def test_lsa_block_of_many_slices_never_is_whole_on_the_driver(spark, monkeypatc
     assert fit.models[None].n_terms > 250
     assert max(n for kind, n in sizes if kind == "slice") <= 2_400
     assert max(n for kind, n in sizes if kind == "sum") <= 9
+
+
+def test_lsa_block_is_passed_on_in_bounded_parts(spark, monkeypatch):
+    """The slices that the driver has sent and not yet taken back never exceed the bound, and the vectors do not depend on it."""
+    live, most, send = {}, [], type(spark.sparkContext).broadcast
+
+    def broadcast(sc, value):
+        shared = send(sc, value)
+        if isinstance(value, np.ndarray) and value.ndim == 2:
+            live[id(shared)] = value.nbytes
+            most.append(sum(live.values()))
+            end = shared.destroy
+            shared.destroy = lambda *a, **b: (live.pop(id(shared)), end(*a, **b))
+        return shared
+
+    docs = lsa_docs(spark).drop("fold")
+    plain = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=1, oversample=1, slice_bytes=80)
+    expected = {r.doc_id: r.vec for r in L.project(plain.models[None], plain.rows).collect()}
+    monkeypatch.setattr(L, "HELD_BYTES", 400)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    fit = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=1, oversample=1, slice_bytes=80)
+    assert max(most) <= 400 < 8 * 5 * fit.models[None].n_terms
+    found = {r.doc_id: r.vec for r in L.project(fit.models[None], fit.rows, 32).collect()}
+    assert found.keys() == expected.keys() and all(found[d] == pytest.approx(expected[d], abs=1e-9) for d in found)
