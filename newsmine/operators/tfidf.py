@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmine.config import TFIDF_TEXT, TextSettings
-from newsmine.operators.bow import pruned_terms, term_counts
+from newsmine.operators.bow import bags_of, pruned_terms, term_counts
+from newsmine.session import written
 
 
 def idf_table(terms: DataFrame, n_docs: int) -> DataFrame:
@@ -36,10 +37,14 @@ def norms(weights: DataFrame) -> DataFrame:
 
 
 def tfidf(
-    docs: DataFrame, settings: TextSettings = TFIDF_TEXT, normalise: bool = True
+    docs: DataFrame, settings: TextSettings = TFIDF_TEXT, normalise: bool = True, once: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(weights, idf table) of documents that carry ``terms``."""
+    """(weights, idf table) of documents that carry ``terms``.
+
+    ``once`` is for callers of the weights: the counts are written, so that the texts are
+    not analysed again for the second use.
+    """
     n_docs = docs.count()
-    tf = term_counts(docs)
+    tf = written(bags_of(docs), "bags").select("doc_id", F.inline("bag")) if once else term_counts(docs)
     idf = idf_table(pruned_terms(tf, n_docs, settings), n_docs)
     return weigh(tf, idf, normalise), idf

@@ -14,11 +14,12 @@ from newsmine.functions.text import strip
 def read_words(spark: SparkSession, path: str) -> DataFrame:
     """One word per line: trimmed, lower-cased, blank lines dropped.
 
-    A leading byte-order mark is removed, so the first word counts.
+    A leading byte-order mark is removed, so the first word counts. Of equal lines only one is trimmed.
     """
     line = F.regexp_replace("value", "^﻿", "")
     return (
         spark.read.text(path)
+        .distinct()
         .select(F.lower(strip(line)).alias("word"))
         .where(F.col("word") != "")
         .distinct()
