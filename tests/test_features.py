@@ -12,8 +12,9 @@ from newsmine.operators import bow as B
 from newsmine.operators import embedding as M
 from newsmine.operators import ordering as O
 from newsmine.operators import tfidf as W
+from newsmine.plans import text_queries as Q
 from newsmine.session import work_path
-from newsmine.sources.words import last_vectors, read_vectors
+from newsmine.sources.words import last_vectors, read_vectors, read_words
 
 
 def test_document_frequency_bounds_are_inclusive(spark):
@@ -199,3 +200,20 @@ def test_arrays_of_many_tasks_are_added_level_by_level(spark, monkeypatch):
     for k in range(200):
         expected[k % 2, k % 3] += k
     assert (K.total_of(rows, partial, (2, 3)) == expected).all()
+
+
+def test_texts_are_analysed_once_for_two_uses(spark, tmp_path):
+    """What reads the counts twice reads them from a table: its plan holds no tokens."""
+    rows = [(d, "uno dos tres" if d % 2 else "dos tres cuatro", "es" if d % 3 else "fr") for d in range(12)] + [(12, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for query in (Q.bow_tf, Q.selected_tf, Q.tfidf_norms):
+        found = query(spark, str(tmp_path))
+        assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() > 0
+
+
+def test_equal_lines_are_trimmed_once(spark, tmp_path):
+    spark.createDataFrame([(" Sol ",), (" Sol ",), ("sol",), ("  ",), ("Mar",)], "value string").write.text(f"{tmp_path}/words")
+    found = read_words(spark, f"{tmp_path}/words")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+    assert sorted(r.word for r in found.collect()) == ["mar", "sol"]
