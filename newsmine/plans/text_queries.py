@@ -274,7 +274,7 @@ def preview_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("preview_vocab", _COUNTS + "SELECT (row_number() OVER (ORDER BY term) - 1)::INTEGER AS idx, term FROM vocab ORDER BY term LIMIT 10")
 def preview_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return R.preview_terms(_pruned(spark, sf)[1])
+    return R.preview_terms(_vocabulary(spark, sf))
 
 
 @query(
@@ -288,7 +288,7 @@ LEFT JOIN pruned p ON p.doc_id = r.doc_id AND p.term = c.term""",
 def preview_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The wide preview, unpivoted so its columns do not depend on the data."""
     docs = X.labelled(spark, sf)
-    _, terms = _pruned(spark, sf, once=True)
+    terms = cut(_vocabulary(spark, sf))
     # Only the texts that are shown are analysed again.
     shown = docs.join(F.broadcast(R.first_docs(docs.select("doc_id"))), "doc_id", "left_semi")
     tf = B.restrict(B.term_counts(B.with_terms(shown, STOP), ("doc_id", "label")), terms)
