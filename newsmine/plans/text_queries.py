@@ -168,7 +168,7 @@ def bow_shape(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scores(spark: SparkSession, sf: str, tf: DataFrame | None = None) -> DataFrame:
     sizes = B.sizes_by_class(X.labelled(spark, sf))
-    sums = B.class_term_sums(_tf(spark, sf) if tf is None else tf, list(sizes))
+    sums = B.class_term_sums(_grouped(spark, sf, "label") if tf is None else tf, list(sizes))
     return B.chi2_scores(sums.where(B.df_bounds(sum(sizes.values()), COUNT_TEXT)), sizes)
 
 
