@@ -19,11 +19,12 @@ from newsmine.operators import folds as D
 from newsmine.operators import lsa as L
 from newsmine.operators import sinks as K
 from newsmine.operators import svm as M2
+from newsmine.operators.counting import grouped_counts
 from newsmine.operators.selection import fold_class_sizes, select_per_fold
 from newsmine.plans import fixtures as X
 from newsmine.plans.registry import query
 from newsmine.plans.text_queries import _COUNTS, _TFIDF
-from newsmine.session import cut, table, work_path, written
+from newsmine.session import cut, table, work_path
 from newsmine.sources.words import read_vectors
 
 STOP = spanish_stopwords()
@@ -307,10 +308,8 @@ SELECT held, term FROM best WHERE rank <= 150
 @query("fold_chi2_terms", _FOLD_CHI2)
 def fold_chi2_terms(spark: SparkSession, sf: str) -> DataFrame:
     """The terms that are selected when each fold is held out."""
-    keep = ("doc_id", "label", "fold")
     folded = P.with_folds(X.labelled(spark, sf), ModelSettings())
-    bags = written(B.bags_of(B.with_terms(folded, STOP), keep), "bags")
-    chosen, _ = select_per_fold(bags.select(*keep, F.inline("bag")), fold_class_sizes(bags), 150)
+    chosen, _ = select_per_fold(grouped_counts(folded, ("fold", "label"), STOP), fold_class_sizes(folded), 150)
     rows = [(held, term) for held, terms in chosen.items() if held is not None for term in terms]
     return spark.createDataFrame(rows, "held int, term string")
 
