@@ -14,6 +14,7 @@ from newsmine.operators import embedding as M
 from newsmine.operators import evaluate as V
 from newsmine.operators import lsa as L
 from newsmine.operators.bow import bags_of, with_terms
+from newsmine.operators.counting import summed, with_words
 from newsmine.operators.folds import class_bounds
 from newsmine.operators.selection import count_vectors, fold_class_sizes, select_per_fold
 from newsmine.operators.svm import LinearSvm, SvmTrainer, class_scores
@@ -117,13 +118,14 @@ def bow_experiment(
     started = time.time()
     stopwords = tuple(stopwords)
     keep = ("doc_id", "label", "fold")
-    # The texts are analysed once; what follows reads the bags.
-    bags = written(bags_of(with_terms(with_folds(docs, settings), stopwords, text), keep), "bags")
-    sizes = fold_class_sizes(bags.select("fold", "label"))
+    # The texts are analysed once; what follows reads their words.
+    read, reading = with_words(with_folds(docs, settings).select(*keep, "text"), stopwords, text)
+    read = written(read, "words")
+    sizes = fold_class_sizes(read.select("fold", "label"))
     classes = list(next(iter(sizes.values())))
-    tf = bags.select(*keep, F.inline("bag"))
+    tf = summed(read, reading, ("fold", "label"))
     chosen, n_terms = select_per_fold(tf, sizes, settings.k_terms, text, settings.fit_scope)
-    rows, columns, words = count_vectors(bags, chosen, keep)
+    rows, columns, words = count_vectors(read, chosen, keep, reading)
     predictions, model = _run(SvmTrainer(cut(rows), classes, len(words), settings, columns), evaluate, final)
     metrics = None
     if predictions is not None:
@@ -258,7 +260,8 @@ def score_bow_bundle(docs: DataFrame, path: str) -> DataFrame:
     model = LinearSvm.load(path, spark)
     stopwords, text = _load_text(path, spark)
     terms = [r["term"] for r in spark.read.parquet(f"{path}/terms").orderBy("idx").collect()]
-    rows, _, _ = count_vectors(bags_of(with_terms(docs, stopwords, text)), {None: terms})
+    words, reading = with_words(docs.select("doc_id", "text"), stopwords, text)
+    rows, _, _ = count_vectors(words, {None: terms}, reading=reading)
     return _labelled(model, rows)
 
 
