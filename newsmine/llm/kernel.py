@@ -51,15 +51,15 @@ def powers(size: int, base: int = _BASE) -> np.ndarray:
     return _powers(1 << max(16, int(size - 1).bit_length()), base)[:size]
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) pieces of a batch; a null text counts as empty."""
+def blocks(batch: pa.RecordBatch, column: str = "text", size: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) pieces of a batch, of ``size`` bytes at most or one text; a null text counts as empty."""
     at = batch.schema.get_field_index(column)
     texts = batch.column(at).cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     start = 0
     while start < len(texts):
-        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BLOCK, "right")) - 1)
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1)
         piece = offsets[start : end + 1]
         yield batch.slice(start, end - start), data[piece[0] : piece[-1]], piece - piece[0]
         start = end

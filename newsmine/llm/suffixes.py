@@ -99,31 +99,53 @@ def repeated_spans(texts: DataFrame, window: int, part: int, batches: int) -> Da
     return windows.refined(texts, marks, shape, "suffix-level")
 
 
-def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None, batches: int = 4, rest: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept[, rest]) of every row of ``docs``.
+def longer_spans(texts: DataFrame, spans: DataFrame, passage: int, window: int) -> DataFrame:
+    """(id, twin, first, last): starts of the ``window``-byte strings that also start elsewhere, from the ``spans`` of shorter strings that do.
+
+    In a string that repeats, all strings of ``passage`` bytes repeat, so windows are dealt to
+    anchors only where every string of ``passage`` bytes inside them is in ``spans``.
+    """
+    shape = windows.Shape(windows.byte_units, window, max(1, window // 4), keep_first=False)
+    rows = windows.entries(texts, shape, windows.frequent_anchors(texts, shape), spans, window - passage + 1)
+    marks = stored(windows.marked(rows, shape), "suffix-marks")
+    return windows.refined(texts, marks, shape, "suffix-level")
+
+
+def without_repeats(
+    docs: DataFrame, window: int = 400, part: int | None = None, batches: int = 4, rest: bool = False, passage: int | None = None
+) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept[, n_passage][, rest]) of every row of ``docs``.
 
     A byte goes if a ``window``-byte string over it also starts anywhere else, in
     the same text or another; all copies go. ``kept`` (binary) holds the other
     bytes, ``n_spans`` counts the removed runs. Strings are judged on the input.
     ``rest`` adds a struct of all columns of the row (of the text, only whether there is
     one), and ``kept`` is a text then: characters that lose some of their bytes go with them.
+    ``passage`` (2 to ``window`` bytes) adds ``n_passage``: bytes that a string of this length covers which also
+    starts anywhere else. Such bytes stay unless a ``window`` covers them; the index holds the shorter strings then.
 
     A null or empty text has no bytes; texts shorter than a string stay. Rows that
     repeat a doc_id with the same text are one document, not copies of each
     other. Null doc_ids are one document only if their texts are equal too. Other
     columns are not read. An empty table gives an empty result.
     """
-    part = part or max(1, window // 4)
+    if passage is not None and not 2 <= passage <= window:
+        raise ValueError(f"passage must be 2 to {window} bytes, not {passage}")
+    indexed = passage or window
     texts = windows.texts_of(docs)
-    covers = repeated_spans(texts, window, part, batches)
+    covers = repeated_spans(texts, indexed, part or max(1, indexed // 4), batches)
     whole = windows.texts_of(docs, rest)
+    if passage:
+        covers = stored(covers, "suffix-passages")
+        whole = windows.with_covers(whole, covers, "passages")
+        covers = longer_spans(texts, covers, passage, window) if passage < window else covers
     own = whole.schema["rest"].dataType.simpleString() if rest else ""
 
     def run(found: Batches) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            at = batch.schema.get_field_index("covers")
-            for rows, data, offsets in K.blocks(batch):
-                gone = windows.cover_mask(K.byte_units(data), offsets, rows.column(at), window)
+            for rows, data, offsets in K.blocks(batch, size=windows.BLOCK):
+                field = lambda name: rows.column(rows.schema.get_field_index(name))  # noqa: B023,E731
+                gone = windows.cover_mask(data, offsets, field("covers"), window)
                 begun = gone.copy()
                 begun[1:] &= ~gone[:-1]
                 edges = offsets[:-1][offsets[:-1] < len(data)]
@@ -132,11 +154,14 @@ def without_repeats(docs: DataFrame, window: int = 400, part: int | None = None,
                 bounds = np.concatenate([[0], np.cumsum(~gone)])[offsets].astype(np.int64)
                 kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows.num_rows, [None, pa.py_buffer(bounds), pa.py_buffer(data[~gone])])
                 left = pa.array([k.as_py().decode("utf-8", "ignore") for k in kept], pa.string()) if rest else kept.cast(pa.binary())
-                columns = [rows.column(0), pa.array(np.diff(offsets)), pa.array(total(gone)), pa.array(total(begun)), left]
-                names = ["id", "n_bytes", "n_removed", "n_spans", "kept"]
-                yield pa.RecordBatch.from_arrays([*columns, *([rows.column(rows.schema.get_field_index("rest"))] if rest else [])], names=[*names, *(["rest"] if rest else [])])
-
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept " + (f"string, rest {own}" if rest else "binary")
+                made = {"id": rows.column(0), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(total(gone)), "n_spans": pa.array(total(begun)), "kept": left}
+                if passage:
+                    made["n_passage"] = pa.array(total(windows.cover_mask(data, offsets, field("passages"), passage)))
+                if rest:
+                    made["rest"] = field("rest")
+                yield pa.RecordBatch.from_arrays([*made.values()], names=[*made])
+
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept " + ("string" if rest else "binary") + ", n_passage long" * bool(passage) + (f", rest {own}" if rest else "")
     found = windows.with_covers(whole, covers).mapInArrow(run, schema)
     return found.select(original(F.col("id")).alias("doc_id"), *found.columns[1:])
 

@@ -24,6 +24,8 @@ _FLUSH = 2_000_000  # entries that a task combines at once
 SPREAD = 1 << 15
 SALTS = 64  # tasks that share a frequent anchor
 LONG = 64  # units of a window from which on levels do not double
+#: Bytes of a block: eight bytes for each stay below the size from which arrays are given back, so they are not mapped anew.
+BLOCK = 64 * 1024
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -144,8 +146,11 @@ def frequent_anchors(texts: DataFrame, shape: Shape, rows: int = 4_000, percent:
     return np.array([r["anchor"] for r in found], np.int64)
 
 
-def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray, opens: DataFrame | None = None) -> DataFrame:
-    """One row per anchor, combined inside each task (ENTRY); with ``opens``, of their windows only."""
+def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray, opens: DataFrame | None = None, inner: int = 1) -> DataFrame:
+    """One row per anchor, combined inside each task (ENTRY).
+
+    With ``opens``, of their windows only: those at whose start, and at the ``inner`` - 1 starts behind it, a window is open.
+    """
     rows, whole = texts.select("id", "twin", "text"), opens is None
     if opens is not None:
         rows = rows.join(_listed(opens), ["id", "twin"]).select("id", "twin", "text", "marks")
@@ -153,9 +158,9 @@ def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray, opens: DataFra
     def run(batches: Batches) -> Batches:
         def found() -> Iterator[dict[str, np.ndarray]]:
             for batch in batches:
-                for rows, data, offsets in K.blocks(batch):
+                for rows, data, offsets in K.blocks(batch, size=BLOCK):
                     units, first = shape.units(data, offsets)
-                    allowed = None if whole else _covered(len(units), first, rows.column(3), 1)
+                    allowed = None if whole else _runs(_covered(len(units), first, rows.column(3), 1), inner)
                     got = K.anchored(units, first, shape.window, shape.part, allowed)
                     text = got.pop("text")
                     ids, twin = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -170,7 +175,7 @@ def entries(texts: DataFrame, shape: Shape, frequent: np.ndarray, opens: DataFra
 
 
 def _listed(marks: DataFrame) -> DataFrame:
-    return marks.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last", "anchor")).alias("marks"))
+    return marks.groupBy("id", "twin").agg(F.collect_list(F.struct(*[c for c in ("first", "last", "anchor") if c in marks.columns])).alias("marks"))
 
 
 def _place() -> Column:
@@ -207,7 +212,7 @@ def edges(texts: DataFrame, marks: DataFrame, shape: Shape) -> DataFrame:
     def run(batches: Batches) -> Batches:
         def found() -> Iterator[dict[str, np.ndarray]]:
             for batch in batches:
-                for rows, data, offsets in K.blocks(batch):
+                for rows, data, offsets in K.blocks(batch, size=BLOCK):
                     units, start = shape.units(data, offsets)
                     sums = K.prefix_sums(units)
                     text, mark = lists(rows.column(3))
@@ -244,6 +249,17 @@ def _covered(n: int, start: np.ndarray, column: pa.Array, size: int) -> np.ndarr
     return np.cumsum(depth[:-1]) > 0
 
 
+def _runs(flags: np.ndarray, size: int) -> np.ndarray:
+    """Where ``size`` neighbouring flags are set, by the place of the first. Texts do not run on: windows do not start at their ends."""
+    if size == 1:
+        return flags
+    out = np.zeros(len(flags), bool)
+    if len(flags) >= size:
+        total = np.concatenate([[0], np.cumsum(flags)])
+        out[: len(flags) - size + 1] = total[size:] - total[:-size] == size
+    return out
+
+
 def cover_mask(units: np.ndarray, start: np.ndarray, column: pa.Array, window: int) -> np.ndarray:
     """Units of a block that repeated windows cover."""
     return _covered(len(units), start, column, window)
@@ -271,7 +287,7 @@ def refined(texts: DataFrame, marks: DataFrame, shape: Shape, name: str) -> Data
     return covers
 
 
-def with_covers(texts: DataFrame, covers: DataFrame) -> DataFrame:
-    """``texts`` with the list ``covers`` of its covered stretches (null: none)."""
-    spans = covers.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
-    return texts.join(spans, ["id", "twin"], "left").select(*texts.columns, "covers")
+def with_covers(texts: DataFrame, covers: DataFrame, name: str = "covers") -> DataFrame:
+    """``texts`` with the list ``name`` of its covered stretches (null: none)."""
+    spans = covers.groupBy("id", "twin").agg(F.collect_list(F.struct("first", "last")).alias(name))
+    return texts.join(spans, ["id", "twin"], "left").select(*texts.columns, name)

@@ -1,5 +1,6 @@
 """Borders of rows, clashing columns, many rows without doc_id, and a phrase that most texts hold."""
 
+import hashlib
 import re
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from newsmine.llm import exact, jaccard, quality, substrings, suffixes, urlfilter, windows
+from newsmine.llm import exact, jaccard, quality, queries, substrings, suffixes, urlfilter, windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -166,6 +167,26 @@ def test_planted_passages_are_shorter_than_the_window_of_op8(spark, folder):
     assert len(sizes) >= 10 and 200 <= min(sizes) and max(sizes) < 400
 
 
+def test_op8_counts_passages_of_over_50_words_beside_its_strings(spark, tmp_path):
+    """Passages of 51 and 60 words are no strings of 400 bytes: they stay, and are counted; what is left alone has none."""
+    passages = [prose(901, 51), prose(902, 60)]
+    assert all(200 < len(p) < 400 for p in passages)
+    rows = [(k, f"{prose(40 + k, 60)} {passages[k // 2]} {prose(60 + k, 60)}") for k in range(4)]
+    rows += [(k, prose(80 + k, 150)) for k in range(4, 8)]
+    chain = [prose(910 + k, 36 if k == 1 else 26) for k in range(3)]  # every string of 200 bytes in the whole repeats, none of 400 does
+    rows += [(8, " ".join(chain)), (9, f"{prose(90, 30)} {chain[0]} {chain[1]}"), (10, f"{chain[1]} {chain[2]} {prose(91, 30)}")]
+    rows += [(11, f"{prose(920, 90)} {prose(92, 20)}"), (12, f"{prose(93, 20)} {prose(920, 90)}"), (13, "x" * 700), (14, "y" * 300), (15, ""), (16, chain[1][:199])]
+    spark.createDataFrame([*rows, (17, None)], "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.QUERIES["op8_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert found.pop(17)[1:] == (0, 0, 0, hashlib.sha256(b"").hexdigest(), 0)
+    strings, short = brute_bytes(rows, 400), brute_bytes(rows, 200)
+    assert {k: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for k, r in found.items()} == {k: (*v[:2], hashlib.sha256(v[2]).hexdigest()) for k, v in strings.items()}
+    assert {k: r["n_passage"] for k, r in found.items()} == {k: v[1] for k, v in short.items()}
+    assert all(found[k]["n_removed"] == 0 and found[k]["n_passage"] >= len(passages[k // 2]) for k in range(4))
+    assert all(found[k]["n_passage"] == 0 for k in range(4, 8))
+    assert found[8]["n_passage"] == found[8]["n_bytes"] > 400 and found[8]["n_removed"] == 0
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, _id int")
     for name, stage in corpus_pipeline.STAGES:
