@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Remove a working table that nothing will read again."""
+    if not path.startswith(f"{checkpoint_dir(spark)}/work/"):
+        raise ValueError(f"{path} is no working table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def opened(path: str) -> tuple[fs.FileSystem, str] | None:
+    """The file system and the path in it by which Python tasks open a file; None where pyarrow has none for its scheme."""
+    try:
+        return fs.FileSystem.from_uri(path)
+    except (pa.ArrowException, OSError):
+        return None
+
+
+@contextlib.contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that end in this block go with them, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small scan enough tasks for CPU-heavy column work.
 

@@ -1,5 +1,6 @@
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -377,3 +378,27 @@ def test_lsa_block_is_passed_on_in_bounded_parts(spark, monkeypatch):
     assert max(most) <= 400 < 8 * 5 * fit.models[None].n_terms
     found = {r.doc_id: r.vec for r in L.project(fit.models[None], fit.rows, 32).collect()}
     assert found.keys() == expected.keys() and all(found[d] == pytest.approx(expected[d], abs=1e-9) for d in found)
+
+
+def working_tables(spark, before=()):
+    folder = Path(work_path(spark, "x")).parent
+    return {p.name for p in folder.glob("lsa-*")} - set(before) if folder.exists() else set()
+
+
+@pytest.mark.parametrize("by_tasks", [True, False])
+def test_lsa_passes_leave_one_block(spark, monkeypatch, by_tasks):
+    """Vectors are the same whether tasks read the slices or the driver passes on all; the first leaves only what models read."""
+    docs = lsa_docs(spark).drop("fold")
+    plain = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=2)
+    expected = {r.doc_id: r.vec for r in L.project(plain.models[None], plain.rows).collect()}
+    if not by_tasks:
+        monkeypatch.setattr(L, "opened", lambda path: None)
+    monkeypatch.setattr(L, "HELD_BYTES", 500)
+    before = working_tables(spark)
+    fit = L.fit_lsa(docs, 4, ONE_GRAMS, rounds=2, slice_bytes=500)
+    found = {r.doc_id: r.vec for r in L.project(fit.models[None], fit.rows, 500).collect()}
+    assert found.keys() == expected.keys() and all(found[d] == pytest.approx(expected[d], abs=1e-9) for d in found)
+    assert fit.models[None].residual == pytest.approx(plain.models[None].residual, abs=1e-6)
+    if by_tasks:
+        assert sorted(n.rsplit("-", 1)[0] for n in working_tables(spark, before)) == ["lsa-block", "lsa-rows"]
+        assert "Exchange" not in plan_of(fit.models[None].components)
