@@ -117,3 +117,29 @@ def test_machines_that_are_done_are_not_evaluated(monkeypatch):
 
     w = M.minimise(evaluate, np.array([[3.0, 3.0], [0.0, 9.0]]), 60, 1e-9)
     assert np.allclose(w, 3.0, atol=0.05) and seen[0].all() and not seen[-1][0] and seen[-1][1]
+
+
+@pytest.mark.parametrize("code_bytes", [C.CODE_BYTES, 24])
+def test_counts_of_a_vocabulary_without_a_shuffle(spark, monkeypatch, code_bytes):
+    """Equal to joining all counts, in one pass or several; words that are no terms themselves stand in pairs."""
+    monkeypatch.setattr(C, "CODE_BYTES", code_bytes)
+    texts = ["uno dos tres", "Dós tres cuatro dos", "tres de uno", None, "", "uno uno dos", "otra x9 dos tres"]
+    rows = [(d % 5 if d else None, t, ["es", "fr", None][d % 3]) for d, t in enumerate(texts * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    terms = spark.createDataFrame([(t,) for t in ("dos", "dos tres", "tres uno", "uno dos", "uno uno", "nada")], "term string")
+    found = C.vocabulary_counts(docs, terms, ("doc_id", "label"), ("de",))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("ReusedExchange", "Exchange")
+    expected = B.restrict(B.term_counts(B.with_terms(docs, ("de",)), ("doc_id", "label")), terms)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and expected.count() > 10
+    monkeypatch.setattr(C, "LOOKUP_BYTES", 8)
+    assert C.vocabulary_counts(docs, terms, ("doc_id",), ("de",)) is None
+
+
+def test_bow_tf_joins_no_counts(spark, tmp_path):
+    rows = [(d, "sol dos tres" if d % 2 else "dos tres cuatro", "es") for d in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = Q.bow_tf(spark, str(tmp_path))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.term, r.n) for r in found.collect()} == {("sol", 1), ("sol dos", 1), ("cuatro", 1), ("tres cuatro", 1)}
