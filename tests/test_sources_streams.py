@@ -96,3 +96,19 @@ def test_newest_events_survive_gaps_and_fresh_checkpoints(spark):
     # A fresh checkpoint that does not see the old files keeps what is known.
     assert feed("b", fresh, [row(37), row(99)]) == [99, 38, 37, 36, 34]
     assert feed("b", fresh, [row(35)]) == [99, 38, 37, 36, 35]
+
+
+def test_pages_of_attempts_that_did_not_end_are_removed(spark, tmp_path):
+    """A file per row as Spark's writer makes them, also for odd sections; what another attempt left goes."""
+    rows = [("es", b"uno"), ("es", b"uno"), ("a/b=ñ %", b"\xc3"), (None, b"x"), ("", None), ("fr", b"")]
+    pages = spark.createDataFrame(rows, "section string, value binary")
+    (tmp_path / "new/_attempts").mkdir(parents=True)
+    (tmp_path / "new/section=es").mkdir()
+    (tmp_path / "new/_attempts/00000-999").touch()
+    (tmp_path / "new/section=es/part-00000-999-0.txt").write_bytes(b"lost")
+    T.write_labelled_pages(pages, str(tmp_path / "new"))
+    old = pages.withColumn("value", F.col("value").cast("string")).write.partitionBy("section").option("maxRecordsPerFile", 1)
+    old.text(str(tmp_path / "old"))
+    held = [sorted((f.parent.name, f.read_bytes()) for f in (tmp_path / d).glob("section=*/*.txt")) for d in ("new", "old")]
+    assert held[0] == held[1] and len(held[0]) == 6
+    assert T.labelled_pages(spark, str(tmp_path / "new"), "*.txt").count() == 6
